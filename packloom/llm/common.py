@@ -52,5 +52,14 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Sides of a join of up to so many narrow rows, counted first, are broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has at most `most` rows; count it only where it is cheap (a cut table)."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

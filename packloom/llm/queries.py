@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from . import exact_dedup, length_histogram, mixing, packing, url_filter
 from .common import table
-from .length_histogram import token_counts
-from .packing import pack
 
 
 def op1_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_exact_dedup(spark, sf_dir):
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark, sf_dir):
+    return mixing.sample(table(spark, sf_dir, "documents"))
 
 
 def op9_token_counts(spark, sf_dir):
-    return token_counts(table(spark, sf_dir, "documents"))
+    return length_histogram.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op9_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op6_mixing, op9_token_counts, op10_url_filter)}
+ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE}
