@@ -3,7 +3,8 @@
 Targets share all words by the sources' weights, water-filled under a cap of `most` times a source's own words. A
 source's documents stand in order of size; the prefix sum of their expected copies, target / words of the source
 each, plus one random offset crosses integers, and each crossing emits the document once. As sizes only rise along
-the order, a source's words miss its target by at most its largest document, about.
+the order, a source's words miss its target by at most its largest document, about; of some equally spaced offsets
+each source takes the one that comes nearest.
 
 Ranks come from a range sort and counts by partition, so no source, however large, meets in one task.
 """
@@ -13,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, sized, text_or_empty
 
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "packloom"
+#: A source tries so many equally spaced offsets, the first one random, and takes the one that comes nearest its target.
+OFFSETS = 16
 
 
 def words(text: Column) -> Column:
@@ -54,10 +57,10 @@ def sample(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: st
     not taken. Repeated rows are sampled each on its own. No rows: none. Reruns give the same rows.
     """
     spark = docs.sparkSession
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words(text_or_empty()).alias("size"))
+    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words(text_or_empty()).alias("size"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # Cut, as a range's bounds may differ when it is computed again.
-    ranged = cut(sized.repartitionByRange(parts, "no_source", "source", "size", "doc_id").withColumn("part", F.spark_partition_id()))
+    ranged = cut(measured.repartitionByRange(parts, "no_source", "source", "size", "doc_id").withColumn("part", F.spark_partition_id()))
     sources = targets(ranged.select("no_source", "source", "size"), weights, most)
     counts = ranged.groupBy("no_source", "source", "part").count()
     before = Window.partitionBy("no_source", "source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,10 +70,27 @@ def sample(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: st
     local = F.row_number().over(Window.partitionBy("part", "no_source", "source").orderBy("size", "doc_id"))
     offset = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("no_source").cast("string"), F.col("source"))), 1, 8), 16, 10).cast("double") / 4294967296.0
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    at = lambda rank: F.floor(F.col("offset") + F.col("each") * rank)
-    ranked = ranged.withColumn("local", local).join(facts, ["part", "no_source", "source"]).select("doc_id", "size", "source_size", "target", (F.col("local") + F.col("rows_before")).alias("rank"), each.alias("each"), offset.alias("offset"))
-    copies = F.least(at(F.col("rank")) - at(F.col("rank") - 1), F.lit(most)).cast("long")
-    return ranked.withColumn("copies", copies).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+    def copies(k) -> Column:
+        at = lambda rank: F.floor((F.col("offset") + (k if isinstance(k, Column) else F.lit(k)) / float(OFFSETS)) % 1.0 + F.col("each") * rank)
+        return F.least(at(F.col("rank")) - at(F.col("rank") - 1), F.lit(most)).cast("long")
+
+    ranked = cut(
+        ranged.withColumn("local", local)
+        .join(sized(facts), ["part", "no_source", "source"])
+        .select("doc_id", "no_source", "source", "size", "source_size", "target", (F.col("local") + F.col("rows_before")).alias("rank"), each.alias("each"), offset.alias("offset"))
+    )
+    # All offsets' words in one pass; each source takes the one that comes nearest its target.
+    near = [F.struct(F.abs(F.sum(copies(k) * F.col("size")) - F.first("target")).alias("miss"), F.lit(k).alias("k")) for k in range(OFFSETS)]
+    best = cut(ranked.groupBy("no_source", "source").agg(F.array_min(F.array(*near))["k"].alias("k")))
+    return ranked.join(sized(best), ["no_source", "source"]).withColumn("copies", copies(F.col("k"))).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """The documents themselves, each row as often as the mix takes it. doc_id is to be unique in docs."""
+    taken = cut(sample(docs, weights, most, seed).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").cast("int").alias("_copies")))
+    found = docs.join(sized(taken), F.col("doc_id").eqNullSafe(F.col("_id")))
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 ORACLE = r"""
@@ -90,12 +110,15 @@ WITH sized AS (
     CAST('0x' || substr(md5('packloom|' || CASE WHEN source IS NULL THEN 'true' ELSE 'false' END || '|' || coalesce(source, '')), 1, 8) AS BIGINT) / 4294967296.0 AS u
   FROM levels
 ), ranked AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
+  SELECT s.doc_id, s.source, s.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
     row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) AS r
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), tried AS (
+  SELECT *, least(floor((u + k / 16.0) % 1.0 + e * r) - floor((u + k / 16.0) % 1.0 + e * (r - 1)), 3) AS c FROM ranked, range(16) AS t(k)
+), best AS (
+  SELECT source, arg_min(k, (abs(words - target), k)) AS k
+  FROM (SELECT source, k, any_value(target) AS target, sum(c * size) AS words FROM tried GROUP BY source, k) GROUP BY source
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(least(floor(u + e * r) - floor(u + e * (r - 1)), 3) * size AS BIGINT) AS taken,
-  CAST(least(floor(u + e * r) - floor(u + e * (r - 1)), 3) AS BIGINT) AS copies
-FROM ranked
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(c * size AS BIGINT) AS taken, CAST(c AS BIGINT) AS copies
+FROM tried JOIN best ON tried.source IS NOT DISTINCT FROM best.source AND tried.k = best.k
 """
