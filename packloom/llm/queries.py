@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, length_histogram, mixing, packing, url_filter
+from . import exact_dedup, length_histogram, mixing, packing, quality, url_filter
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op6_mixing(spark, sf_dir):
     return mixing.sample(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_counts(spark, sf_dir):
     return length_histogram.token_counts(table(spark, sf_dir, "documents"))
 
@@ -26,5 +30,5 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op6_mixing, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op6_mixing, op8_quality, op9_token_counts, op10_url_filter)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE}
