@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, length_histogram, mixing, packing, quality, toxicity, url_filter
+from . import exact_dedup, length_histogram, mixing, near_dedup, packing, quality, toxicity, url_filter
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,5 +38,5 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op5_toxicity, op6_mixing, op8_quality, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op4_near_dedup, op5_toxicity, op6_mixing, op8_quality, op9_token_counts, op10_url_filter)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE}
