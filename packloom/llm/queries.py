@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, length_histogram, mixing, near_dedup, packing, quality, toxicity, url_filter
+from . import exact_dedup, length_histogram, mixing, near_dedup, packing, quality, secret_scan, spotsigs, toxicity, url_filter
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op6_mixing(spark, sf_dir):
     return mixing.sample(table(spark, sf_dir, "documents"))
 
 
+def op7_spotsigs(spark, sf_dir):
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,5 +46,5 @@ def op10_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op4_near_dedup, op5_toxicity, op6_mixing, op8_quality, op9_token_counts, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_secret_scan, op4_near_dedup, op5_toxicity, op6_mixing, op7_spotsigs, op8_quality, op9_token_counts, op10_url_filter)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE}
