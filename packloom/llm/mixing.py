@@ -87,8 +87,12 @@ def sample(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: st
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """The documents themselves, each row as often as the mix takes it. doc_id is to be unique in docs."""
-    taken = cut(sample(docs, weights, most, seed).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").cast("int").alias("_copies")))
+    """The documents themselves, with all columns, each row as often as the mix takes it.
+
+    Rows that share a doc_id are each taken as often as the one of them that is taken most.
+    """
+    taken = sample(docs, weights, most, seed).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies"))
+    taken = cut(taken)
     found = docs.join(sized(taken), F.col("doc_id").eqNullSafe(F.col("_id")))
     return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
