@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from packloom.functions import constants as C
 from packloom.functions import scalars as S
 
+from .lineage import cut
+
 
 def exploded(images: DataFrame, image: str, values: str, width: int) -> DataFrame:
     """Pixels of flat arrays: (image, x, y, v)."""
@@ -151,9 +153,9 @@ def local_max(pixels: DataFrame, image: str, value: str, radius: int) -> DataFra
 
 def slot_occupancy(pixels: DataFrame, slots: DataFrame, image: str, visible: Column, expected: int, share: float = 0.002, floor: int = 16) -> DataFrame:
     """Visible pixels of each slot; a slot is occupied at `floor` or a share of its area; whether slots 1..expected are the occupied ones."""
-    inside = (F.col("x") >= F.col("l")) & (F.col("x") < F.col("r")) & (F.col("y") >= F.col("t")) & (F.col("y") < F.col("b"))
+    inside = (F.col("x") >= F.col("s.l")) & (F.col("x") < F.col("s.r")) & (F.col("y") >= F.col("s.t")) & (F.col("y") < F.col("s.b"))
     # Slots are one layout, a bounded table.
-    counts = pixels.where(visible).join(F.broadcast(slots.select("idx", "l", "t", "r", "b")), inside).groupBy(image, "idx").agg(F.count("*").alias("n"), F.first((F.col("r") - F.col("l")) * (F.col("b") - F.col("t"))).alias("area"))
+    counts = pixels.where(visible).join(F.broadcast(slots.select("idx", "l", "t", "r", "b").alias("s")), inside).groupBy(image, "s.idx").agg(F.count("*").alias("n"), F.first((F.col("s.r") - F.col("s.l")) * (F.col("s.b") - F.col("s.t"))).alias("area"))
     taken = counts.where(F.col("n") >= F.greatest(F.lit(floor), F.col("area") * share)).groupBy(image).agg(F.array_sort(F.collect_list("idx")).alias("occupied"))
     every = pixels.select(image).distinct().join(taken, image, "left").withColumn("occupied", F.coalesce("occupied", F.array().cast("array<int>")))
     wanted = F.sequence(F.lit(1), F.lit(expected)) if expected else F.array().cast("array<int>")
@@ -185,20 +187,19 @@ def components(pixels: DataFrame, image: str, visible: Column, least: int = 1, r
     island = F.col("x") - F.row_number().over(Window.partitionBy(image, "y").orderBy("x"))
     found = seen.withColumn("_i", island).groupBy(image, "y", "_i").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("_i")
     # A run is known by its first pixel, which orders runs by line, then place.
-    runs = found.withColumn("run", F.col("y").cast("long") * (1 << 31) + F.col("x0")).persist()
+    runs = cut(found.withColumn("run", F.col("y").cast("long") * (1 << 31) + F.col("x0")))
     low = runs.select(image, F.col("y").alias("y2"), F.col("x0").alias("u0"), F.col("x1").alias("u1"), F.col("run").alias("v"))
     touch = (F.col("y2") == F.col("y") + 1) & (F.col("u0") <= F.col("x1") + 1) & (F.col("u1") >= F.col("x0") - 1)
     one_way = runs.withColumnRenamed("run", "u").join(low, image).where(touch).select(image, "u", "v")
-    edges = one_way.unionByName(one_way.select(image, F.col("v").alias("u"), F.col("u").alias("v"))).persist()
-    labels = runs.select(image, "run", F.col("run").alias("label"))
+    edges = cut(one_way.unionByName(one_way.select(image, F.col("v").alias("u"), F.col("u").alias("v"))))
+    labels = cut(runs.select(image, "run", F.col("run").alias("label")))
     for _ in range(rounds):
-        near = edges.join(labels.withColumnRenamed("run", "v"), [image, "v"]).groupBy(image, F.col("u").alias("run")).agg(F.min("label").alias("near"))
-        step = labels.join(near, [image, "run"], "left").select(image, "run", "label", F.least("label", F.coalesce("near", "label")).alias("next"))
+        near = edges.join(labels.select(image, F.col("run").alias("v"), "label"), [image, "v"]).groupBy(image, F.col("u").alias("run")).agg(F.min("label").alias("near"))
+        step = cut(labels.join(near, [image, "run"], "left").select(image, "run", "label", F.least("label", F.coalesce("near", "label")).alias("next")))
         jump = step.select(image, F.col("run").alias("next"), F.col("next").alias("far"))
-        after = step.join(jump, [image, "next"]).select(image, "run", F.col("label").alias("was"), F.col("far").alias("label")).persist()
-        moved = after.where("was <> label").isEmpty()
+        after = cut(step.join(jump, [image, "next"]).select(image, "run", F.col("label").alias("was"), F.col("far").alias("label")))
         labels = after.select(image, "run", "label")
-        if moved:
+        if after.where("was <> label").isEmpty():
             break
     out = runs.join(labels, [image, "run"]).groupBy(image, F.col("label").alias("comp_id"))
     size = F.sum(F.col("x1") - F.col("x0") + 1)
@@ -220,7 +221,7 @@ def style_profile(pixels: DataFrame, image: list[str], r: str, g: str, b: str) -
 def similarity(a: str, b: str) -> dict[str, Column]:
     """Parts (0..100) and score of two profiles in structs a and b: histogram array, mean_r/g/b, and the three scalars."""
     col = lambda p, c: F.col(f"{p}.{c}")
-    palette = F.aggregate(F.zip_with(col(a, "histogram"), col(b, "histogram"), F.least), F.lit(0.0), lambda s, x: s + x)
+    palette = F.aggregate(F.zip_with(col(a, "histogram"), col(b, "histogram"), lambda x, y: F.least(x, y)), F.lit(0.0), lambda s, x: s + x)
     colour = F.greatest(F.lit(0.0), 1 - F.sqrt(sum(F.pow(col(a, f"mean_{k}") - col(b, f"mean_{k}"), F.lit(2.0)) for k in "rgb")) / F.sqrt(F.lit(3.0)))
     near = lambda c: F.greatest(F.lit(0.0), 1 - F.abs(col(a, c) - col(b, c)))
     ea, eb = col(a, "edge_density"), col(b, "edge_density")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from packloom.functions import constants as C
 
+from .lineage import cut
+
 
 def first_with_aliases(rows: DataFrame, key: Column, order: list[str], identity: str) -> DataFrame:
     """Each row with the first of its key: kept itself, or an alias of it.
@@ -153,10 +155,10 @@ def tree_depths(nodes: DataFrame, identity: str, parent: str, levels: int = 32)
     One join a level, until a level is empty.
     """
     edges = nodes.select(F.col(identity).alias("node"), F.col(parent).alias("parent"))
-    level = edges.where("parent is null").select("node", F.lit(0).alias("depth"), F.col("node").alias("root"))
+    level = cut(edges.where("parent is null").select("node", F.lit(0).alias("depth"), F.col("node").alias("root")))
     out = level
     for _ in range(levels):
-        level = edges.alias("e").join(level.alias("l"), F.col("e.parent") == F.col("l.node")).select(F.col("e.node"), (F.col("l.depth") + 1).alias("depth"), F.col("l.root"))
+        level = cut(edges.alias("e").join(level.alias("l"), F.col("e.parent") == F.col("l.node")).select(F.col("e.node"), (F.col("l.depth") + 1).alias("depth"), F.col("l.root")))
         if level.isEmpty():
             break
         out = out.unionByName(level)
