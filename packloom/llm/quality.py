@@ -89,7 +89,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 10, rat
     y = np.array([s[2] for s in samples], float)
     share = (y.sum() + 1) / (len(y) + 2)
     model = Model(float(np.log(share / (1 - share))), np.zeros(WIDTH), rng.normal(0, 0.05, (WIDTH, RANK)))
-    if y.min(initial=1) == y.max(initial=0):
+    if len(set(y)) < 2:
         model.factors[:] = 0
         return model
     gw, gv, gb = np.full(WIDTH, 1e-2), np.full((WIDTH, RANK), 1e-2), 1e-2
