@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from packloom.plans import raster_queries, registry, table_queries  # noqa: F401
+from packloom.plans import pipeline_queries, raster_queries, registry, table_queries  # noqa: F401
 
 from .conftest import SF
 
