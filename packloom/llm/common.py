@@ -34,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows to a partition of a cut table that is read again and again.
+ROWS_A_PARTITION = 50_000
+
+
+def gathered(df: DataFrame) -> DataFrame:
+    """A cut table in as many partitions as its rows need, at most its own, so that later stages are no more tasks."""
+    done = cut(df)
+    return done.coalesce(1 + done.count() // ROWS_A_PARTITION)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder, for wider rows; it goes when the driver's Python ends."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import gathered
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -15,15 +15,15 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     Rounds grow with the logarithm of the longest path. Edges are written each round, so lineage stays short.
     """
     pairs = lambda df, u, v: df.select(F.col(u).alias("u"), F.col(v).alias("v"))
-    now = cut(edges.where("a <> b").select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct())
+    now = gathered(edges.where("a <> b").select(F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")).distinct())
     for _ in range(most_rounds):
         # Large star: over all neighbours, those above a node go to the least of the node and its neighbours.
-        both = cut(pairs(now, "u", "v").unionByName(pairs(now, "v", "u")))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        both = gathered(pairs(now, "u", "v").unionByName(pairs(now, "v", "u")))
+        least = gathered(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = gathered(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # Small star: a node and its smaller neighbours go to the least of these.
-        small = cut(large.groupBy("u").agg(F.min("v").alias("m")))
-        after = cut(large.join(small, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        small = gathered(large.groupBy("u").agg(F.min("v").alias("m")))
+        after = gathered(large.join(small, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # Done when every node has one edge and no root is a leaf, which is when nothing has changed.
         if now.count() == after.count() and now.join(after, ["u", "v"], "left_anti").isEmpty():
             break

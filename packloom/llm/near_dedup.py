@@ -9,8 +9,9 @@ component of its document.
 
 Signatures are cut into bands. Documents with equal multisets are one node. Within a band's bucket the most central
 node is compared with all others; where a bucket still holds several components, its minor ones are compared with
-every node of another component. Pairs whose signatures exclude the threshold by five standard errors are left out; all
-others are verified by the exact overlap of their multisets. Components of the verified links are the classes.
+every node of another component. Left out are pairs that cannot reach the threshold with the shingles that each shares
+with any node at all (an exact bound), and pairs whose signatures exclude it by four standard errors; all others are
+verified by the exact overlap of their multisets. Components of the verified links are the classes.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, sized, text_or_empty, written
+from .common import cut, gathered, sized, text_or_empty, written
 from .components import components
 from .wordhash import mixed, slices, word_hashes
 
@@ -30,6 +31,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 42, 6
 #: Bits kept of each component for estimates, and longs that hold them.
 NIBBLES = 16
+#: A pair is left unverified where its estimate is so many standard errors below the threshold (three in 100,000 at it).
+ERRORS = 4
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _ODD = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)]
 
@@ -76,7 +79,9 @@ def bag_signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n:
         k = int(np.clip(60_000 // len(owner), 1, 64))
         x = mixed(key[:, None].astype(np.uint64) + (np.arange(drawn + 1, drawn + k + 1, dtype=np.uint64) * _GOLDEN)[None, :])
         y = mixed(x ^ _ODD[1])
-        times = time[:, None] + np.cumsum(-np.log1p((x >> np.uint64(11)) * -(2.0**-53)), axis=1) / (size * width[:, None])
+        # Times are added one by one from the first, so that a value has the same bits however many are drawn at once.
+        gaps = -np.log1p((x >> np.uint64(11)) * -(2.0**-53)) / (size * width[:, None])
+        times = np.cumsum(np.concatenate([time[:, None], gaps], axis=1), axis=1)[:, 1:]
         component = ((y >> np.uint64(40)) * np.uint64(size) >> np.uint64(24)).astype(np.int64)
         step = (y & np.uint64(0xFFFFFFFF)).astype(np.int64) & (width[:, None] - 1)
         counts = step < cover[:, None]
@@ -130,8 +135,26 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, d in enumerate(digests):
                 np.add.at(d, text, mixed(shingle * _ODD[2 + k] + weight.astype(np.uint64) * _GOLDEN))
             at = np.searchsorted(text, np.arange(n + 1))
-            cells = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary())  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([ids.slice(start, n), *(pa.array(d.view(np.int64)) for d in digests), cells(shingle), cells(weight.astype(np.uint32))], ["doc_id", "a", "b", "shingles", "weights"])
+            parts = list(zip(at[:-1], at[1:], strict=True))
+            # Weights are left empty where all are 1.
+            weights = [weight[i:j].astype(np.uint32).tobytes() if (weight[i:j] > 1).any() else b"" for i, j in parts]
+            cells = [pa.array([shingle[i:j].tobytes() for i, j in parts], pa.binary()), pa.array(weights, pa.binary())]
+            yield pa.RecordBatch.from_arrays([ids.slice(start, n), *(pa.array(d.view(np.int64)) for d in digests), *cells], ["doc_id", "a", "b", "shingles", "weights"])
+
+
+def _read(shingles: pa.Scalar, weights: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.frombuffer(shingles.as_buffer(), np.uint64), np.frombuffer(weights.as_buffer(), np.uint32)
+    return keys, counts if len(counts) else np.ones(len(keys), np.uint32)
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            rows = batch.slice(start, 256)
+            found = [_read(s, w) for s, w in zip(rows.column(1), rows.column(2), strict=True)]
+            owner = np.repeat(rows.column(0).to_numpy(), [len(x) for x, _ in found])
+            keys, weights = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(keys), pa.array(weights)], ["owner", "shingle", "weight"])
 
 
 def overlap(s1: np.ndarray, w1: np.ndarray, s2: np.ndarray, w2: np.ndarray) -> float:
@@ -144,8 +167,7 @@ def overlap(s1: np.ndarray, w1: np.ndarray, s2: np.ndarray, w2: np.ndarray) -> f
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y, s1, w1, s2, w2 = (batch.column(k) for k in range(6))
-        read = lambda c, i, kind: np.frombuffer(c[i].as_buffer(), kind)
-        sims = [overlap(read(s1, i, "<u8"), read(w1, i, "<u4"), read(s2, i, "<u8"), read(w2, i, "<u4")) for i in range(batch.num_rows)]
+        sims = [overlap(*_read(s1[i], w1[i]), *_read(s2[i], w2[i])) for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([x, y, pa.array(sims, pa.float64())], ["x", "y", "similarity"])
 
 
@@ -170,24 +192,35 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     signed = cut(texts.mapInArrow(_sign(bands, rows), _SIGNED).withColumn("row", F.monotonically_increasing_id()))
     wordy = signed.where("n > 0")
-    nodes = cut(wordy.groupBy("n", "a", "b").agg(F.min("row").alias("node")))
+    nodes = gathered(wordy.groupBy("n", "a", "b").agg(F.min("row").alias("node")))
     first = signed.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
     exploded = first.select("row", F.explode("bands").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
-    members = cut(exploded.join(shared, "bucket"))
+    members = gathered(exploded.join(shared, "bucket"))
     central = members.groupBy("row").agg(F.sum("in_bucket").alias("degree"))
-    facts = cut(first.join(central, "row").select("row", "doc_id", "a", "b", "degree", "sketch"))
-    members = cut(members.select("bucket", "row").join(facts.select("row", "degree", "sketch"), "row"))
+    facts = gathered(first.join(central, "row").select("row", "doc_id", "n", "a", "b", "degree", "sketch"))
 
     # Multisets of these nodes alone, read again from their texts.
     wanted = facts.select(F.col("doc_id").alias("_id")).distinct()
-    some = texts.join(sized(cut(wanted)), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    some = texts.join(sized(gathered(wanted)), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     bags = some.mapInArrow(_multisets, "doc_id long, a long, b long, shingles binary, weights binary").withColumnRenamed("doc_id", "_id")
     keys = facts.select("row", F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("doc_id").alias("fid"))
     bags = written(bags.join(sized(keys), (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")) & F.col("_id").eqNullSafe(F.col("fid"))).select("row", "shingles", "weights").dropDuplicates(["row"]), "multisets")
 
+    # Weight that a node shares with any other: an exact bound on its similarities, which settles most outliers.
+    only = F.struct(F.min("owner").alias("owner"), F.min("weight").alias("weight"), F.count("*").alias("times"))
+    alone = bags.mapInArrow(_exploded, "owner long, shingle long, weight long").groupBy("shingle").agg(only.alias("x")).where("x.times = 1").groupBy("x.owner").agg(F.sum("x.weight").alias("alone"))
+    shared_weight = F.col("n") - F.coalesce("alone", F.lit(0))
+    facts = gathered(facts.join(alone, F.col("row") == F.col("owner"), "left").select("row", "n", shared_weight.alias("common"), "degree", "sketch").where(F.col("common") >= threshold * F.col("n")))
+    members = gathered(members.select("bucket", "row").join(facts, "row"))
+
     error = (threshold * (1 - threshold) / size) ** 0.5
-    likely = lambda s, t: _estimate(s, t, size) >= threshold - 5 * error
+
+    def likely(t: str) -> Column:
+        """A member and the node in struct t may be similar: by what they can share, then by their sketches."""
+        both = F.least(F.col("common"), F.col(f"{t}.common"))
+        return (both >= threshold * (F.col("n") + F.col(f"{t}.n") - both)) & (_estimate(F.col("sketch"), F.col(f"{t}.sketch"), size) >= threshold - ERRORS * error)
+
     lows = lambda df: df.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -195,21 +228,24 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
         found = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "sx", "wx", "sy", "wy")
         return found.mapInArrow(_overlaps, "x long, y long, similarity double").where(F.col("similarity") >= threshold)
 
-    hub = F.max_by(F.struct(F.col("row").alias("x"), F.col("sketch").alias("hub")), F.struct("degree", (-F.col("row")).alias("low")))
-    hubs = cut(members.groupBy("bucket").agg(hub.alias("h")).select("bucket", "h.x", "h.hub"))
-    tried = cut(lows(members.join(hubs, "bucket").where((F.col("row") != F.col("x")) & likely(F.col("sketch"), F.col("hub"))).select("x", F.col("row").alias("y"))))
-    links = cut(verified(tried))
+    facing = F.struct("row", "n", "common", "sketch")
+    hubs = gathered(members.groupBy("bucket").agg(F.max_by(facing, F.struct("degree", (-F.col("row")).alias("low"))).alias("hub")))
+    tried = gathered(lows(members.join(hubs, "bucket").where((F.col("row") != F.col("hub.row")) & likely("hub")).select(F.col("hub.row").alias("x"), F.col("row").alias("y"))))
+    links = gathered(verified(tried))
 
     # Buckets that hold several components yet: their minor ones against the nodes of all others.
-    roots = cut(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select(F.col("node").alias("row"), "root")
-    rooted = cut(members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")))
+    roots = gathered(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select(F.col("node").alias("row"), "root")
+    rooted = gathered(members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")))
     main = rooted.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    rooted = cut(rooted.join(cut(main.select("bucket", "main")), "bucket"))
-    minor = rooted.where("root <> main").select("bucket", F.col("row").alias("x"), F.col("root").alias("minor"), F.col("main").alias("other"), F.col("sketch").alias("theirs"))
+    rooted = rooted.join(gathered(main.select("bucket", "main")), "bucket")
+    # With all their buckets, so that a pair is met only in the least one that its nodes share.
+    rooted = gathered(rooted.join(first.select("row", "bands"), "row"))
+    minor = rooted.where("root <> main").select("bucket", F.struct("row", "n", "common", "sketch", "bands").alias("x"), F.col("root").alias("minor"), F.col("main").alias("other"))
     # Of two minor components the pair is met once.
-    across = (F.col("root") != F.col("minor")) & ((F.col("root") == F.col("other")) | (F.col("row") > F.col("x")))
-    rest = lows(rooted.join(minor, "bucket").where(across & likely(F.col("sketch"), F.col("theirs"))).select("x", F.col("row").alias("y")))
-    more = cut(verified(cut(rest.join(tried, ["x", "y"], "left_anti"))))
+    across = (F.col("root") != F.col("minor")) & ((F.col("root") == F.col("other")) | (F.col("row") > F.col("x.row")))
+    once = F.array_min(F.array_intersect("bands", F.col("x.bands"))) == F.col("bucket")
+    rest = lows(rooted.join(minor, "bucket").where(across & likely("x") & once).select("x.row", F.col("row").alias("y")).withColumnRenamed("row", "x"))
+    more = gathered(verified(gathered(rest.join(tried, ["x", "y"], "left_anti"))))
     # The node columns are copied onto every document; groups of copies of any size are split by the join.
     known = signed.select("doc_id", "n", "a", "b", "row").join(nodes, ["n", "a", "b"], "left")
     return known, links.unionByName(more)
@@ -223,10 +259,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     are copies of each other. No rows: none. Other columns of docs are ignored.
     """
     known, links = link(docs, threshold, bands, rows)
-    roots = cut(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select("node", "root")
+    roots = gathered(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select("node", "root")
     placed = cut(known.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node", "row")).select("doc_id", "n", "row", "class"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
-    sizes = cut(placed.groupBy("class").agg(F.count("*").alias("class_size"), best.alias("best")).where("class_size > 1"))
+    sizes = gathered(placed.groupBy("class").agg(F.count("*").alias("class_size"), best.alias("best")).where("class_size > 1"))
     alone = F.col("class_size").isNull()
     return placed.join(sizes, "class", "left").select(
         "doc_id",
@@ -240,5 +276,5 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs whose doc_id is kept by `classes`, with all their columns; doc_id is to be unique in docs."""
     judged = classes(docs, threshold).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("kept"))
-    gone = cut(judged.where("not kept").select("_id"))
+    gone = gathered(judged.where("not kept").select("_id"))
     return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
