@@ -9,6 +9,7 @@ from packloom.functions import rules as R
 from packloom.functions import scalars as S
 from packloom.operators import boxes as B
 from packloom.operators import raster as P
+from packloom.operators import stretch as B2
 from packloom.operators import tables as T
 
 from .registry import query
@@ -263,3 +264,28 @@ def checker_agreement(spark, d):
 def green_reflection(spark, d):
     green = F.count_if((F.col("g") > F.col("r") + 20) & (F.col("g") > F.col("b") + 20) & (F.col("a") >= 16))
     return pixels(spark, d).groupBy("vec_id").agg((green > F.greatest(F.lit(12.0), F.count("*") * 0.002)).alias("green_reflection"), green.alias("green"))
+
+
+_BANDS = """bx AS (SELECT vec_id, min(x) AS l, max(x) AS r0, min(y) AS t, max(y) AS b0 FROM px WHERE a >= 16 GROUP BY vec_id),
+sz AS (SELECT *, r0 - l + 1 AS w, b0 - t + 1 AS h FROM bx), ct AS (SELECT *, CAST(round_even(w * 0.2, 0) AS INTEGER) AS cx, CAST(round_even(h * 0.2, 0) AS INTEGER) AS cy FROM sz),
+pl AS (SELECT px.vec_id, x, y, a >= 16 AS seen, r / 255.0::DOUBLE * a / 255.0::DOUBLE AS pr, g / 255.0::DOUBLE * a / 255.0::DOUBLE AS pg, b / 255.0::DOUBLE * a / 255.0::DOUBLE AS pb, a / 255.0::DOUBLE AS pa, l, r0, t, b0, w, h, cx, cy FROM px JOIN ct USING (vec_id)),
+ed AS (SELECT vec_id, seen, pr, pg, pb, pa, 'top' AS edge, x AS pos, y - t AS depth, h AS across FROM pl WHERE x BETWEEN l + cx AND r0 - cx UNION ALL SELECT vec_id, seen, pr, pg, pb, pa, 'bottom', x, b0 - y, h FROM pl WHERE x BETWEEN l + cx AND r0 - cx
+  UNION ALL SELECT vec_id, seen, pr, pg, pb, pa, 'left', y, x - l, w FROM pl WHERE y BETWEEN t + cy AND b0 - cy UNION ALL SELECT vec_id, seen, pr, pg, pb, pa, 'right', y, r0 - x, w FROM pl WHERE y BETWEEN t + cy AND b0 - cy),
+ol AS (SELECT vec_id, edge, pos, min(depth) FILTER (WHERE seen) AS d FROM ed GROUP BY ALL), om AS (SELECT *, median(d) OVER (PARTITION BY vec_id, edge) AS line FROM ol),
+os AS (SELECT vec_id, edge, count(*) FILTER (WHERE d IS NULL) AS gaps, max(abs(d - line)) AS deviation FROM om GROUP BY ALL),
+st AS (SELECT vec_id, edge, pos, greatest(abs(pr - lag(pr) OVER q), abs(pg - lag(pg) OVER q), abs(pb - lag(pb) OVER q), abs(pa - lag(pa) OVER q)) AS s FROM ed WHERE depth BETWEEN 0 AND least(6, across) - 1 WINDOW q AS (PARTITION BY vec_id, edge, depth ORDER BY pos)),
+tg AS (SELECT vec_id, edge, pos, max(s) AS g FROM st WHERE s IS NOT NULL GROUP BY ALL), tb AS (SELECT vec_id, edge, median(g) AS baseline, mad(g) AS mad FROM tg GROUP BY ALL),
+tt AS (SELECT vec_id, edge, baseline, count(*) FILTER (WHERE g > greatest(0.16, baseline + 6 * mad + 0.04)) AS high, max(g) AS steepest, count(*) AS n FROM tg JOIN tb USING (vec_id, edge) GROUP BY ALL),
+bands AS (SELECT vec_id, edge, gaps, CAST(deviation AS DOUBLE) AS deviation, gaps = 0 AND deviation <= 4 AS silhouette_ok, baseline, steepest, high,
+  coalesce(high <= greatest(1, CAST(round_even(n * CASE WHEN steepest <= 0.4 THEN 1.0::DOUBLE / 3 ELSE 0.25 END, 0) AS INTEGER)) AND baseline <= 0.16, false) AS texture_ok FROM os LEFT JOIN tt USING (vec_id, edge))"""
+
+
+@query(f"WITH {PIXELS}, {_BANDS} SELECT *, coalesce(silhouette_ok AND texture_ok, false) AS ok FROM bands")
+def stretch_bands(spark, d):
+    return B2.stretch_bands(pixels(spark, d), "vec_id")
+
+
+@query(f"WITH {PIXELS}, {_BANDS}, k AS (SELECT vec_id, edge, coalesce(silhouette_ok AND texture_ok, false) AS ok FROM bands) SELECT vec_id, 'fail' AS severity, 'panel-stretch-band-decoration' AS code, array_to_string(list_sort(list(edge)), ',') AS edges FROM k WHERE NOT ok GROUP BY vec_id")
+def stretch_band_issues(spark, d):
+    found = B2.stretch_issues(B2.stretch_bands(pixels(spark, d), "vec_id"), "vec_id", "Panel")
+    return found.withColumn("edges", F.array_join("edges", ","))
