@@ -21,7 +21,7 @@ def rgb_to_hex(r: Column, g: Column, b: Column) -> Column:
     return F.format_string("#%02X%02X%02X", r.cast("int"), g.cast("int"), b.cast("int"))
 
 
-def slugify(text: Column, fallback: str | None = "game-ui") -> Column:
+def slugify(text: Column, fallback: str | None = C.SLUG_FALLBACK) -> Column:
     """Lower-case slug of [a-z0-9_-]; an empty one is the fallback (null: an error for the caller)."""
     slug = F.lower(F.regexp_replace(F.regexp_replace(F.trim(text), r"[^A-Za-z0-9_-]+", "-"), r"^[-_]+|[-_]+$", ""))
     return F.coalesce(F.nullif(slug, F.lit("")), F.lit(fallback))

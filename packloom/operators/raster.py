@@ -229,3 +229,11 @@ def similarity(a: str, b: str) -> dict[str, Column]:
     parts = {"palette": palette, "mean_color": colour, "luminance": near("mean_luminance"), "saturation": near("mean_saturation"), "edge": edge}
     score = sum(C.STYLE_WEIGHTS[k] * v for k, v in parts.items())
     return {"score": 100 * score} | {k: 100 * v for k, v in parts.items()}
+
+
+def packed(pixels: DataFrame, image: str, width: int, height: int) -> DataFrame:
+    """(image, width, height, rgba): each image's pixels as bytes, row by row."""
+    byte = lambda c: F.lpad(F.hex(c), 2, "0")
+    items = F.array_sort(F.collect_list(F.struct("y", "x", "r", "g", "b", "a")))
+    text = F.array_join(F.transform(items, lambda p: F.concat(byte(p["r"]), byte(p["g"]), byte(p["b"]), byte(p["a"]))), "")
+    return pixels.groupBy(image).agg(F.unhex(text).alias("rgba")).select(image, F.lit(width).alias("width"), F.lit(height).alias("height"), "rgba")

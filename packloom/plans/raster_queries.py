@@ -8,6 +8,7 @@ from packloom.functions import constants as C
 from packloom.functions import rules as R
 from packloom.functions import scalars as S
 from packloom.operators import boxes as B
+from packloom.operators import kernels as K
 from packloom.operators import raster as P
 from packloom.operators import stretch as B2
 from packloom.operators import tables as T
@@ -289,3 +290,15 @@ def stretch_bands(spark, d):
 def stretch_band_issues(spark, d):
     found = B2.stretch_issues(B2.stretch_bands(pixels(spark, d), "vec_id"), "vec_id", "Panel")
     return found.withColumn("edges", F.array_join("edges", ","))
+
+
+@query()
+def keyed_out_images(spark, d):
+    # Kernels on packed images have no SQL form; tests hold them to invariants.
+    return K.keyed_out(P.packed(pixels(spark, d), "vec_id", 8, 8), "vec_id", (120, 120, 120))
+
+
+@query()
+def resized_images(spark, d):
+    images = P.packed(pixels(spark, d), "vec_id", 8, 8)
+    return K.resized(images.withColumn("new_width", F.lit(5)).withColumn("new_height", F.lit(12)), "vec_id")
