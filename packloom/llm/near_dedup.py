@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, gathered, sized, text_or_empty, written
 from .components import components
-from .wordhash import mixed, slices, word_hashes
+from .wordhash import mixed, parts, slices, word_hashes
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 42, 6
@@ -99,7 +99,7 @@ def _sign(bands: int, rows: int):
     size = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for start, end in slices(texts):
                 n = end - start
@@ -126,7 +126,7 @@ def _sign(bands: int, rows: int):
 
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles and weights of each text as bytes, with the digest that its node has."""
-    for batch in batches:
+    for batch in parts(batches):
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for start, end in slices(texts):
             n = end - start
@@ -135,10 +135,10 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, d in enumerate(digests):
                 np.add.at(d, text, mixed(shingle * _ODD[2 + k] + weight.astype(np.uint64) * _GOLDEN))
             at = np.searchsorted(text, np.arange(n + 1))
-            parts = list(zip(at[:-1], at[1:], strict=True))
+            spans = list(zip(at[:-1], at[1:], strict=True))
             # Weights are left empty where all are 1.
-            weights = [weight[i:j].astype(np.uint32).tobytes() if (weight[i:j] > 1).any() else b"" for i, j in parts]
-            cells = [pa.array([shingle[i:j].tobytes() for i, j in parts], pa.binary()), pa.array(weights, pa.binary())]
+            weights = [weight[i:j].astype(np.uint32).tobytes() if (weight[i:j] > 1).any() else b"" for i, j in spans]
+            cells = [pa.array([shingle[i:j].tobytes() for i, j in spans], pa.binary()), pa.array(weights, pa.binary())]
             yield pa.RecordBatch.from_arrays([ids.slice(start, n), *(pa.array(d.view(np.int64)) for d in digests), *cells], ["doc_id", "a", "b", "shingles", "weights"])
 
 

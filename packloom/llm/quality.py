@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 from .labels import fit_rows, held_out
-from .wordhash import mixed, slices, word_hashes
+from .wordhash import mixed, parts, slices, word_hashes
 
 WORD_BITS, RANK = 14, 8
 #: The fit reads at most so many labelled rows.
@@ -117,7 +117,7 @@ def fit(samples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 10, rat
 
 
 def _featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         texts, ys = batch.column(0).to_pylist(), batch.column(1)
         for a, b in slices(texts):
             rows, feats, values = features([t.encode() for t in texts[a:b]])
@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tupl
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in parts(batches):
             texts, scores = batch.column(1).to_pylist(), [np.zeros(0)]
             for a, b in slices(texts):
                 rows, feats, values = features([t.encode() for t in texts[a:b]])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty
 from .labels import fit_rows, held_out
-from .wordhash import slices
+from .wordhash import parts, slices
 
 #: The fit reads at most so many labelled rows.
 MAX_FIT_ROWS = 20_000
@@ -62,7 +62,7 @@ def symbol(c: str) -> int:
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(SYMBOLS**3, np.int64)
-    for batch in batches:
+    for batch in parts(batches, 4096):
         texts = batch.column(0).to_pylist()
         for a, b in slices(texts, 4096):
             raw = np.frombuffer("\n".join(["", "", *texts[a:b], "", ""]).lower().encode(), np.uint8)
@@ -123,7 +123,7 @@ class Restorer(dict):
     word of interest or None.
     """
 
-    def __init__(self, model: np.ndarray, known: set[str] | None, most: int = 400_000):
+    def __init__(self, model: np.ndarray, known: set[str] | None, most: int = 200_000):
         super().__init__()
         self.model, self.known, self.most = model.tolist(), known, most
 

@@ -77,6 +77,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return counts, np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
 
 
+def parts(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow batches in parts of at most `rows` rows, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def slices(texts: list[str], rows: int = 512, size: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most `rows` rows and about `size` characters."""
     start = total = 0
