@@ -43,7 +43,13 @@ _BETWEEN = set(".,-_*'`~ ​·/\\:;#%&^=")
 _STRIP = ".,;:!?\"'()[]{}<>#%&*~^`-_=/\\|«»“”¿¡…"
 _SUSPECT = re.compile(r"[^\W\d_]")
 _REPEATED = re.compile(r"(.)\1\1")
-_SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+_EDGE = ".,;:?\"'()[]{}<>«»“”…"
+#: One sign between white space: bare, or with punctuation at its edges.
+_STRIPPED, _EDGED = (f"[{re.escape(x)}]*+" for x in (_STRIP, _EDGE))
+_SINGLE = rf"(?:\S(?!\S)|{_STRIPPED}[^\s{re.escape(_STRIP)}]{_STRIPPED}(?!\S)|{_EDGED}[!|*¡]{_EDGED}(?!\S))"
+_SPACED = re.compile(rf"(?<!\S)(?:{_SINGLE}\s++){{2,}}{_SINGLE}")
+#: A disguised word has at least so many letters.
+LEAST_LETTERS = 3
 
 SYMBOLS = 28  # edge, a to z, any other letter
 _CODE = np.zeros(256, np.uint8)
@@ -116,6 +122,65 @@ def restore(token: str, model: list, most: int = 4) -> list[str]:
     return list(dict.fromkeys(text for _, text in ends))[: 2 * most]
 
 
+class Learned:
+    """A trie of learned words, with what the character model gives each letter: the lattice restricted to them, exact."""
+
+    def __init__(self, words: set[str], model: list):
+        self.next: list[dict[str, int]] = [{}]
+        self.gain, self.word = [0.0], {}
+        ends = [(0, 0)]
+        for word in words:
+            if len(word) < LEAST_LETTERS:
+                continue
+            node = 0
+            for c in word:
+                if c not in self.next[node]:
+                    a, b = ends[node]
+                    self.next[node][c] = len(self.next)
+                    self.next.append({})
+                    self.gain.append(model[a][b][s := symbol(c)])
+                    ends.append((b, s))
+                node = self.next[node][c]
+            self.word[node] = word
+        self.last = {node: model[ends[node][0]][ends[node][1]][0] for node in self.word}
+
+    def find(self, signs: str, lead: int, tail: int) -> list[tuple[int, int, float, str]]:
+        """(start, end, score, word) of learned words that begin at sign `lead` or before and leave at most `tail` signs."""
+        live: dict[int, tuple[float, int]] = {}
+        found, before = [], ""
+        for k, c in enumerate(signs):
+            if k <= lead:
+                live[0] = (0.0, k)
+            elif not live:
+                break
+            new: dict[int, tuple[float, int]] = {}
+            for out, cost in _options(c, before):
+                for node, (x, start) in live.items():
+                    to = self.next[node].get(out) if out else node
+                    if to is not None:
+                        y = (x + cost + (self.gain[to] if out else 0.0), start)
+                        if to not in new or new[to] < y:
+                            new[to] = y
+            live, before = new, c
+            if k + 1 >= len(signs) - tail:
+                found += [(start, k + 1, x + self.last[node], self.word[node]) for node, (x, start) in live.items() if node in self.word]
+        return found
+
+    def within(self, signs: str) -> list[str]:
+        """Learned words anywhere in a run of signs, without those inside a longer one."""
+        out, reach = [], 0
+        for _, end, _, word in sorted(self.find(signs, len(signs), len(signs)), key=lambda x: (x[0], -x[1], -x[2])):
+            if end > reach:
+                out.append(word)
+                reach = end
+        return out
+
+
+def _signs(run: str) -> str:
+    """The signs of a spaced-out run, without the punctuation at their edges."""
+    return "".join(t if len(t) == 1 else t.strip(_STRIP) or t.strip(_EDGE) for t in run.lower().split())
+
+
 class Restorer(dict):
     """Token -> what is known of it, by restoring it once; emptied when it holds `most` tokens.
 
@@ -126,6 +191,7 @@ class Restorer(dict):
     def __init__(self, model: np.ndarray, known: set[str] | None, most: int = 200_000):
         super().__init__()
         self.model, self.known, self.most = model.tolist(), known, most
+        self.learned = Learned(known or set(), self.model)
 
     def __missing__(self, token: str) -> str | None:
         value = self.word(token)
@@ -158,9 +224,10 @@ class Restorer(dict):
 
     def words(self, text: str) -> list[str | None]:
         tokens = text.split()
-        if len(tokens) > 3:
-            tokens += [m.replace(" ", "") for m in _SPACED.findall(text)]
-        return list(map(self.__getitem__, tokens))
+        runs = map(_signs, _SPACED.findall(text)) if len(tokens) >= LEAST_LETTERS else ()
+        if self.known is None:
+            return list(map(self.__getitem__, [*tokens, *(x for x in runs if len(x) > 3)]))
+        return [*map(self.__getitem__, tokens), *(word for run in runs for word in self.learned.within(run))]
 
 
 # ---------------------------------------------------------------- learning and scoring

@@ -325,6 +325,16 @@ def test_restoring_disguised_words(docs):
     assert not any(restorer.words("hello world 12345 h3llo a b c the idiom stud"))
 
 
+def test_spaced_out_words_are_found_at_every_place_of_a_run(docs):
+    restorer = toxicity.Restorer(toxicity.character_model(docs), {"idiot", "stupid", "loser", "moron"})
+    wanted = {
+        "an i d i o t.": {"idiot"}, "i d i o t,": {"idiot"}, "a l o s e r": {"loser"}, "s t u p i d i d i o t": {"stupid", "idiot"},
+        "you i  d\ti\no t thing": {"idiot"}, "(i) d, i! o t": {"idiot"}, "1 d 1 0 t": {"idiot"}, "m * r * n": {"moron"}, "i d !. o t": {"idiot"},
+        "x y " * 40 + "s t u u p i d": {"stupid"}, "a b c d": set(), "i d i o": set(), "i d xx i o t": set(), "": set(),
+    }
+    assert {text: set(restorer.words(text)) - {None} for text in wanted} == wanted
+
+
 def test_toxic_rows_go_and_clean_rows_stay(spark, labels):
     docs = table(spark, SF.replace("sf0.001", "sf0.01"), "documents")
     known = table(spark, SF.replace("sf0.001", "sf0.01"), "labels")
