@@ -41,13 +41,20 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Signs put between letters; a star may also hide a letter.
 _BETWEEN = set(".,-_*'`~ ​·/\\:;#%&^=")
 _STRIP = ".,;:!?\"'()[]{}<>#%&*~^`-_=/\\|«»“”¿¡…"
-_SUSPECT = re.compile(r"[^\W\d_]")
+#: Punctuation that stands for no letter.
+_MUTE = "".join(c for c in _STRIP if c not in STANDS_FOR and c != "*")
+#: A letter, or a sign other than a digit that stands for one.
+_SUSPECT = re.compile(r"[^\W\d_]|[@$!|+(€£¡]")
+_DOUBLED = re.compile(r"(.)\1")
 _REPEATED = re.compile(r"(.)\1\1")
+_LONG = re.compile(r"([^*\d])\1{3,}")
 _EDGE = ".,;:?\"'()[]{}<>«»“”…"
 #: One sign between white space: bare, or with punctuation at its edges.
 _STRIPPED, _EDGED = (f"[{re.escape(x)}]*+" for x in (_STRIP, _EDGE))
 _SINGLE = rf"(?:\S(?!\S)|{_STRIPPED}[^\s{re.escape(_STRIP)}]{_STRIPPED}(?!\S)|{_EDGED}[!|*¡]{_EDGED}(?!\S))"
 _SPACED = re.compile(rf"(?<!\S)(?:{_SINGLE}\s++){{2,}}{_SINGLE}")
+#: Where stars hide letters, a learned word may score so much less than the free reading (it is likelier than its letters).
+WORD_GAIN = 12.0
 #: A disguised word has at least so many letters.
 LEAST_LETTERS = 3
 
@@ -106,6 +113,11 @@ def _options(c: str, before: str) -> list[tuple[str, float]]:
     return out or [("", -3.0)]
 
 
+def _shorter(run: re.Match) -> str:
+    c = run[1]
+    return run[0] if c in STANDS_FOR else c * 3 if c.isalpha() else c
+
+
 def restore(token: str, model: list, most: int = 4) -> list[str]:
     """Likeliest restorations of a disguised word, best first: Viterbi over (last two symbols), `most` paths each."""
     paths: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
@@ -122,10 +134,25 @@ def restore(token: str, model: list, most: int = 4) -> list[str]:
     return list(dict.fromkeys(text for _, text in ends))[: 2 * most]
 
 
+def free(token: str, model: list) -> float:
+    """Score of the likeliest restoration, of any letters."""
+    paths, before = {(0, 0): 0.0}, ""
+    for c in token:
+        new: dict[tuple[int, int], float] = {}
+        for out, cost in _options(c, before):
+            for (a, b), x in paths.items():
+                key, y = ((a, b), x + cost) if not out else ((b, s := symbol(out)), x + cost + model[a][b][s])
+                if key not in new or new[key] < y:
+                    new[key] = y
+        paths, before = new, c
+    return max(x + model[a][b][0] for (a, b), x in paths.items())
+
+
 class Learned:
     """A trie of learned words, with what the character model gives each letter: the lattice restricted to them, exact."""
 
     def __init__(self, words: set[str], model: list):
+        self.model = model
         self.next: list[dict[str, int]] = [{}]
         self.gain, self.word = [0.0], {}
         ends = [(0, 0)]
@@ -142,6 +169,8 @@ class Learned:
                     ends.append((b, s))
                 node = self.next[node][c]
             self.word[node] = word
+        self.longest = 1 + max(map(len, self.word.values()), default=0)
+        self.repeats = re.compile(rf"(.)\1{{{self.longest},}}")
         self.last = {node: model[ends[node][0]][ends[node][1]][0] for node in self.word}
 
     def find(self, signs: str, lead: int, tail: int) -> list[tuple[int, int, float, str]]:
@@ -166,11 +195,26 @@ class Learned:
                 found += [(start, k + 1, x + self.last[node], self.word[node]) for node, (x, start) in live.items() if node in self.word]
         return found
 
+    def best(self, token: str) -> str | None:
+        """The likeliest learned word that a token may stand for, with or without the punctuation at its edges."""
+        if len(token) > self.longest:
+            # More of one sign on end than the longest learned word has letters say nothing further.
+            token = self.repeats.sub(lambda m: m[1] * self.longest, token)
+        lead, tail = len(token) - len(token.lstrip(_STRIP)), len(token) - len(token.rstrip(_STRIP))
+        found = self.find(token, lead, tail)
+        if "*" in token and found:
+            least = max(free(token, self.model), free(token.strip(_STRIP), self.model)) - WORD_GAIN
+            found = [x for x in found if x[2] >= least]
+        return max(((x, word) for _, _, x, word in found), default=(0, None))[1]
+
     def within(self, signs: str) -> list[str]:
         """Learned words anywhere in a run of signs, without those inside a longer one."""
-        out, reach = [], 0
-        for _, end, _, word in sorted(self.find(signs, len(signs), len(signs)), key=lambda x: (x[0], -x[1], -x[2])):
-            if end > reach:
+        out, reach, least = [], 0, {}
+        for start, end, x, word in sorted(self.find(signs, len(signs), len(signs)), key=lambda x: (x[0], -x[1], -x[2])):
+            part = signs[start:end]
+            if "*" in part and part not in least:
+                least[part] = free(part, self.model) - WORD_GAIN
+            if end > reach and x >= least.get(part, x):
                 out.append(word)
                 reach = end
         return out
@@ -203,24 +247,20 @@ class Restorer(dict):
 
     def word(self, token: str) -> str | None:
         known, low = self.known, token.lower()
-        if known is not None and low in known:
-            return low
         plain = low.strip(_STRIP)
+        if known is not None:
+            if low in known or plain in known:
+                return low if low in known else plain
+            # Letters without a double stand for themselves alone.
+            sure = low.strip(_MUTE)
+            return None if sure.isalpha() and not _DOUBLED.search(sure) else self.learned.best(low)
         if plain.isalpha() and not _REPEATED.search(plain):
-            if known is None:
-                return plain
-            if plain in known:
-                return plain
-            # One doubled letter opens the lattice only where a learned word could come out.
-            single = re.sub(r"(.)\1", r"\1", plain)
-            if single not in known:
-                return None
-        # Too long for a disguised word, or hardly a letter or stand-in for one in it.
-        held = low.strip(".,;:?\"'()[]{}<>«»“”…")
-        if not 3 <= len(held) <= 32 or not _SUSPECT.search(held) or sum(map(str.isdigit, held)) > 0.6 * len(held):
-            return plain or None if known is None else None
-        found = restore(held, self.model) + (restore(plain, self.model) if plain and plain != held else [])
-        return (found or [None])[0] if known is None else next((x for x in found if x in known), None)
+            return plain
+        # Repeated letters and signs that stand for nothing are shortened; then too long for a disguised word, or a number.
+        held = _LONG.sub(_shorter, low.strip(_EDGE))
+        if not LEAST_LETTERS <= len(held) <= 32 or not _SUSPECT.search(held):
+            return plain or None
+        return (restore(held, self.model) + (restore(plain, self.model) if plain and plain != held else []) or [None])[0]
 
     def words(self, text: str) -> list[str | None]:
         tokens = text.split()

@@ -335,6 +335,15 @@ def test_spaced_out_words_are_found_at_every_place_of_a_run(docs):
     assert {text: set(restorer.words(text)) - {None} for text in wanted} == wanted
 
 
+def test_doubles_digits_and_long_repetitions_are_decoded(docs):
+    model = toxicity.character_model(docs)
+    restorer = toxicity.Restorer(model, {"idiot", "loser", "worthless"})
+    wanted = {"worthlless": "worthless", "woorthlesss": "worthless", "1053r": "loser", "1d107": "idiot", "1d1ot!!": "idiot", "!diot!": "idiot", "id" + "i" * 100 + "ot": "idiot", "i" + "." * 60 + "diot": "idiot", "worthles": None, "hello": None, "12345": None, "1" * 5000: None, "-" * 5000: None, "": None}
+    assert {token: restorer[token] for token in wanted} == wanted
+    learning = toxicity.Restorer(model, None)
+    assert learning["12345"] == "12345" and learning["s" + "t" * 100 + "one"] == "stone" and learning["1053r"].isalpha()
+
+
 def test_toxic_rows_go_and_clean_rows_stay(spark, labels):
     docs = table(spark, SF.replace("sf0.001", "sf0.01"), "documents")
     known = table(spark, SF.replace("sf0.001", "sf0.01"), "labels")
