@@ -53,7 +53,7 @@ _EDGE = ".,;:?\"'()[]{}<>«»“”…"
 _STRIPPED, _EDGED = (f"[{re.escape(x)}]*+" for x in (_STRIP, _EDGE))
 _SINGLE = rf"(?:\S(?!\S)|{_STRIPPED}[^\s{re.escape(_STRIP)}]{_STRIPPED}(?!\S)|{_EDGED}[!|*¡]{_EDGED}(?!\S))"
 _SPACED = re.compile(rf"(?<!\S)(?:{_SINGLE}\s++){{2,}}{_SINGLE}")
-#: Where stars hide letters, a learned word may score so much less than the free reading (it is likelier than its letters).
+#: Where stars at an edge or in a spaced-out run hide letters, a learned word may score so much less than the free reading.
 WORD_GAIN = 12.0
 #: A disguised word has at least so many letters.
 LEAST_LETTERS = 3
@@ -202,9 +202,10 @@ class Learned:
             token = self.repeats.sub(lambda m: m[1] * self.longest, token)
         lead, tail = len(token) - len(token.lstrip(_STRIP)), len(token) - len(token.rstrip(_STRIP))
         found = self.find(token, lead, tail)
-        if "*" in token and found:
+        if any("*" in (token[start], token[end - 1]) for start, end, _, _ in found):
+            # A star at an edge is more often punctuation than a letter; within a word it hides one.
             least = max(free(token, self.model), free(token.strip(_STRIP), self.model)) - WORD_GAIN
-            found = [x for x in found if x[2] >= least]
+            found = [x for x in found if x[2] >= least or "*" not in (token[x[0]], token[x[1] - 1])]
         return max(((x, word) for _, _, x, word in found), default=(0, None))[1]
 
     def within(self, signs: str) -> list[str]:

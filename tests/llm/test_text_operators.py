@@ -344,6 +344,16 @@ def test_doubles_digits_and_long_repetitions_are_decoded(docs):
     assert learning["12345"] == "12345" and learning["s" + "t" * 100 + "one"] == "stone" and learning["1053r"].isalpha()
 
 
+def test_every_learned_word_behind_stars_is_found(docs):
+    known = {"idiot", "moron", "worthless", "trash", "disgusting"}
+    restorer = toxicity.Restorer(toxicity.character_model(docs), known)
+    for word in known:
+        for hidden in range(1, 2 ** (len(word) - 2) - 1):
+            masked = "".join("*" if 0 < k < len(word) - 1 and hidden >> k - 1 & 1 else c for k, c in enumerate(word))
+            assert restorer[masked] == word, masked
+    assert not any(restorer.words("***** idi***** th*** * * * * * * * * * *"))
+
+
 def test_toxic_rows_go_and_clean_rows_stay(spark, labels):
     docs = table(spark, SF.replace("sf0.001", "sf0.01"), "documents")
     known = table(spark, SF.replace("sf0.001", "sf0.01"), "labels")
