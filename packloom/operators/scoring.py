@@ -37,16 +37,24 @@ def dimension_totals(issues: DataFrame) -> DataFrame:
     return scored(issues).groupBy("dimension").agg(F.count("*").alias("issue_count"), F.sum("penalty").cast("long").alias("deduction"))
 
 
-def run_score(issues: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Mean of the jobs' scores, half to even (100 without jobs), less the penalties of issues of no job; one row."""
-    mean = job_scores(issues, jobs).agg(F.coalesce(F.bround(F.avg("score")), F.lit(100.0)).cast("long").alias("mean"))
-    loose = scored(issues).join(jobs.select("job_id").distinct(), "job_id", "left_anti").agg(F.coalesce(F.sum("penalty"), F.lit(0).cast("long")).alias("loose"))
+def run_totals(issues: DataFrame, jobs: DataFrame) -> DataFrame:
+    """score, hard_blockers, status of a run, with job_mean and deduction, of which the score is the difference, 0 at least; one row.
+
+    job_mean: mean of the jobs' scores, half to even (100 without jobs); deduction: the penalties of issues of no job.
+    """
+    mean = job_scores(issues, jobs).agg(F.coalesce(F.bround(F.avg("score")), F.lit(100.0)).cast("long").alias("job_mean"))
+    loose = scored(issues).join(jobs.select("job_id").distinct(), "job_id", "left_anti").agg(F.coalesce(F.sum("penalty"), F.lit(0)).cast("long").alias("deduction"))
     fails = issues.agg(F.count_if(F.col("severity") == "fail").alias("hard_blockers"))
     # Three one-row results; the join condition is a constant on one row each.
     one = lambda df: df.withColumn("run", F.lit(1))
     out = one(mean).join(one(loose), "run").join(one(fails), "run")
-    score = F.greatest(F.lit(0).cast("long"), F.col("mean") - F.col("loose"))
-    return out.select(score.alias("score"), "hard_blockers").withColumn("status", S.quality_status(F.col("score"), F.col("hard_blockers")))
+    score = F.greatest(F.lit(0).cast("long"), F.col("job_mean") - F.col("deduction"))
+    return out.select(score.alias("score"), "hard_blockers", "job_mean", "deduction").withColumn("status", S.quality_status(F.col("score"), F.col("hard_blockers")))
+
+
+def run_score(issues: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Mean of the jobs' scores, half to even (100 without jobs), less the penalties of issues of no job; one row."""
+    return run_totals(issues, jobs).select("score", "hard_blockers", "status")
 
 
 def primary_issues(issues: DataFrame) -> DataFrame:

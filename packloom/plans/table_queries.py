@@ -50,6 +50,18 @@ def quality_run_score(spark, d):
     return scoring.run_score(issues(spark, d).where(own | (F.col("ord") % 5000 == 0)), known)
 
 
+@query(f"""WITH {ISSUES}, known AS (SELECT * FROM jobs WHERE CAST(split_part(job_id, '-', 1) AS BIGINT) % 7 <> 0),
+js AS ({_ROLLED.format(key='job_id', keys='known')}),
+x AS (SELECT (SELECT CAST(round_even(avg(score), 0) AS BIGINT) FROM js) AS job_mean, (SELECT CAST(coalesce(sum(penalty), 0) AS BIGINT) FROM scored WHERE job_id NOT IN (SELECT job_id FROM known)) AS deduction,
+  (SELECT count(*) FILTER (WHERE severity = 'fail') FROM issues) AS f)
+SELECT CAST(greatest(0, job_mean - deduction) AS BIGINT) AS score, f AS hard_blockers, CASE WHEN f > 0 THEN 'blocked' WHEN job_mean - deduction >= 90 THEN 'excellent' WHEN job_mean - deduction >= 75 THEN 'good'
+  WHEN job_mean - deduction >= 60 THEN 'fair' ELSE 'poor' END AS status, job_mean, deduction FROM x""")
+def quality_run_totals(spark, d):
+    # The run of quality_run_score with all issues of its unknown jobs; the deduction tells what a score of 0 hides.
+    known = jobs(spark, d).where(F.split_part("job_id", F.lit("-"), F.lit(1)).cast("long") % 7 != 0)
+    return scoring.run_totals(issues(spark, d), known)
+
+
 @query(f"""WITH {ISSUES} SELECT job_id, code, severity, dimension, penalty FROM (
   SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY (severity = 'fail') DESC, penalty DESC, code DESC) AS k FROM scored) WHERE k = 1""")
 def primary_issue_per_job(spark, d):

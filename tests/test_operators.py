@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from packloom.functions import rules as R
 from packloom.functions import scalars as S
 from packloom.operators import boxes, raster, scoring, tables
+from packloom.plans import standins, table_queries
+
+from .conftest import SF
 
 
 def value(spark, column):
@@ -84,3 +87,11 @@ def test_empty_tables_give_empty_results(spark):
     assert boxes.overlapping_pairs(none, "image_id", "comp_id").isEmpty()
     assert boxes.row_major(none, "image_id").isEmpty()
     assert boxes.classified_components(none, ["image_id"]).isEmpty()
+
+
+def test_run_totals_take_every_issue(spark):
+    found = table_queries.quality_run_totals(spark, SF).first()
+    rows = scoring.scored(standins.issues(spark, SF)).select("job_id", "severity", "penalty").collect()
+    assert found.hard_blockers == sum(r.severity == "fail" for r in rows)
+    assert found.deduction == sum(r.penalty for r in rows if int(r.job_id.split("-")[0]) % 7 == 0)
+    assert found.score == max(0, found.job_mean - found.deduction)
