@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local mode alone)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is to name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="packloom-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -34,23 +37,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-#: Rows to a partition of a cut table that is read again and again.
-ROWS_A_PARTITION = 50_000
-
-
-def gathered(df: DataFrame) -> DataFrame:
-    """A cut table in as many partitions as its rows need, at most its own, so that later stages are no more tasks."""
-    done = cut(df)
-    return done.coalesce(1 + done.count() // ROWS_A_PARTITION)
+#: Rows that a Python worker is sent at once where rows are wide, so that JVM and Python hold a few MB of them each.
+FEW_ROWS = "1000"
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, for wider rows; it goes when the driver's Python ends."""
+    """df as a Parquet table in the shared folder; it goes with `forget`, else when the driver's Python ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, FEW_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
     atexit.register(_drop, spark, path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of `written` that nothing reads any more."""
+    for df in tables:
+        _drop(df.sparkSession, df.scratch_path)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -62,6 +73,32 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """name, or the first of name_, name__, ... that docs has no column of (in either case)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Type of the column that `identified` adds.
+KEY = "struct<file:bigint,at:bigint>"
+
+
+def identified(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with one column more that tells its rows apart, however often they are read, and that column's name.
+
+    Rows of files are known by a digest of the file's path (a million files share one with probability 3e-8) and the
+    place there. Where docs isn't read from files, it is written once.
+    """
+    name = fresh(docs, "row_key")
+    key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.select("*", key.alias(name)), name
+    except AnalysisException:
+        return written(docs.select("*", F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("at")).alias(name)), "identified"), name
+
+
 #: Sides of a join of up to so many narrow rows, counted first, are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -73,3 +110,10 @@ def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """Rows of an identified table whose key isn't in gone (file, at)."""
+    gone = written(gone, "gone")
+    same = (keyed[key]["file"] == gone["file"]) & (keyed[key]["at"] == gone["at"])
+    return keyed.join(sized(gone), same, "left_anti")

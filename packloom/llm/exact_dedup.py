@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, cut, sized, text_or_empty
+from .common import BLANKS, KEY, cut, identified, text_or_empty, without
 
 MEAN_BITS, LEAST, MOST = 10, 256, 8192
 #: More disputed digests than this are not sent to the tasks; every document then carries its bytes.
@@ -55,7 +55,7 @@ def _chunks(text: str, bits: int) -> tuple[bytes, list[tuple[int, bytes]]]:
     return data, found
 
 
-_RECIPES = "doc_id long, chars long, text_sha256 string, recipe array<long>, disputed array<binary>"
+_RECIPES = f"doc_id long, key {KEY}, chars long, text_sha256 string, recipe array<long>, disputed array<binary>"
 
 
 def _recipes(bits: int, disputed: frozenset[int] | None):
@@ -69,8 +69,8 @@ def _recipes(bits: int, disputed: frozenset[int] | None):
                 recipes.append([d for d, _ in found])
                 beside.append([part for d, part in found if disputed is None or d in disputed])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(chars, pa.int64()), pa.array(digests, pa.string()), pa.array(recipes, pa.list_(pa.int64())), pa.array(beside, pa.list_(pa.binary()))],
-                ["doc_id", "chars", "text_sha256", "recipe", "disputed"],
+                [batch.column(0), batch.column(2), pa.array(chars, pa.int64()), pa.array(digests, pa.string()), pa.array(recipes, pa.list_(pa.int64())), pa.array(beside, pa.list_(pa.binary()))],
+                ["doc_id", "key", "chars", "text_sha256", "recipe", "disputed"],
             )
 
     return run
@@ -97,14 +97,9 @@ FROM normal WINDOW w AS (PARTITION BY t ORDER BY chars DESC, doc_id)
 """
 
 
-def dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
-    """One row for each document: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when identical without white space. The longest original text (code points), then the smallest
-    doc_id stays. Null and empty texts are one group; a null doc_id comes after all others. Of repeated rows with
-    one doc_id, one stays. No rows: none. Other columns of docs are ignored.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+def _judged(docs: DataFrame, digest_bits: int, key: str | None) -> DataFrame:
+    known_by = F.col(key) if key else F.lit(None).cast(KEY)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), known_by.alias("key"))
     # A digest with more than one content is no identifier. Contents meet by (digest, content), once each and task.
     clashes = rows.mapInArrow(_contents(digest_bits), "digest long, content binary").distinct().groupBy("digest").count().where("count > 1").select("digest")
     found = clashes.limit(DISPUTED_MOST + 1).collect()
@@ -117,6 +112,7 @@ def dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
     alone = F.col("n").isNull()
     return recipes.join(groups, ["recipe", "disputed"], "left").select(
         "doc_id",
+        "key",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
         (alone | (F.col("keep.row") == F.col("row"))).alias("kept"),
@@ -124,15 +120,18 @@ def dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
     )
 
 
+def dedup(docs: DataFrame, digest_bits: int = 64) -> DataFrame:
+    """One row for each document: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when identical without white space. The longest original text (code points), then the smallest
+    doc_id stays. Null and empty texts are one group; a null doc_id comes after all others. Of repeated rows with
+    one doc_id, one stays. No rows: none. Other columns of docs are ignored.
+    """
+    return _judged(docs, digest_bits, None).drop("key")
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose document stays, with all their columns; a row repeated with its doc_id stays once."""
-    judged = cut(dedup(docs).groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
-    sha = F.sha2(F.translate(text_or_empty(), BLANKS, ""), 256)
-    keyed = docs.withColumn("_sha", sha)
-    same = lambda other: F.col("doc_id").eqNullSafe(other["_id"]) & (F.col("_sha") == other["_other"])
-    keys = lambda rows: sized(rows.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_other")))
-    gone, twice = keys(judged.where("not kept or n > 1")), keys(judged.where("kept and n > 1"))
-    once = keyed.join(gone, same(gone), "left_anti")
-    if twice.isEmpty():
-        return once.drop("_sha")
-    return once.unionByName(keyed.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "_sha"])).drop("_sha")
+    """The rows of docs that `dedup` keeps, with all their columns: one of each group, whatever doc_ids its rows share."""
+    keyed, key = identified(docs)
+    gone = _judged(keyed, 64, key).where("not kept").select("key.file", "key.at")
+    return without(keyed, key, gone).select(*docs.columns)

@@ -10,8 +10,9 @@ component of its document.
 Signatures are cut into bands. Documents with equal multisets are one node. Within a band's bucket the most central
 node is compared with all others; where a bucket still holds several components, its minor ones are compared with
 every node of another component. Left out are pairs that cannot reach the threshold with the shingles that each shares
-with any node at all (an exact bound), and pairs whose signatures exclude it by four standard errors; all others are
-verified by the exact overlap of their multisets. Components of the verified links are the classes.
+with any node at all (an exact bound), and pairs whose signatures exclude it by six standard errors (about one pair in
+10**9 at the threshold, less than banding misses; errors=None verifies these too); all others are verified by the exact
+overlap of their multisets. Components of the verified links are the classes.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, gathered, sized, text_or_empty, written
+from .common import KEY, forget, identified, sized, text_or_empty, without, written
 from .components import components
 from .wordhash import mixed, parts, slices, word_hashes
 
@@ -31,8 +32,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 42, 6
 #: Bits kept of each component for estimates, and longs that hold them.
 NIBBLES = 16
-#: A pair is left unverified where its estimate is so many standard errors below the threshold (three in 100,000 at it).
-ERRORS = 4
+#: A pair is left unverified where its estimate is so many standard errors below the threshold; None: none is.
+ERRORS = 6
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _ODD = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)]
 
@@ -92,7 +93,7 @@ def bag_signatures(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n:
     return signature.reshape(n, size)
 
 
-_SIGNED = "doc_id long, n long, a long, b long, bands array<long>, sketch array<long>"
+_SIGNED = f"doc_id long, key {KEY}, n long, a long, b long, bands array<long>, sketch array<long>"
 
 
 def _sign(bands: int, rows: int):
@@ -100,7 +101,7 @@ def _sign(bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, keys, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
             for start, end in slices(texts):
                 n = end - start
                 text, shingle, weight = shingles([t.encode() for t in texts[start:end]])
@@ -117,8 +118,8 @@ def _sign(bands: int, rows: int):
                 sketch = np.bitwise_or.reduce(nibble.reshape(n, NIBBLES, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=2)
                 lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel().view(np.int64)), x.shape[1]).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, n), pa.array(total), *(pa.array(d.view(np.int64)) for d in digests), lists(band), lists(sketch)],
-                    ["doc_id", "n", "a", "b", "bands", "sketch"],
+                    [ids.slice(start, n), keys.slice(start, n), pa.array(total), *(pa.array(d.view(np.int64)) for d in digests), lists(band), lists(sketch)],
+                    ["doc_id", "key", "n", "a", "b", "bands", "sketch"],
                 )
 
     return run
@@ -182,44 +183,46 @@ def _estimate(s: Column, t: Column, size: int) -> Column:
     return 1 - unequal / (size * 15 / 16)
 
 
-def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, key: str | None = None, errors: float | None = ERRORS) -> tuple[DataFrame, DataFrame]:
     """(documents with their node, verified links between nodes).
 
-    Documents: doc_id, n, a, b, row, node; nodes are the least rows of equal multisets. Links: x, y, similarity; not
-    all links of a class are listed, but enough of them to connect it.
+    Documents: doc_id, key (the column of that name of docs, else null), n, a, b, row, node; nodes are the least rows
+    of equal multisets. Links: x, y, similarity; not all links of a class are listed, but enough of them to connect it.
     """
     size = bands * rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = cut(texts.mapInArrow(_sign(bands, rows), _SIGNED).withColumn("row", F.monotonically_increasing_id()))
+    known_by = F.col(key) if key else F.lit(None).cast(KEY)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), known_by.alias("key"), text_or_empty().alias("text"))
+    signed = written(texts.mapInArrow(_sign(bands, rows), _SIGNED).withColumn("row", F.monotonically_increasing_id()), "signed")
     wordy = signed.where("n > 0")
-    nodes = gathered(wordy.groupBy("n", "a", "b").agg(F.min("row").alias("node")))
+    nodes = written(wordy.groupBy("n", "a", "b").agg(F.min("row").alias("node")), "nodes")
     first = signed.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
     exploded = first.select("row", F.explode("bands").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
-    members = gathered(exploded.join(shared, "bucket"))
-    central = members.groupBy("row").agg(F.sum("in_bucket").alias("degree"))
-    facts = gathered(first.join(central, "row").select("row", "doc_id", "n", "a", "b", "degree", "sketch"))
+    met = written(exploded.join(shared, "bucket"), "members")
+    central = met.groupBy("row").agg(F.sum("in_bucket").alias("degree"))
+    whole = written(first.join(central, "row").select("row", "doc_id", "n", "a", "b", "degree", "sketch"), "facts")
 
     # Multisets of these nodes alone, read again from their texts.
-    wanted = facts.select(F.col("doc_id").alias("_id")).distinct()
-    some = texts.join(sized(gathered(wanted)), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    wanted = written(whole.select(F.col("doc_id").alias("_id")).distinct(), "wanted")
+    some = texts.join(sized(wanted), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("doc_id", "text")
     bags = some.mapInArrow(_multisets, "doc_id long, a long, b long, shingles binary, weights binary").withColumnRenamed("doc_id", "_id")
-    keys = facts.select("row", F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("doc_id").alias("fid"))
+    keys = whole.select("row", F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("doc_id").alias("fid"))
     bags = written(bags.join(sized(keys), (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")) & F.col("_id").eqNullSafe(F.col("fid"))).select("row", "shingles", "weights").dropDuplicates(["row"]), "multisets")
 
     # Weight that a node shares with any other: an exact bound on its similarities, which settles most outliers.
     only = F.struct(F.min("owner").alias("owner"), F.min("weight").alias("weight"), F.count("*").alias("times"))
     alone = bags.mapInArrow(_exploded, "owner long, shingle long, weight long").groupBy("shingle").agg(only.alias("x")).where("x.times = 1").groupBy("x.owner").agg(F.sum("x.weight").alias("alone"))
     shared_weight = F.col("n") - F.coalesce("alone", F.lit(0))
-    facts = gathered(facts.join(alone, F.col("row") == F.col("owner"), "left").select("row", "n", shared_weight.alias("common"), "degree", "sketch").where(F.col("common") >= threshold * F.col("n")))
-    members = gathered(members.select("bucket", "row").join(facts, "row"))
+    facts = written(whole.join(alone, F.col("row") == F.col("owner"), "left").select("row", "n", shared_weight.alias("common"), "degree", "sketch").where(F.col("common") >= threshold * F.col("n")), "facts")
+    members = written(met.select("bucket", "row").join(facts, "row"), "members")
 
     error = (threshold * (1 - threshold) / size) ** 0.5
 
     def likely(t: str) -> Column:
         """A member and the node in struct t may be similar: by what they can share, then by their sketches."""
         both = F.least(F.col("common"), F.col(f"{t}.common"))
-        return (both >= threshold * (F.col("n") + F.col(f"{t}.n") - both)) & (_estimate(F.col("sketch"), F.col(f"{t}.sketch"), size) >= threshold - ERRORS * error)
+        possible = both >= threshold * (F.col("n") + F.col(f"{t}.n") - both)
+        return possible if errors is None else possible & (_estimate(F.col("sketch"), F.col(f"{t}.sketch"), size) >= threshold - errors * error)
 
     lows = lambda df: df.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
@@ -229,43 +232,40 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
         return found.mapInArrow(_overlaps, "x long, y long, similarity double").where(F.col("similarity") >= threshold)
 
     facing = F.struct("row", "n", "common", "sketch")
-    hubs = gathered(members.groupBy("bucket").agg(F.max_by(facing, F.struct("degree", (-F.col("row")).alias("low"))).alias("hub")))
-    tried = gathered(lows(members.join(hubs, "bucket").where((F.col("row") != F.col("hub.row")) & likely("hub")).select(F.col("hub.row").alias("x"), F.col("row").alias("y"))))
-    links = gathered(verified(tried))
+    hubs = written(members.groupBy("bucket").agg(F.max_by(facing, F.struct("degree", (-F.col("row")).alias("low"))).alias("hub")), "hubs")
+    tried = written(lows(members.join(hubs, "bucket").where((F.col("row") != F.col("hub.row")) & likely("hub")).select(F.col("hub.row").alias("x"), F.col("row").alias("y"))), "tried")
+    links = written(verified(tried), "links")
 
     # Buckets that hold several components yet: their minor ones against the nodes of all others.
-    roots = gathered(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select(F.col("node").alias("row"), "root")
-    rooted = gathered(members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")))
-    main = rooted.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("n")).where("n > 1")
-    rooted = rooted.join(gathered(main.select("bucket", "main")), "bucket")
+    roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("node").alias("row"), "root")
+    placed = written(members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row")), "rooted")
+    main = placed.groupBy("bucket", "root").count().groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("n")).where("n > 1")
+    open_buckets = written(main.select("bucket", "main"), "open")
     # With all their buckets, so that a pair is met only in the least one that its nodes share.
-    rooted = gathered(rooted.join(first.select("row", "bands"), "row"))
+    rooted = written(placed.join(open_buckets, "bucket").join(first.select("row", "bands"), "row"), "rooted")
     minor = rooted.where("root <> main").select("bucket", F.struct("row", "n", "common", "sketch", "bands").alias("x"), F.col("root").alias("minor"), F.col("main").alias("other"))
     # Of two minor components the pair is met once.
     across = (F.col("root") != F.col("minor")) & ((F.col("root") == F.col("other")) | (F.col("row") > F.col("x.row")))
     once = F.array_min(F.array_intersect("bands", F.col("x.bands"))) == F.col("bucket")
     rest = lows(rooted.join(minor, "bucket").where(across & likely("x") & once).select("x.row", F.col("row").alias("y")).withColumnRenamed("row", "x"))
-    more = gathered(verified(gathered(rest.join(tried, ["x", "y"], "left_anti"))))
+    again = written(rest.join(tried, ["x", "y"], "left_anti"), "tried")
+    more = written(verified(again), "links")
+    forget(met, whole, wanted, facts, members, hubs, tried, placed, open_buckets, rooted, again, bags)
     # The node columns are copied onto every document; groups of copies of any size are split by the join.
-    known = signed.select("doc_id", "n", "a", "b", "row").join(nodes, ["n", "a", "b"], "left")
+    known = signed.select("doc_id", "key", "n", "a", "b", "row").join(nodes, ["n", "a", "b"], "left")
     return known, links.unionByName(more)
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), class_size, shingles, kept of each document.
-
-    Texts of fewer than five words are one shingle. Texts without words (null, empty, blank) are each alone. Of each
-    class the row of the least doc_id is kept; null doc_ids come last, and a class of them has a null id. Repeated rows
-    are copies of each other. No rows: none. Other columns of docs are ignored.
-    """
-    known, links = link(docs, threshold, bands, rows)
-    roots = gathered(components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))).select("node", "root")
-    placed = cut(known.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node", "row")).select("doc_id", "n", "row", "class"))
+def _judged(docs: DataFrame, threshold: float, bands: int, rows: int, key: str | None, errors: float | None) -> DataFrame:
+    known, links = link(docs, threshold, bands, rows, key, errors)
+    roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))).select("node", "root")
+    placed = written(known.join(roots, "node", "left").withColumn("class", F.coalesce("root", "node", "row")).select("doc_id", "key", "n", "row", "class"), "placed")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
-    sizes = gathered(placed.groupBy("class").agg(F.count("*").alias("class_size"), best.alias("best")).where("class_size > 1"))
+    sizes = written(placed.groupBy("class").agg(F.count("*").alias("class_size"), best.alias("best")).where("class_size > 1"), "classes")
     alone = F.col("class_size").isNull()
     return placed.join(sizes, "class", "left").select(
         "doc_id",
+        "key",
         F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
         F.col("n").alias("shingles"),
@@ -273,8 +273,18 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     )
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose doc_id is kept by `classes`, with all their columns; doc_id is to be unique in docs."""
-    judged = classes(docs, threshold).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("kept"))
-    gone = gathered(judged.where("not kept").select("_id"))
-    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, errors: float | None = ERRORS) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), class_size, shingles, kept of each document.
+
+    Texts of fewer than five words are one shingle. Texts without words (null, empty, blank) are each alone. Of each
+    class the row of the least doc_id is kept; null doc_ids come last, and a class of them has a null id. Repeated rows
+    are copies of each other. No rows: none. Other columns of docs are ignored.
+    """
+    return _judged(docs, threshold, bands, rows, None, errors).drop("key")
+
+
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, errors: float | None = ERRORS) -> DataFrame:
+    """The rows of docs that `classes` keeps, with all their columns: one of each class, whatever doc_ids its rows share."""
+    keyed, key = identified(docs)
+    gone = _judged(keyed, threshold, BANDS, ROWS, key, errors).where("not kept").select("key.file", "key.at")
+    return without(keyed, key, gone).select(*docs.columns)

@@ -44,7 +44,7 @@ class Encoder:
     so the text is cut before each blank and each word's ids are looked up.
     """
 
-    def __init__(self, vocabulary: str, cache_words: int = 500_000):
+    def __init__(self, vocabulary: str, cache_words: int = 100_000):
         import public_tokenizers
         import tiktoken
 

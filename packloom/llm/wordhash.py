@@ -9,7 +9,7 @@ import numpy as np
 from .common import BLANKS
 
 #: Bytes hashed at once; longer texts go in several pieces, cut at blanks.
-PIECE = 2_000_000
+PIECE = 250_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.Generator(np.random.PCG64(20_240))
 _BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,7 +84,7 @@ def parts(batches: Iterator, rows: int = 512) -> Iterator:
             yield batch.slice(start, rows)
 
 
-def slices(texts: list[str], rows: int = 512, size: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str], rows: int = 512, size: int = 250_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most `rows` rows and about `size` characters."""
     start = total = 0
     for k, t in enumerate(texts):
