@@ -1,10 +1,11 @@
 """Mixing sources to target weights by systematic sampling.
 
 Targets share all words by the sources' weights, water-filled under a cap of `most` times a source's own words. A
-source's documents stand in order of size; the prefix sum of their expected copies, target / words of the source
-each, plus one random offset crosses integers, and each crossing emits the document once. As sizes only rise along
-the order, a source's words miss its target by at most its largest document, about; of some equally spaced offsets
-each source takes the one that comes nearest.
+source's documents stand in an order whose sizes rise and then fall: every other one of the sizes' order going up, the
+others coming down. The prefix sum of their expected copies, target / words of the source each, plus one random offset
+crosses integers, and each crossing emits the document once. So every document is taken with its expected copies on
+average, and as neighbours are alike in size and both ends are small, a source's words miss its target by less than its
+largest document.
 
 Ranks come from a range sort and counts by partition, so no source, however large, meets in one task.
 """
@@ -14,14 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, sized, text_or_empty
+from .common import KEY, cut, fresh, identified, sized, text_or_empty
 
 #: Weights of the sources in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "packloom"
-#: A source tries so many equally spaced offsets, the first one random, and takes the one that comes nearest its target.
-OFFSETS = 16
 
 
 def words(text: Column) -> Column:
@@ -50,51 +49,51 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> Dat
     return levels.withColumn("top", F.max("level").over(everything)).select("no_source", "source", "source_size", F.least(cap.cast("double"), F.col("top") * F.col("weight")).alias("target"))
 
 
-def sample(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """Copies of each document: doc_id, size, source_size, target, taken, copies.
-
-    Null text has size 0; a null source is a source of its own, last. Sources without words have target 0 and are
-    not taken. Repeated rows are sampled each on its own. No rows: none. Reruns give the same rows.
-    """
+def _sampled(docs: DataFrame, weights: tuple, most: int, seed: str, key: str | None) -> DataFrame:
     spark = docs.sparkSession
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words(text_or_empty()).alias("size"))
+    known_by = F.col(key) if key else F.lit(None).cast(KEY)
+    # Cut before the range sort, which would else count the words of all texts twice.
+    measured = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), known_by.alias("key"), F.col("source").isNull().alias("no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), words(text_or_empty()).alias("size"), F.xxhash64(text_or_empty()).alias("digest")))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # Cut, as a range's bounds may differ when it is computed again.
-    ranged = cut(measured.repartitionByRange(parts, "no_source", "source", "size", "doc_id").withColumn("part", F.spark_partition_id()))
+    # Rows alike in all else are dealt by a salt, so that no range holds them all. Cut, as bounds may differ when computed again.
+    salted = measured.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+    ranged = cut(salted.repartitionByRange(parts, "no_source", "source", "size", "doc_id", "digest", "salt").withColumn("part", F.spark_partition_id()))
     sources = targets(ranged.select("no_source", "source", "size"), weights, most)
-    counts = ranged.groupBy("no_source", "source", "part").count()
-    before = Window.partitionBy("no_source", "source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("no_source", "source", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("rows_before"))
+    counts = ranged.groupBy("no_source", "source", "part").agg(F.count("*").alias("rows"))
+    source = Window.partitionBy("no_source", "source")
+    before = source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("no_source", "source", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"), F.sum("rows").over(source).alias("rows"))
     # One row for each source and partition that holds it: no more than sources + partitions.
     facts = cut(counts.join(sources, ["no_source", "source"]))
-    local = F.row_number().over(Window.partitionBy("part", "no_source", "source").orderBy("size", "doc_id"))
+    local = F.row_number().over(Window.partitionBy("part", "no_source", "source").orderBy("size", "doc_id", "digest", "salt"))
     offset = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("no_source").cast("string"), F.col("source"))), 1, 8), 16, 10).cast("double") / 4294967296.0
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    ranked = ranged.withColumn("local", local).join(sized(facts), ["part", "no_source", "source"]).withColumn("rank", F.col("local") + F.col("rows_before"))
+    # Odd ranks by size go up, even ones come down after them.
+    place = F.when(F.col("rank") % 2 == 1, (F.col("rank") + 1) / 2).otherwise(F.col("rows") + 1 - F.col("rank") / 2)
+    at = lambda k: F.floor(F.col("offset") + F.col("each") * k)
+    copies = F.least(at(F.col("place")) - at(F.col("place") - 1), F.lit(most)).cast("long")
+    drawn = ranked.withColumn("place", place).withColumn("each", each).withColumn("offset", offset).withColumn("copies", copies)
+    return drawn.select("doc_id", "key", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
 
-    def copies(k) -> Column:
-        at = lambda rank: F.floor((F.col("offset") + (k if isinstance(k, Column) else F.lit(k)) / float(OFFSETS)) % 1.0 + F.col("each") * rank)
-        return F.least(at(F.col("rank")) - at(F.col("rank") - 1), F.lit(most)).cast("long")
+def sample(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
+    """Copies of each document: doc_id, size, source_size, target, taken, copies.
 
-    ranked = cut(
-        ranged.withColumn("local", local)
-        .join(sized(facts), ["part", "no_source", "source"])
-        .select("doc_id", "no_source", "source", "size", "source_size", "target", (F.col("local") + F.col("rows_before")).alias("rank"), each.alias("each"), offset.alias("offset"))
-    )
-    # All offsets' words in one pass; each source takes the one that comes nearest its target.
-    near = [F.struct(F.abs(F.sum(copies(k) * F.col("size")) - F.first("target")).alias("miss"), F.lit(k).alias("k")) for k in range(OFFSETS)]
-    best = cut(ranked.groupBy("no_source", "source").agg(F.array_min(F.array(*near))["k"].alias("k")))
-    return ranked.join(sized(best), ["no_source", "source"]).withColumn("copies", copies(F.col("k"))).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    Null text has size 0; a null source is a source of its own, last. Sources without words have target 0 and are
+    not taken. Repeated rows are sampled each on its own. No rows: none. Reruns give the same rows.
+    """
+    return _sampled(docs, weights, most, seed, None).drop("key")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """The documents themselves, with all columns, each row as often as the mix takes it.
-
-    Rows that share a doc_id are each taken as often as the one of them that is taken most.
-    """
-    taken = sample(docs, weights, most, seed).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_copies"))
-    taken = cut(taken)
-    found = docs.join(sized(taken), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The documents themselves, with all columns, each row as often as the mix takes it, whatever doc_ids rows share."""
+    keyed, key = identified(docs)
+    copies, copy = fresh(keyed, "copies"), fresh(keyed, "copy")
+    taken = cut(_sampled(keyed, weights, most, seed, key).where("copies > 0").select("key.file", "key.at", F.col("copies").cast("int").alias(copies)))
+    same = (keyed[key]["file"] == taken["file"]) & (keyed[key]["at"] == taken["at"])
+    found = keyed.join(sized(taken), same).select(keyed["*"], taken[copies])
+    return found.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 ORACLE = r"""
@@ -114,15 +113,13 @@ WITH sized AS (
     CAST('0x' || substr(md5('packloom|' || CASE WHEN source IS NULL THEN 'true' ELSE 'false' END || '|' || coalesce(source, '')), 1, 8) AS BIGINT) / 4294967296.0 AS u
   FROM levels
 ), ranked AS (
-  SELECT s.doc_id, s.source, s.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
-    row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) AS r
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
+    row_number() OVER (PARTITION BY s.source ORDER BY s.size, s.doc_id) AS r, count(*) OVER (PARTITION BY s.source) AS n
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
-), tried AS (
-  SELECT *, least(floor((u + k / 16.0) % 1.0 + e * r) - floor((u + k / 16.0) % 1.0 + e * (r - 1)), 3) AS c FROM ranked, range(16) AS t(k)
-), best AS (
-  SELECT source, arg_min(k, (abs(words - target), k)) AS k
-  FROM (SELECT source, k, any_value(target) AS target, sum(c * size) AS words FROM tried GROUP BY source, k) GROUP BY source
+), placed AS (
+  SELECT *, CASE WHEN r % 2 = 1 THEN (r + 1) // 2 ELSE n + 1 - r // 2 END AS p FROM ranked
+), taken AS (
+  SELECT *, CAST(least(floor(u + e * p) - floor(u + e * (p - 1)), 3) AS BIGINT) AS copies FROM placed
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(c * size AS BIGINT) AS taken, CAST(c AS BIGINT) AS copies
-FROM tried JOIN best ON tried.source IS NOT DISTINCT FROM best.source AND tried.k = best.k
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies * size AS taken, copies FROM taken
 """
