@@ -3,9 +3,10 @@
 Each document is encoded and closed with an end id. Its whole windows of `capacity` ids each fill a sequence;
 what is left, its tail, is packed with other tails. Only the histogram of tail lengths (fewer than `capacity`
 rows, whatever the input) reaches the planner. The planner takes the longest length left as a seed, runs a bitset
-subset-sum over the other lengths and their counts, backtracks the counts that fill the sequence exactly, and
-repeats that multiset as often as the counts allow. Lengths that no multiset completes are laid end to end and cut
-at the sequence boundaries, and the very last sequences are cut to powers of two, so that none needs padding.
+subset-sum over the other lengths and their counts, backtracks the counts of the sum that comes closest to filling the
+sequence, and repeats that multiset as often as the counts allow. Slack that remains is filled with pieces cut from a
+few tails: those of the multisets with most slack are laid end to end until they cover the slack of all others. What
+is then over is cut at the capacity, and the very last sequences are powers of two, so that none needs padding.
 
 Every executor-side step is by row or by (task, length); no group of documents meets in one task.
 """
@@ -47,57 +48,81 @@ _SCHEMA = pa.schema(
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, dict[int, int]]], dict[int, int]]:
+def closest(have: dict[int, int], seed: int, capacity: int) -> tuple[dict[int, int], int]:
+    """(uses of each length, slack) of the multiset of tails, the seed among them, that leaves a sequence least slack."""
+    goal = capacity - seed
+    mask, reach, steps = (1 << goal + 1) - 1, 1, []
+    for length in sorted((x for x in have if x <= goal), key=lambda x: (-have[x] * x, x)):
+        if reach >> goal & 1:
+            break
+        before, part = reach, 1
+        rest = min(have[length] - (length == seed), goal // length)
+        while rest > 0:
+            step = min(part, rest)
+            reach |= reach << step * length & mask
+            rest, part = rest - step, part * 2
+        steps.append((length, before))
+    most = reach.bit_length() - 1
+    uses, sum_left = {seed: 1}, most
+    for length, before in reversed(steps):
+        while not before >> sum_left & 1:
+            uses[length] = uses.get(length, 0) + 1
+            sum_left -= length
+    return uses, goal - most
+
+
+def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, dict[int, int], int]], dict[int, int]]:
     """Minimum-bin-slack plan for `counts` tails of each length.
 
-    Returns ([(times, {length: uses})], left): each multiset fills a sequence exactly and is used that many times;
-    left holds the lengths and counts that no exact multiset takes.
+    Returns ([(times, {length: uses}, slack)], cut): each multiset fills a sequence but for its slack and is used that
+    many times; `cut` holds the lengths and counts whose ids, laid end to end, fill all that slack and sequences of
+    their own.
     """
     have = {length: n for length, n in counts.items() if n > 0}
-    chosen: list[tuple[int, dict[int, int]]] = []
-    left: dict[int, int] = {}
+    chosen: list[tuple[int, dict[int, int], int]] = []
     while have:
-        seed = max(have)
-        goal, mask = capacity - seed, (1 << (capacity - seed + 1)) - 1
-        reach, steps = 1, []
-        for length in sorted((x for x in have if x <= goal), key=lambda x: (-have[x] * x, x)):
-            if reach >> goal & 1:
-                break
-            before, most, part = reach, min(have[length] - (length == seed), goal // length), 1
-            rest = most
-            while rest > 0:
-                step = min(part, rest)
-                reach |= reach << step * length & mask
-                rest, part = rest - step, part * 2
-            steps.append((length, before))
-        if not reach >> goal & 1:
-            left[seed] = left.get(seed, 0) + have.pop(seed)
-            continue
-        uses, sum_left = {seed: 1}, goal
-        for length, before in reversed(steps):
-            while not before >> sum_left & 1:
-                uses[length] = uses.get(length, 0) + 1
-                sum_left -= length
+        uses, slack = closest(have, max(have), capacity)
         times = min(have[x] // n for x, n in uses.items())
-        chosen.append((times, uses))
+        chosen.append((times, uses, slack))
         for x, n in uses.items():
             have[x] -= n * times
             if not have[x]:
                 del have[x]
-    return chosen, left
+    # From the most slack down, sequences are given up until their ids cover the slack of the rest.
+    chosen.sort(key=lambda x: -x[2])
+    need, kept, cut = sum(times * slack for times, _, slack in chosen), [], {}
+    for times, uses, slack in chosen:
+        # Giving up one sequence brings its ids and takes its slack away: `capacity` together.
+        given = min(times, -(-need // capacity)) if need > 0 and slack else 0
+        need -= given * capacity
+        for x, n in uses.items():
+            if given:
+                cut[x] = cut.get(x, 0) + n * given
+        if times > given:
+            kept.append((times - given, uses, slack))
+    return kept, cut
 
 
-def boundaries(first: int, total: int, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts (tokens, from 0) of the sequences that `total` ids laid end to end are cut into, and the ids of these.
+def segments(fills: list[tuple[int, int, int, int]], first: int, total: int, capacity: int) -> np.ndarray:
+    """How `total` ids laid end to end are cut: rows of (from, piece size, first sequence, offset there), by `from`.
 
-    All hold `capacity` ids but the last ones, which are powers of two, largest first.
+    fills: (times, slack, first sequence, offset) that take their pieces first. What is over makes sequences of
+    `capacity` from `first` on, and the last ones are powers of two, largest first. There are no more rows than
+    multisets and bits of the capacity, whatever the input.
     """
-    starts = list(range(0, total - capacity + 1, capacity))
-    at = len(starts) * capacity
+    out, at = [], 0
+    for times, slack, sequence, offset in fills:
+        out.append((at, slack, sequence, offset))
+        at += times * slack
+    whole = max(0, total - at) // capacity
+    if whole:
+        out.append((at, capacity, first, 0))
+        at, first = at + whole * capacity, first + whole
     while at < total:
-        starts.append(at)
-        at += 1 << (total - at).bit_length() - 1
-    return np.array([*starts, total], dtype=np.int64), first + np.arange(len(starts), dtype=np.int64)
+        size = 1 << (total - at).bit_length() - 1
+        out.append((at, size, first, 0))
+        at, first = at + size, first + 1
+    return np.array(out, dtype=np.int64).reshape(-1, 4)
 
 
 def _encode(vocabulary: str, capacity: int):
@@ -122,7 +147,7 @@ def _encode(vocabulary: str, capacity: int):
     return run
 
 
-def _cut_tails(starts: np.ndarray, sequences: np.ndarray):
+def _cut_tails(cuts: np.ndarray):
     def run(frames):
         import pandas as pd
 
@@ -130,12 +155,14 @@ def _cut_tails(starts: np.ndarray, sequences: np.ndarray):
             rows = []
             for doc_id, base, n, at, length, ids in zip(frame.doc_id, frame.base, frame.doc_tokens, frame["laid"], frame.tail_length, frame.tail_ids, strict=True):
                 whole = ids if len(ids) == 4 * length else np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-                k = int(np.searchsorted(starts, at, "right")) - 1
                 done = 0
                 while done < length:
-                    size = int(min(length - done, starts[k + 1] - at - done))
-                    rows.append((doc_id, base + done, size, zlib.crc32(whole[done * 4 : (done + size) * 4]), n, sequences[k], at + done - starts[k]))
-                    done, k = done + size, k + 1
+                    k = int(np.searchsorted(cuts[:, 0], at + done, "right")) - 1
+                    start, piece, sequence, offset = (int(x) for x in cuts[k])
+                    nth, inside = divmod(at + done - start, piece)
+                    size = min(length - done, piece - inside)
+                    rows.append((doc_id, base + done, size, zlib.crc32(whole[done * 4 : (done + size) * 4]), n, sequence + nth, offset + inside))
+                    done += size
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
             yield out.astype({c: "int64" for c in out.columns[1:]}).astype({"doc_id": "Int64"})
 
@@ -173,13 +200,15 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
     )
 
     # Runs of ranks of one length that the same multiset takes; its size follows the number of lengths, not the input.
-    runs, taken, sequence = [], dict.fromkeys(counts, 0), windows
-    for times, uses in chosen:
+    runs, fills, taken, sequence = [], [], dict.fromkeys(counts, 0), windows
+    for times, uses, slack in chosen:
         offset = 0
         for length, n in sorted(uses.items(), reverse=True):
             runs.append((length, taken[length], taken[length] + n * times, sequence, n, offset))
             taken[length] += n * times
             offset += n * length
+        if slack:
+            fills.append((times, slack, sequence, offset))
         sequence += times
     laid, total = [], 0
     for length, n in sorted(left.items(), reverse=True):
@@ -196,13 +225,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
         .where("rank >= rank_from and rank < rank_to")
         .select("doc_id", F.col("base").alias("start"), F.col("tail_length").cast("long").alias("length"), F.col("tail_crc").alias("ids_crc32"), "doc_tokens", (F.col("sequence_from") + F.floor(k / F.col("uses"))).alias("sequence_id"), (F.col("offset_from") + k % F.col("uses") * F.col("tail_length")).alias("offset"))
     )
-    starts, sequences = boundaries(sequence, total, capacity)
+    cuts = segments(fills, sequence, total, capacity)
     ends = spark.createDataFrame(laid, "tail_length int, rank_from long, laid_from long")
     pieces = (
         ranked("tail_ids")
         .join(F.broadcast(ends), "tail_length")
         .where("rank >= rank_from")
         .select("doc_id", "base", "doc_tokens", (F.col("laid_from") + (F.col("rank") - F.col("rank_from")) * F.col("tail_length")).alias("laid"), "tail_length", "tail_ids")
-        .mapInPandas(_cut_tails(starts, sequences), PIECES)
+        .mapInPandas(_cut_tails(cuts), PIECES)
     )
     return whole.unionByName(kept).unionByName(pieces)
