@@ -29,8 +29,6 @@ FOLD = (4, 2)
 THRESHOLD = 0.3
 #: A learned word is in at least so many toxic rows, and its log odds are at least LEAST_ODDS with 95 % confidence.
 LEAST_ROWS, LEAST_ODDS = 3, 1.3
-#: Evidence of more than so many words counts as this many, the strongest ones.
-MOST_WORDS = 6
 
 #: What a sign in a word may stand for.
 STANDS_FOR = {
@@ -227,21 +225,24 @@ def _signs(run: str) -> str:
 
 
 class Restorer(dict):
-    """Token -> what is known of it, by restoring it once; emptied when it holds `most` tokens.
+    """Token -> what is known of it, by restoring it once.
 
-    known: words of interest, or None while they are learned; then a token's value is the word itself, else the
-    word of interest or None.
+    The last `most` tokens met first are held, and those of the `most` before them until they are met again; the rest
+    are forgotten. known: words of interest, or None while they are learned; then a token's value is the word itself,
+    else the word of interest or None.
     """
 
-    def __init__(self, model: np.ndarray, known: set[str] | None, most: int = 200_000):
+    def __init__(self, model: np.ndarray, known: set[str] | None, most: int = 60_000):
         super().__init__()
         self.model, self.known, self.most = model.tolist(), known, most
         self.learned = Learned(known or set(), self.model)
+        self.older: dict[str, str | None] = {}
 
     def __missing__(self, token: str) -> str | None:
-        value = self.word(token)
+        value = self.older[token] if token in self.older else self.word(token)
         if len(token) <= 48:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[token] = value
         return value
@@ -283,7 +284,8 @@ class Model:
 
 
 def evidence(words: set[str], odds: dict[str, float]) -> float:
-    return sum(sorted((odds[w] for w in words), reverse=True)[:MOST_WORDS])
+    """Log odds of all restored words that were learned, each once."""
+    return sum(odds[w] for w in words)
 
 
 _COUNTS = ("n0", "n1", "m0", "m1")
