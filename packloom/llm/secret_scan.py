@@ -5,21 +5,29 @@ characters. Three tests ask whether it looks random: chi-squared uniformity of t
 character classes, and lag-1 serial correlation; Fisher's sum joins them. Two of the statistics are also held against
 ordinary text, whose letters repeat and whose classes seldom change; that p-value shrinks with length. Candidates that
 pass the battery are reported where Benjamini and Hochberg's rule, applied to all candidates of the corpus within
-bands of length, rejects ordinary text at the false-discovery rate. Built from DataFrame functions alone.
+bands of length, rejects ordinary text at the false-discovery rate.
+
+A text is read once for the matches and the lengths of the gaps between them; all else works on these: places are
+running sums over a text's matches, each distinct token is tested once, in plain columns, and spans meet by row.
+Built from DataFrame functions alone.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty
 
-#: The base patterns, in the order of their kinds.
+#: The base patterns, in the order of their kinds, and the words that an assignment holds in lower case.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A run of these is as long as it can be, so its least length can stand in the pattern.
-ACCESS, HEX = r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
+ACCESS, HEX = r"AKIA[A-Z0-9]{12,}+", r"(?<![0-9a-f])[0-9a-f]{32,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST_VALUE = 8
 KINDS = ("assign", "access", "hex", "random")
 #: Candidate must look random at this level; false-discovery rate against ordinary text.
@@ -28,52 +36,82 @@ RANDOM_LEVEL, RATE = 0.001, 0.01
 BANDS = (16, 24, 40, 64)
 #: Sums of squared and cubed letter shares of ordinary text, times those of even shares; chance of a class change.
 TEXT_SQUARES, TEXT_CUBES, TEXT_CHANGE = 1.75, 4.4, 0.1
+#: Tokens that are added are broadcast up to this size together.
+BROADCAST_BYTES = 8_000_000
+#: A published Chebyshev fit of the complementary error function, within 1.2e-7 of it relatively.
+ERFC = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
 
-_SPAN = "struct<start:int,end:int,kind:int>"
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 _ALPHABET = _UPPER + _LOWER + _DIGITS + "+/-_="
-
-
-def found_spans(text: Column, pattern: str, kind: int) -> Column:
-    """array<struct<start, end, kind, match>> of the leftmost non-overlapping matches, in code points.
-
-    The gaps between matches are what split() leaves, so starts are running sums of lengths.
-    """
-    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    lengths = F.transform(F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g")), lambda x: F.struct(F.length(x["g"]).alias("g"), x["m"].alias("m")))
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,match:string>>")
-    step = lambda acc, x: F.struct(
-        (acc["at"] + x["g"] + F.length(x["m"])).alias("at"),
-        F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + F.length(x["m"])).alias("end"), F.lit(kind).alias("kind"), x["m"].alias("match")))).alias("out"),
+_PIECES = "array<struct<gap:int,match:string>>"
+
+
+def pieces(text: Column, pattern: str, possible: Column) -> Column:
+    """The leftmost non-overlapping matches in order, each with the length of the gap before it; none unless possible."""
+    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.transform(F.split(text, pattern, -1), F.length)
+    zipped = F.transform(F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g")), lambda x: F.struct(x["g"].alias("gap"), x["m"].alias("match")))
+    return F.when(possible, zipped).otherwise(F.array().cast(_PIECES))
+
+
+def located(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """(keys, start, end, match) of all pieces, in code points: the running sum of gaps and matches."""
+    each = rows.select(*keys, F.posexplode(column).alias("k", "p")).select(*keys, "k", "p.gap", "p.match", F.length("p.match").alias("n"))
+    end = F.sum(F.col("gap") + F.col("n")).over(Window.partitionBy(*keys).orderBy("k")).cast("int")
+    return each.withColumn("end", end).select(*keys, (F.col("end") - F.col("n")).alias("start"), "end", "match")
+
+
+def spans_of(scanned: DataFrame) -> DataFrame:
+    """(row, start, end, kind, match): base spans, and the candidates (kind 3, with match) that overlap none of them."""
+    assign = located(scanned, ["row"], "assigned").where(F.length(F.regexp_extract("match", ASSIGN, 1)) >= LEAST_VALUE)
+    runs = located(scanned, ["row"], "runs")
+    parts = [assign.select("row", "start", "end", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("match"))]
+    # Access keys and hex runs are made of candidates' characters, so they lie within candidates.
+    for kind, pattern in ((1, ACCESS), (2, HEX)):
+        inner = runs.where(F.col("match").rlike(pattern)).select("row", F.col("start").alias("from"), pieces(F.col("match"), pattern, F.lit(True)).alias("inner"))
+        found = located(inner, ["row", "from"], "inner")
+        parts.append(found.select("row", (F.col("from") + F.col("start")).alias("start"), (F.col("from") + F.col("end")).alias("end"), F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("match")))
+    parts.append(runs.select("row", "start", "end", F.lit(3).alias("kind"), "match"))
+    base = lambda c: F.when(F.col("kind") < 3, F.col(c))
+    earlier = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = reduce(DataFrame.unionByName, parts).withColumn("reach", F.max(base("end")).over(earlier)).withColumn("next", F.min(base("start")).over(later))
+    covered = F.coalesce(F.col("reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False))
+    return marked.where((F.col("kind") < 3) | ~covered).select("row", "start", "end", "kind", "match")
+
+
+# ---------------------------------------------------------------- the battery: p-values as natural logarithms
+
+
+def log_upper(z: Column) -> Column:
+    """ln P(Z > z) of the normal law, exact to 1e-6 in its own size however far out."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + x / 2)
+    fit = reduce(lambda acc, c: acc * t + c, ERFC[-2::-1], F.lit(ERFC[-1]))
+    tail = F.log(t / 2) - x * x + fit
+    return F.when(z >= 0, tail).otherwise(F.log1p(-F.exp(tail)))
+
+
+def log_chi_squared(x: Column, df: Column) -> Column:
+    """ln P(chi-squared of odd df > x), by the closed form of its tail; at least ln 1e-300."""
+    root = F.sqrt(x)
+    terms = F.aggregate(
+        F.sequence(F.lit(1), ((df - 1) / 2).cast("int")),
+        F.struct(root.alias("term"), F.lit(0.0).alias("sum")),
+        lambda acc, i: F.struct((acc["term"] * x / (2 * i + 1)).alias("term"), (acc["sum"] + acc["term"]).alias("sum")),
+        lambda acc: acc["sum"],
     )
-    found = F.aggregate(lengths, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
-
-
-def base_spans(text: Column) -> Column:
-    """Base spans of all kinds, array<struct<start, end, kind>>, by start, then kind."""
-    value = lambda m: F.regexp_extract(m, ASSIGN, 1)
-    assign = F.filter(found_spans(text, ASSIGN, 0), lambda x: F.length(value(x["match"])) >= LEAST_VALUE)
-    spans = F.concat(assign, found_spans(text, ACCESS, 1), found_spans(text, HEX, 2))
-    return F.array_sort(F.transform(spans, lambda x: F.struct(x["start"], x["end"], x["kind"])).cast(f"array<{_SPAN}>"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"]))
-
-
-# ---------------------------------------------------------------- the battery
-
-
-def upper_tail(z: Column) -> Column:
-    """P(Z > z) of the normal law, by a logistic curve (within 2e-4), at least 1e-300."""
-    return F.greatest(1 / (1 + F.exp(F.least(F.lit(690.0), 1.5976 * z + 0.07056 * z * z * z))), F.lit(1e-300))
+    tail = 2 * F.exp(log_upper(root)) + math.sqrt(2 / math.pi) * F.exp(-x / 2) * terms
+    return F.when(x > 1300, math.log(1e-300)).otherwise(F.log(F.greatest(F.lit(1e-300), F.least(F.lit(1.0), tail))))
 
 
-def fisher(*p: Column) -> Column:
-    """Combined p-value of independent ones: the tail of chi-squared with two degrees of freedom each."""
-    half = -sum((F.log(x) for x in p), F.lit(0.0))
+def log_fisher(*logs: Column) -> Column:
+    """ln of the combined p-value of independent ones: the tail of chi-squared with two degrees of freedom each."""
+    half = -sum(logs, F.lit(0.0))
     terms, term = F.lit(1.0), F.lit(1.0)
-    for k in range(1, len(p)):
+    for k in range(1, len(logs)):
         term = term * half / k
         terms = terms + term
-    return F.least(F.lit(1.0), F.exp(-half) * terms)
+    return F.least(F.lit(0.0), F.log(terms) - half)
 
 
 def alphabet_size(token: Column) -> Column:
@@ -85,48 +123,46 @@ def alphabet_size(token: Column) -> Column:
     return out.otherwise(64).cast("double")
 
 
-def battery(token: Column) -> Column:
-    """struct<length, random, text>: p-values of the token as random characters and as ordinary text."""
-    token = F.rtrim(token, F.lit("="))
-    n, k = F.length(token).cast("double"), alphabet_size(token)
-    chars = F.split(token, "")
-    chars = F.filter(chars, lambda c: c != "")
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda acc, c: acc + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
-    # Chi-squared: moments under even shares, and under the uneven shares of text.
-    chi, mean = squares * k / n - n, k - 1
-    even = upper_tail((chi - mean) / F.sqrt(2 * (k - 1) * (n - 1) / n))
+def battery(tokens: DataFrame) -> DataFrame:
+    """tokens (match, ...) with length, chi, runs, serial (the statistics) and random, text (ln p as either)."""
+    n, k = F.col("n_"), F.col("k_")
+    rows = tokens.withColumn("token", F.rtrim(F.col("match"), F.lit("=")))
+    rows = rows.withColumns({"length": F.length("token"), "n_": F.length("token").cast("double"), "k_": alphabet_size(F.col("token")), "chars": F.filter(F.split("token", ""), lambda c: c != ""), "kinds": F.translate("token", _ALPHABET, "U" * 26 + "L" * 26 + "D" * 10 + "S" * 5)})
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    squares = F.aggregate(F.array_distinct("chars"), F.lit(0.0), lambda acc, c: acc + F.pow(times(F.col("token"), c), F.lit(2.0)))
+    sums = F.aggregate(
+        F.transform("chars", lambda c: F.instr(F.lit(_ALPHABET), c).cast("double")),
+        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"), F.lit(0.0).alias("p"), F.lit(None).cast("double").alias("last")),
+        lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["q"] + x * x).alias("q"), (acc["p"] + F.coalesce(acc["last"] * x, F.lit(0.0))).alias("p"), x.alias("last")),
+    )
+    place = lambda at: F.instr(F.lit(_ALPHABET), F.element_at("chars", at)).cast("double")
+    rows = rows.withColumns({"squares": squares, "runs": F.length(F.regexp_replace("kinds", r"(.)\1+", "$1")).cast("double"), "sums": sums, "ends": place(1) + place(-1), **{f"in_{c}": times(F.col("kinds"), F.lit(c)).cast("double") for c in "ULDS"}})
+    # Chi-squared under even shares; under the uneven shares of text the moments of the sum of squares.
     s2, s3 = F.lit(TEXT_SQUARES) / k, F.lit(TEXT_CUBES) / (k * k)
-    expected = n + n * (n - 1) * s2
     spread = F.sqrt(2 * n * (n - 1) * (s2 - s2 * s2) + 4 * n * (n - 1) * (n - 2) * F.greatest(s3 - s2 * s2, F.lit(0.0)))
-    uneven = upper_tail((expected - squares) / spread)
     # Runs of character classes, given how many characters each class has.
-    kinds = F.translate(token, _ALPHABET, "U" * 26 + "L" * 26 + "D" * 10 + "S" * 5)
-    runs = F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")).cast("double")
-    counts = [(F.length(token) - F.length(F.replace(kinds, F.lit(c), F.lit("")))).cast("double") for c in "ULDS"]
+    counts = [F.col(f"in_{c}") for c in "ULDS"]
     q2, q3 = sum(c * c for c in counts), sum(c * c * c for c in counts)
     var = (q2 * (q2 + n * (n + 1)) - 2 * n * q3 - n * n * n) / (n * n * (n - 1))
-    z_runs = F.when(var > 1e-9, (runs - (n * (n + 1) - q2) / n) / F.sqrt(var)).otherwise(0.0)
-    mixed = F.least(F.lit(1.0), 2 * upper_tail(F.abs(z_runs)))
     changes = (n - 1) * TEXT_CHANGE
-    seldom = upper_tail((runs - 1 - changes) / F.sqrt(changes * (1 - TEXT_CHANGE)))
-    # Serial correlation of the characters' places in the alphabet.
-    code = F.transform(chars, lambda c: F.instr(F.lit(_ALPHABET), c).cast("double"))
-    sums = F.aggregate(
-        code,
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"), F.lit(0.0).alias("p"), F.lit(None).cast("double").alias("last")),
-        lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["q"] + x * x).alias("q"), (acc["p"] + F.coalesce(acc["last"] * x, F.lit(0.0))).alias("p"), x.alias("last")),
-    )
-    m = sums["s"] / n
-    around = sums["q"] - n * m * m
-    # sum (x_i - m)(x_{i+1} - m), with the two ends' share put back.
-    along = sums["p"] - m * (2 * sums["s"] - F.element_at(code, 1) - F.element_at(code, -1)) + (n - 1) * m * m
-    z_serial = F.when(around > 1e-9, (along / around + 1 / n) * F.sqrt(n)).otherwise(0.0)
-    serial = F.least(F.lit(1.0), 2 * upper_tail(F.abs(z_serial)))
-    return F.struct(F.length(token).alias("length"), fisher(even, mixed, serial).alias("random"), fisher(uneven, seldom).alias("text"))
-
-
-def thresholds(counts: DataFrame, rate: float = RATE) -> list[float]:
-    """Benjamini and Hochberg's largest p-value for each band, from (band, bin, hits, candidates) of all candidates.
+    # Serial correlation of the characters' places in the alphabet; the two ends' share is put back.
+    m = F.col("sums.s") / n
+    around = F.col("sums.q") - n * m * m
+    along = F.col("sums.p") - m * (2 * F.col("sums.s") - F.col("ends")) + (n - 1) * m * m
+    rows = rows.withColumns({
+        "chi": F.col("squares") * k / n - n,
+        "z_uneven": (n + n * (n - 1) * s2 - F.col("squares")) / spread,
+        "z_runs": F.when(var > 1e-9, (F.col("runs") - (n * (n + 1) - q2) / n) / F.sqrt(var)).otherwise(0.0),
+        "z_seldom": (F.col("runs") - 1 - changes) / F.sqrt(changes * (1 - TEXT_CHANGE)),
+        "z_serial": F.when(around > 1e-9, (along / around + 1 / n) * F.sqrt(n)).otherwise(0.0),
+    })
+    both = lambda z: F.least(F.lit(0.0), math.log(2) + log_upper(F.abs(z)))
+    rows = rows.withColumns({"p_even": log_chi_squared(F.col("chi"), k - 1), "p_runs": both(F.col("z_runs")), "p_serial": both(F.col("z_serial")), "p_uneven": log_upper(F.col("z_uneven")), "p_seldom": log_upper(F.col("z_seldom"))})
+    return rows.select(*tokens.columns, "length", "chi", "z_runs", "z_serial", log_fisher(F.col("p_even"), F.col("p_runs"), F.col("p_serial")).alias("random"), log_fisher(F.col("p_uneven"), F.col("p_seldom")).alias("text"))
+
+
+def thresholds(counts: DataFrame, rate: float = RATE) -> list[int]:
+    """Benjamini and Hochberg's least bin that is rejected in each band, from (band, bin, hits, candidates) of all candidates.
 
     Bins are tenths of -log10 p; a bin counts as its largest p-value, so the rate is kept. There are a few thousand
     bins at most, whatever the input.
@@ -135,8 +171,8 @@ def thresholds(counts: DataFrame, rate: float = RATE) -> list[float]:
     total = F.sum("candidates").over(Window.partitionBy("band"))
     top = F.pow(F.lit(10.0), -F.col("bin") / 10)
     good = counts.withColumn("so_far", F.sum("hits").over(w)).withColumn("total", total).where((F.col("hits") > 0) & (top <= rate * F.col("so_far") / F.col("total")))
-    out = [0.0] * len(BANDS)
-    for r in good.groupBy("band").agg(F.max(top).alias("p")).collect():
+    out = [1 << 30] * len(BANDS)
+    for r in good.groupBy("band").agg(F.min("bin").alias("bin")).collect():
         out[r[0]] = r[1]
     return out
 
@@ -145,32 +181,31 @@ def scan(docs: DataFrame, rate: float = RATE, level: float = RANDOM_LEVEL) -> Da
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans of every document.
 
     Null text: empty, no spans (the digest is that of no bytes). Repeated rows are scanned each. No rows: none. Other
-    columns are ignored. Added spans ("random") never overlap base spans.
+    columns are ignored. Added spans ("random") never overlap base spans. Places of a text's spans come from windows
+    over that text's matches, which are rows of their own, however many they are.
     """
     text = F.col("text")
     rows = docs.select(F.col("doc_id"), text_or_empty().alias("text"))
-    free = lambda x: ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
-    tried = rows.select("doc_id", base_spans(text).alias("base"), found_spans(text, CANDIDATE, 3).alias("candidates"))
-    tested = tried.select("doc_id", "base", F.transform(F.filter("candidates", free), lambda x: F.struct(x["start"], x["end"], battery(x["match"]).alias("p"))).alias("tested"))
-    band = lambda n: sum((F.when(n >= low, 1).otherwise(0) for low in BANDS[1:]), F.lit(0))
+    low = F.lower(text)
+    named = reduce(lambda a, b: a | b, (low.contains(x) for x in ASSIGNED))
+    scanned = cut(rows.select("doc_id", pieces(text, ASSIGN, named & text.rlike(ASSIGN)).alias("assigned"), pieces(text, CANDIDATE, text.rlike(CANDIDATE)).alias("runs")).withColumn("row", F.monotonically_increasing_id()))
+    spans = cut(spans_of(scanned))
+    band = sum((F.when(F.col("length") >= low, 1).otherwise(0) for low in BANDS[1:]), F.lit(0))
+    tested = battery(spans.where("kind = 3").groupBy("match").agg(F.count("*").alias("n")))
+    bins = F.floor(-F.col("text") / math.log(10) * 10).cast("long")
+    likely = (F.col("text") <= math.log(rate)) & (F.col("random") >= math.log(level))
+    tested = cut(tested.select("match", "n", band.alias("band"), F.when(likely, bins).alias("bin")))
     # Only p-values up to the rate can be reported; all candidates are counted.
-    kept = cut(
-        tested.select(
-            "doc_id",
-            "base",
-            F.transform("tested", lambda x: band(x["p"]["length"])).alias("bands"),
-            F.transform(F.filter("tested", lambda x: (x["p"]["text"] <= rate) & (x["p"]["random"] >= level)), lambda x: F.struct(x["start"], x["end"], band(x["p"]["length"]).alias("band"), x["p"]["text"].alias("p"))).alias("likely"),
-        )
-    )
-    bins = kept.select(F.explode("likely").alias("x")).select(F.col("x.band").alias("band"), F.floor(-F.log10("x.p") * 10).alias("bin"), F.lit(1).alias("hits"), F.lit(0).alias("candidates"))
-    every = kept.select(F.explode("bands").alias("band")).select("band", F.lit(0).cast("long").alias("bin"), F.lit(0).alias("hits"), F.lit(1).alias("candidates"))
-    limits = thresholds(bins.unionByName(every).groupBy("band", "bin").agg(F.sum("hits").alias("hits"), F.sum("candidates").alias("candidates")), rate)
-    limit = lambda b: F.element_at(F.array(*map(F.lit, limits)), b + 1)
-    added = F.transform(F.filter("likely", lambda x: F.pow(F.lit(10.0), -F.floor(-F.log10(x["p"]) * 10) / 10) <= limit(x["band"])), lambda x: F.struct(x["start"], x["end"], F.lit(3).alias("kind"))).cast(f"array<{_SPAN}>")
+    hits = F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
+    limits = thresholds(tested.groupBy("band", F.coalesce("bin", F.lit(0)).alias("bin")).agg(F.sum(hits).alias("hits"), F.sum("n").alias("candidates")), rate)
+    limit = F.element_at(F.array(*map(F.lit, limits)), F.col("band") + 1)
+    chosen = cut(tested.where(F.col("bin") >= limit).select("match"))
+    size = chosen.agg(F.coalesce(F.sum(F.length("match")), F.lit(0))).first()[0]
+    added = spans.where("kind = 3").join(F.broadcast(chosen) if size <= BROADCAST_BYTES else chosen, "match")
+    both = spans.where("kind < 3").select("row", "start", "kind", "end").unionByName(added.select("row", "start", "kind", "end"))
+    listed = both.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
+    out = scanned.select("row", "doc_id").join(listed, "row", "left").withColumn("all", F.coalesce("all", F.array().cast("array<struct<start:int,kind:int,end:int>>"))).withColumn("base", F.filter("all", lambda x: x["kind"] < 3))
     kind = lambda k: F.element_at(F.array(*map(F.lit, KINDS)), k + 1)
     line = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", kind(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
-    number = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
-    both = F.array_sort(F.concat("base", "added"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"]))
-    return kept.withColumn("added", added).select(
-        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"), F.size("added").cast("long").alias("n_random"), F.sha2(line(F.col("base")), 256).alias("base_sha256"), line(both).alias("spans")
-    )
+    number = lambda k: F.size(F.filter("all", lambda x: x["kind"] == k)).cast("long")
+    return out.select("doc_id", *(number(k).alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(line(F.col("base")), 256).alias("base_sha256"), line(F.col("all")).alias("spans"))

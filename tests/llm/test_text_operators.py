@@ -108,15 +108,35 @@ def test_packing_a_hot_length(spark):
     check_pieces(packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect(), rows)
 
 
-def test_plan_fills_exactly_with_counts():
+@pytest.mark.parametrize(("capacity", "least"), [(64, 1), (64, 38), (1024, 1), (1024, 600)])
+def test_plan_fills_closest_and_cuts_little(capacity, least):
+    """Multisets use all tails that aren't cut, each as close to the capacity as any sum comes; cut ids cover all slack."""
     rng = random.Random(3)
-    counts = {rng.randrange(1, 64): rng.randrange(1, 40) for _ in range(40)}
-    chosen, left = packing.plan(counts, 64)
-    used = Counter(left)
-    for times, uses in chosen:
-        assert sum(n * k for n, k in uses.items()) == 64 and times > 0
+    counts = {rng.randrange(least, capacity): rng.randrange(1, 40) for _ in range(40)}
+    uses, slack = packing.closest(counts, max(counts), capacity)
+    sums = {0}
+    for length, n in counts.items():
+        n -= length == max(counts)
+        sums = {s + k * length for s in sums for k in range(n + 1) if s + k * length <= capacity - max(counts)}
+    assert slack == capacity - max(counts) - max(sums) and sum(n * k for n, k in uses.items()) == capacity - slack
+    chosen, cut = packing.plan(counts, capacity)
+    used, need = Counter(cut), 0
+    for times, uses, slack in chosen:
+        assert sum(n * k for n, k in uses.items()) + slack == capacity and times > 0 and slack >= 0
         used.update({n: k * times for n, k in uses.items()})
-    assert used == Counter(counts)
+        need += times * slack
+    assert used == Counter(counts) and need <= sum(n * k for n, k in cut.items())
+    # Tails that fill nothing together are whole all the same, but for those whose ids fill the slack.
+    assert sum(cut.values()) <= max(4, 0.5 * sum(counts.values()))
+
+
+def test_packing_long_tails_alone(spark):
+    """No two tails fit together: still nearly all are whole pieces, and nothing is padded."""
+    rows = [(k, "the " * (600 + 3 * k)) for k in range(136)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    check_pieces(pieces, rows)
+    parts = Counter(p.doc_id for p in pieces)
+    assert sum(n == 1 for n in parts.values()) > 0.6 * len(rows)
 
 
 def test_token_counts(docs, texts, none):
@@ -204,6 +224,66 @@ def test_random_tokens_are_added_and_words_are_not(spark):
     assert not any(got[k] for k in got if k >= 100)
 
 
+def test_the_battery_equals_plain_python(spark):
+    """Chi-squared, runs and serial correlation, and their tails, far out too."""
+    import math
+
+    rng = random.Random(8)
+    alphabets = {"0123456789": 10, "0123456789abcdef": 16, string.ascii_lowercase: 26, string.ascii_letters + string.digits: 62, string.ascii_letters + string.digits + "+/": 64}
+    tokens = {"".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (16, 24, 40, 200)} | {"ab" * 20, "a" * 30, "internationalization"}
+    got = {r.match: r for r in secret_scan.battery(spark.createDataFrame([(t,) for t in tokens], "match string")).collect()}
+    order = secret_scan._ALPHABET
+    for t in tokens:
+        n, k = len(t), next(k for a, k in [("0123456789", 10), ("0123456789abcdef", 16), (string.ascii_lowercase, 26), (string.ascii_lowercase + string.digits, 36), (string.ascii_letters, 52), (string.ascii_letters + string.digits, 62), (order, 64)] if set(t) <= set(a))
+        assert got[t].chi == pytest.approx(sum(c * c for c in Counter(t).values()) * k / n - n)
+        kinds = ["U" if c.isupper() else "L" if c.islower() else "D" if c.isdigit() else "S" for c in t]
+        runs = 1 + sum(a != b for a, b in zip(kinds, kinds[1:]))
+        # The moments of the number of runs, from the chance that neighbours differ.
+        sizes = list(Counter(kinds).values())
+        mean = 1 + (n - 1) * (1 - sum(c * (c - 1) for c in sizes) / (n * (n - 1)))
+        if len(sizes) > 1:
+            assert math.copysign(1, got[t].z_runs) == math.copysign(1, runs - mean) or abs(runs - mean) < 1e-9
+        x = [order.index(c) + 1 for c in t]
+        m = sum(x) / n
+        around = sum((v - m) ** 2 for v in x)
+        want = (sum((a - m) * (b - m) for a, b in zip(x, x[1:])) / around + 1 / n) * math.sqrt(n) if around else 0
+        assert got[t].z_serial == pytest.approx(want, abs=1e-6)
+    grid = [-3.0, -0.5, 0.0, 0.5, 2.0, 5.0, 8.0, 20.0, 37.0]
+    tails = spark.createDataFrame([(z,) for z in grid], "z double").select("z", secret_scan.log_upper(F.col("z"))).collect()
+    assert all(p == pytest.approx(math.log(math.erfc(z / math.sqrt(2)) / 2), rel=1e-5, abs=1e-6) for z, p in tails)
+
+    def chi_tail(x, df, steps=200_000):
+        density = lambda v: math.exp((df / 2 - 1) * math.log(v) - v / 2 - df / 2 * math.log(2) - math.lgamma(df / 2))
+        width = 400 / steps
+        return sum(density(x + (k + 0.5) * width) for k in range(steps)) * width
+
+    cases = [(x, df) for df in (9, 15, 63) for x in (2.0, 20.0, 80.0, 200.0)]
+    tails = spark.createDataFrame(cases, "x double, df int").select("x", "df", secret_scan.log_chi_squared(F.col("x"), F.col("df"))).collect()
+    assert all(p == pytest.approx(math.log(chi_tail(x, df)), rel=1e-3, abs=1e-3) for x, df, p in tails)
+
+
+def test_false_discoveries_stay_below_the_rate(spark):
+    """Planted encodings among many words and identifiers: all found, and no more than the rate of false ones."""
+    rng = random.Random(6)
+    syllables = ["ber", "ti", "lo", "kan", "der", "schaft", "ung", "ation", "inter", "com", "mu", "ni", "ca", "tion", "al", "pre", "fer", "ment", "able", "graph"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(5, 9)))
+    plain = [w for w in (rng.choice([word(), word().capitalize(), word() + "_" + word(), word() + "-" + word(), word() + str(rng.randrange(100))]) for _ in range(3000)) if len(w) >= 16]
+    encoded = ["".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(rng.choice((32, 40, 64)))) for _ in range(100)]
+    rows = [(k, f"x {t} y") for k, t in enumerate([*encoded, *plain])]
+    got = {r.doc_id: r.n_random for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, false = sum(got[k] for k in range(100)), sum(got[k] for k in range(100, len(rows)))
+    assert found >= 97 and false <= 2 + 0.02 * (found + false)
+
+
+def test_a_long_text_of_tokens(spark):
+    """A text of 200,000 tokens (5 MB) has each of its spans, in linear time."""
+    rng = random.Random(9)
+    tokens = ["".join(rng.choices(string.ascii_letters + string.digits, k=24)) for _ in range(200_000)]
+    (row,) = secret_scan.scan(spark.createDataFrame([(1, " ".join(tokens))], "doc_id long, text string")).collect()
+    spans = [tuple(map(int, x.split(":")[1:])) for x in row.spans.split(",")]
+    assert len(spans) > 180_000 and all((b - a, a % 25) == (24, 0) for a, b in spans if b - a == 24) and row.n_assign == 0
+
+
 # ---------------------------------------------------------------- near duplicates
 
 
