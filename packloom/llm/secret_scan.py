@@ -64,7 +64,8 @@ def spans_of(scanned: DataFrame) -> DataFrame:
     """(row, start, end, kind, match): base spans, and the candidates (kind 3, with match) that overlap none of them."""
     assign = located(scanned, ["row"], "assigned").where(F.length(F.regexp_extract("match", ASSIGN, 1)) >= LEAST_VALUE)
     runs = located(scanned, ["row"], "runs")
-    parts = [assign.select("row", "start", "end", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("match"))]
+    # abs: else Spark takes the union for partitioned by row, which fails where its parts are coalesced differently.
+    parts = [assign.select(F.abs("row").alias("row"), "start", "end", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("match"))]
     # Access keys and hex runs are made of candidates' characters, so they lie within candidates.
     for kind, pattern in ((1, ACCESS), (2, HEX)):
         inner = runs.where(F.col("match").rlike(pattern)).select("row", F.col("start").alias("from"), pieces(F.col("match"), pattern, F.lit(True)).alias("inner"))
