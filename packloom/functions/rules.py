@@ -19,7 +19,7 @@ def first_broken(rules: dict[str, Column]) -> Column:
 def issues(rows: DataFrame, rules: dict[str, tuple[str, Column]], *keep: str) -> DataFrame:
     """One row for each broken rule, (severity, predicate) by code, with the columns to keep and its place."""
     found = F.array_compact(F.array(*(F.when(when, F.struct(F.lit(k).alias("ord"), F.lit(severity).alias("severity"), F.lit(code).alias("code"))) for k, (code, (severity, when)) in enumerate(rules.items()))))
-    return rows.select(*keep, F.explode(found).alias("i")).select(*keep, "i.*")
+    return rows.select(*keep, F.explode(found).alias("_issue")).select(*keep, "_issue.*")
 
 
 #: Figures that an alpha matte must reach.

@@ -91,6 +91,24 @@ def rule_of(code: Column, severity: Column) -> Column:
     return own
 
 
+def correction_of(code: Column) -> Column:
+    """struct<instruction, target> of an issue: what its correction asks for, and what the retry replaces."""
+    own = lambda table: F.element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), code)
+    instruction, target = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for part, text, where in reversed(C.FALLBACK_CORRECTIONS):
+        fits = code.contains(part) if part else F.lit(True)
+        instruction, target = F.when(fits, text).otherwise(instruction), F.when(fits, where).otherwise(target)
+    known = code.isin(*C.ISSUE_INSTRUCTIONS)
+    return F.when(code.isNotNull(), F.struct(F.when(known, own(C.ISSUE_INSTRUCTIONS)).otherwise(instruction).alias("instruction"), F.when(known, F.coalesce(own(C.RETRY_TARGETS), F.lit(C.SHEET))).otherwise(target).alias("target")))
+
+
+def retry_paths(code: Column, target: Column, mode: Column, sheet: Column, matte: Column, provenance: Column) -> Column:
+    """Paths that a retry replaces. Defects of the source itself replace the sheet alone, whatever their target."""
+    of_source = code.startswith("source-") | (code == "status-green-reflection")
+    alone = F.when((target == C.MATTE) & matte.isNotNull(), F.array(matte)).when((target == C.PROVENANCE) & provenance.isNotNull(), F.array(provenance))
+    return F.when(of_source, F.array(sheet)).otherwise(F.coalesce(alone, F.when(mode == "model-matte-derived", F.array(sheet, matte)).otherwise(F.array(sheet))))
+
+
 def quality_status(score: Column, blockers: Column) -> Column:
     out = F.when(blockers > 0, "blocked")
     for least, name in C.QUALITY_BANDS:
@@ -131,9 +149,10 @@ def choose_chroma_key(conflicts: Column) -> Column:
 
 
 def generation_budget(categories: Column) -> Column:
-    """Extra calls kept in reserve: one and one more for each risky category, five at most."""
-    risky = F.size(F.array_intersect(categories, F.array(*map(F.lit, C.RISK_PRIORITY))))
-    return F.least(F.lit(5), risky + 1)
+    """Extra calls kept in reserve: one, one for each reserved category, one for chroma-risk icons of any kind; five at most."""
+    own = sum(F.array_contains(categories, c).cast("int") for c in C.RESERVED_CATEGORIES)
+    icons = F.arrays_overlap(categories, F.array(*map(F.lit, C.CHROMA_RISK_ICONS))).cast("int")
+    return F.least(F.lit(C.RESERVE_MOST), own + icons + 1)
 
 
 def risk_priority(category: Column) -> Column:

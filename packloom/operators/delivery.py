@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Status of a stopped run -> stage that it may safely resume at.
-SAFE_STAGES = {"awaiting-sources": "source-gate", "source-gate-failed": "source-gate", "processing": "processing", "processing-failed": "processing", "qa-failed": "regeneration", "delivering": "delivery", "complete": "complete"}
+from packloom.functions import constants as C
+from packloom.functions import scalars as S
+
+#: Status of a stopped run -> stage that it may safely resume at; other statuses are their own stage.
+SAFE_STAGES = {
+    "awaiting-generation": "generation",
+    "awaiting-regeneration": "regeneration",
+    "ready-for-processing": "processing",
+    "assets-complete": "assets-complete",
+    "complete": "complete",
+    "unity-failed": "assets-complete",
+    "configuration-invalid": "preflight",
+    "failed": "qa-failed",
+}
 
 
 def attributed(issues: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -38,22 +50,23 @@ def job_overview(jobs: DataFrame, issues: DataFrame, scores: DataFrame, results:
 
 
 def retry_targets(jobs: DataFrame) -> DataFrame:
-    """Paths that a retry replaces, by target and mode: the sheet, the matte alone, or both."""
-    both = F.array("sheet_path", "matte_path")
-    paths = F.when(F.col("retry_target") == "alpha-matte", F.array("matte_path")).when(F.col("transparency_mode") == "model-matte-derived", both).otherwise(F.array("sheet_path"))
-    return jobs.withColumn("targets", paths)
+    """Paths that a retry replaces, by issue, target and mode: the sheet, the matte or the provenance alone, or sheet and matte."""
+    return jobs.withColumn("targets", S.retry_paths(*(F.col(c) for c in ("code", "retry_target", "transparency_mode", "sheet_path", "matte_path", "provenance_path"))))
 
 
 def retry_gate(planned: DataFrame, seen: DataFrame, job: str, path: str) -> DataFrame:
-    """A job may run again once every planned target's digest differs from the one that it awaits a change of."""
+    """A job may run again once no planned target has the digest any more that it awaits a change of.
+
+    A target that isn't there is a missing input, not an unchanged one.
+    """
     rows = planned.join(seen.select(path, F.col("sha256").alias("now")), path, "left")
-    changed = F.col("now").isNotNull() & (F.col("now") != F.col("awaiting"))
-    return rows.groupBy(job).agg(F.bool_and(changed).alias("open"), F.count_if(~changed).alias("waiting"))
+    same = F.coalesce(F.col("now") == F.col("awaiting"), F.lit(False))
+    return rows.groupBy(job).agg(F.bool_and(~same).alias("open"), F.count_if(same).alias("waiting"))
 
 
 def safe_stage(status: Column) -> Column:
     table = F.create_map(*(F.lit(x) for pair in SAFE_STAGES.items() for x in pair))
-    return F.coalesce(F.element_at(table, status), F.lit("source-gate"))
+    return F.coalesce(F.element_at(table, status), status)
 
 
 def prompts(assets: DataFrame, job: str, order: str, template: str) -> DataFrame:
@@ -63,12 +76,46 @@ def prompts(assets: DataFrame, job: str, order: str, template: str) -> DataFrame
     return rows.select(job, F.format_string(template, "category", F.size("lines"), F.array_join("lines", "\n")).alias("prompt"))
 
 
-def generation_state(tasks: DataFrame, run: str, budget: int) -> DataFrame:
-    """Progress of each run: tasks by status, retries, extra calls left, and the state that follows."""
-    n = lambda when: F.count_if(when)
-    out = tasks.groupBy(run).agg(F.count("*").alias("tasks"), n(F.col("status") == "complete").alias("complete"), n(F.col("status") == "ready").alias("ready"), n(F.col("status") == "blocked").alias("blocked"), n(F.col("is_retry")).alias("retries"))
-    state = F.when(F.col("complete") == F.col("tasks"), "complete").when(F.col("ready") > 0, "generating").otherwise("stalled")
-    return out.withColumn("remaining", F.greatest(F.lit(0).cast("long"), budget - F.col("retries"))).withColumn("state", state)
+def generation_state(inputs: DataFrame, run: str, job: str) -> DataFrame:
+    """Counts of each run from the required inputs (run, job, present, unchanged) of its jobs.
+
+    A job is ready when all its inputs are present and none of them awaits a replacement (is there, unchanged).
+    """
+    waits = F.col("present") & F.col("unchanged")
+    n = F.count("*")
+    each = inputs.groupBy(run, job).agg(n.alias("required"), F.count_if("present").alias("ready"), F.count_if(waits).alias("waiting"))
+    ready = F.count_if((F.col("ready") == F.col("required")) & (F.col("waiting") == 0))
+    out = each.groupBy(run).agg(n.alias("job_count"), ready.alias("ready_job_count"), F.sum("required").alias("required_input_count"), F.sum("ready").alias("ready_input_count"), F.sum("waiting").alias("pending_replacement_count"))
+    return out.withColumn("pending_job_count", F.col("job_count") - F.col("ready_job_count")).withColumn("missing_input_count", F.col("required_input_count") - F.col("ready_input_count"))
+
+
+def next_wave(tasks: DataFrame, run: str, effective: int = C.CONCURRENCY_MOST, high_risk: int = C.HIGH_RISK_MOST) -> DataFrame:
+    """(run, wave_kind, sequence, slot): the pending tasks that each run starts next.
+
+    tasks: run, sequence, kind, is_retry, priority, job_sequence, inputs_ready. A retry goes alone, first in sequence;
+    then sheets of high risk, few of them; then other sheets; then one dependent input whose sheet is there. A wave of
+    dependent inputs none of which can start has no slot and no sequence.
+    """
+    sheet, risky = F.col("kind") == "production-sheet", F.col("priority") < C.RISK_OTHER
+    tier = F.when(F.col("is_retry"), 0).when(sheet & risky, 1).when(sheet, 2).otherwise(3)
+    most = F.when(F.col("tier") == 1, min(high_risk, effective)).when(F.col("tier") == 2, effective).otherwise(1)
+    first = F.when(F.col("tier").isin(1, 2), F.struct("priority", "job_sequence", "sequence")).otherwise(F.struct(F.lit(0).alias("priority"), F.lit(0).cast("long").alias("job_sequence"), "sequence"))
+    ranked = tasks.withColumn("tier", tier).withColumn("can", (F.col("tier") < 3) | F.col("inputs_ready"))
+    ranked = ranked.withColumn("slot", F.row_number().over(Window.partitionBy(run, "tier", "can").orderBy(first))).where(F.col("slot") <= effective)
+    wave = ranked.groupBy(run).agg(F.min("tier").alias("wave"))
+    taken = ranked.where(F.col("can") & (F.col("slot") <= most)).select(run, F.col("tier").alias("wave"), "sequence", "slot")
+    name = F.element_at(F.array(*map(F.lit, ("retry", "risk-production", "production", "dependent"))), F.col("wave") + 1)
+    return wave.join(taken, [run, "wave"], "left").select(run, name.alias("wave_kind"), "sequence", "slot")
+
+
+def budget_state(jobs: DataFrame, run: str, minutes: tuple[float, float] = (5.0, 8.0), concurrency: int = C.CONCURRENCY_MOST) -> DataFrame:
+    """Calls and time of each run from its jobs (run, calls, max_extra, committed): what retries may still cost."""
+    top = lambda c: F.max(c)
+    out = jobs.groupBy(run).agg(F.count("*").alias("jobs"), F.sum("calls").alias("initial_image_calls"), F.greatest(F.lit(0), F.least(F.lit(C.RESERVE_MOST), top("max_extra"))).alias("max_extra_calls"), F.greatest(F.lit(0), top("committed")).alias("extra_calls_committed"))
+    waves = F.ceil(F.col("jobs") / concurrency) + F.greatest(F.lit(0), F.col("initial_image_calls") - F.col("jobs"))
+    out = out.withColumn("extra_calls_remaining", F.greatest(F.lit(0), F.col("max_extra_calls") - F.col("extra_calls_committed"))).withColumn("estimated_parallel_waves", waves.cast("long"))
+    low, high = minutes
+    return out.withColumn("least_minutes", F.round(F.col("estimated_parallel_waves") * low, 1)).withColumn("most_minutes", F.round((F.col("estimated_parallel_waves") + F.col("max_extra_calls")) * high, 1))
 
 
 def first_of_each(rows: DataFrame, group: str, order: list[str]) -> DataFrame:

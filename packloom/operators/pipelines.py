@@ -36,8 +36,7 @@ def source_gate(pixels: DataFrame, slots: DataFrame, image: str, mode: str, expe
     visible = foreground(mode)
     edges = edge_contacts(pixels, image, visible, width, height)
     filled = raster.slot_occupancy(pixels, slots, image, visible, expected, **occupancy)
-    green = visible & (F.col("g") >= 90) & (F.col("g") >= F.col("r") + 35) & (F.col("g") >= F.col("b") + 35)
-    greens = pixels.groupBy(image).agg((F.count_if(green) > F.greatest(F.lit(12), F.floor(F.count_if(visible) * 0.002))).alias("reflects"))
+    greens = raster.green_reflection(pixels, image, visible)
     rows = edges.join(filled, image).join(greens, image)
     rules = {
         "source-aspect-ratio-mismatch": ("fail", F.lit(width * canvas[1] != height * canvas[0])),
@@ -130,23 +129,34 @@ def nine_patches(sprites: DataFrame, factors: tuple[float, ...] = (0.5, 1.5, 2.0
     return rows.drop("i", "j")
 
 
-def panel_reuse(requests: DataFrame, project: str) -> DataFrame:
-    """Framed panels by an ordered fold: a panel reuses an earlier one of its key, or of its frame style; else it is generated.
+def panel_reuse(requests: DataFrame, catalog: DataFrame, project: str) -> DataFrame:
+    """(project, screen_ord, asset_ord, action, reuse_id) of framed panels, in order of screens and assets.
 
-    The state, the keys and styles made so far, lives in an aggregate over a project's ordered requests.
+    A panel reuses the one generated before it in its frame style; on a later screen also an earlier one of its key or,
+    failing that, the catalog's (key, id); else it is generated. Only the first request of a key and frame can be
+    generated, so the fold over a project sees these alone, and every request is answered by joins with what it made.
     """
-    item = F.struct("screen_ord", "asset_ord", "key", "frame")
-    ordered = requests.groupBy(project).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("keys"), none.alias("frames"), F.array().cast("array<struct<screen_ord:int,asset_ord:bigint,action:string>>").alias("out"))
+    at = F.struct("screen_ord", "asset_ord")
+    known = catalog.groupBy("key").agg(F.min("id").alias("catalog_id"))
+    firsts = requests.groupBy(project, "key", "frame").agg(F.min(at).alias("at")).join(known, "key", "left")
+    item = F.struct("at.screen_ord", "at.asset_ord", "key", "frame", F.col("catalog_id").isNotNull().alias("listed"))
+    ordered = firsts.groupBy(project).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    kind = dict(requests.dtypes)
+    start = F.array().cast(f"array<struct<screen_ord:{kind['screen_ord']},asset_ord:{kind['asset_ord']},key:{kind['key']},frame:{kind['frame']}>>")
 
     def step(acc: Column, x: Column) -> Column:
-        known = F.array_contains(acc["frames"], x["frame"]) | ((x["screen_ord"] > 0) & F.array_contains(acc["keys"], x["key"]))
-        row = F.struct(x["screen_ord"].cast("int").alias("screen_ord"), x["asset_ord"].cast("long").alias("asset_ord"), F.when(known, "reuse").otherwise("generate").alias("action"))
-        grow = lambda name, v: F.when(known, acc[name]).otherwise(F.array_union(acc[name], F.array(v)))
-        return F.struct(grow("keys", x["key"]).alias("keys"), grow("frames", x["frame"]).alias("frames"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    return ordered.select(project, F.explode(F.aggregate("items", start, step, lambda acc: acc["out"])).alias("x")).select(project, "x.*")
+        made = F.exists(acc, lambda y: y["frame"] == x["frame"]) | ((x["screen_ord"] > 0) & (x["listed"] | F.exists(acc, lambda y: y["key"] == x["key"])))
+        return F.when(made, acc).otherwise(F.array_append(acc, F.struct(x["screen_ord"], x["asset_ord"], x["key"], x["frame"])))
+
+    # One for each frame style of a project.
+    made = ordered.select(project, F.explode(F.aggregate("items", start, step)).alias("m"))
+    frames = made.select(project, "m.frame", F.struct("m.screen_ord", "m.asset_ord").alias("frame_at"), F.col("m.key").alias("frame_key"))
+    keys = made.groupBy(project, F.col("m.key").alias("key")).agg(F.min(F.struct("m.screen_ord", "m.asset_ord")).alias("key_at"))
+    rows = requests.join(frames, [project, "frame"], "left").join(keys, [project, "key"], "left").join(known, "key", "left")
+    pending = lambda key: F.concat(F.lit("pending:"), key)
+    later = F.col("screen_ord") > 0
+    reuse = F.when(F.col("frame_at") < at, pending(F.col("frame_key"))).when(later & (F.col("key_at") < at), pending(F.col("key"))).when(later & (F.col("frame_at").isNull() | (F.col("frame_at") != at)), F.col("catalog_id"))
+    return rows.withColumn("reuse_id", reuse).select(project, "screen_ord", "asset_ord", F.when(F.col("reuse_id").isNull(), "generate").otherwise("reuse").alias("action"), "reuse_id")
 
 
 def policies(requests: DataFrame, category: str, given: str) -> DataFrame:

@@ -169,6 +169,13 @@ def aura_suppressed(pixels: DataFrame, image: str, alpha: str, core: int = 32, r
     return near.withColumn("suppressed", (F.col(alpha) > 0) & (F.col(alpha) < core) & (F.col("local_max") == 0)).withColumn(alpha, F.when(F.col("suppressed"), 0).otherwise(F.col(alpha))).drop("_core", "local_max")
 
 
+def green_reflection(pixels: DataFrame, image: str, visible: Column) -> DataFrame:
+    """(image, green, reflects): visible pixels that are clearly green, and whether they are too many for a status icon."""
+    green = visible & (F.col("g") >= 90) & (F.col("g") >= F.col("r") + 35) & (F.col("g") >= F.col("b") + 35)
+    n = F.count_if(green)
+    return pixels.groupBy(image).agg(n.alias("green"), (n > F.greatest(F.lit(12), F.floor(F.count_if(visible) * 0.002))).alias("reflects"))
+
+
 def hidden_colour_cleared(pixels: DataFrame, alpha: str = "a", channels: tuple[str, ...] = ("r", "g", "b")) -> DataFrame:
     return pixels.withColumns({c: F.when(F.col(alpha) == 0, 0).otherwise(F.col(c)) for c in channels})
 
@@ -177,11 +184,12 @@ def checker(x: Column, y: Column, tile: int) -> Column:
     return F.pmod(F.floor(x / tile) + F.floor(y / tile), F.lit(2)).cast("int")
 
 
-def components(pixels: DataFrame, image: str, visible: Column, least: int = 1, rounds: int = 64) -> DataFrame:
+def components(pixels: DataFrame, image: str, visible: Column, least: int = 1) -> DataFrame:
     """8-connected components of each image's visible pixels: comp_id (least run), pixels and box.
 
     Runs are found by islands, joined to runs of the next line that they touch, and labelled by the least run that
     they reach; a label also jumps to the label of its label each round, so rounds grow with the logarithm of a path.
+    They go on until no label changes.
     """
     seen = pixels.where(visible)
     island = F.col("x") - F.row_number().over(Window.partitionBy(image, "y").orderBy("x"))
@@ -193,7 +201,7 @@ def components(pixels: DataFrame, image: str, visible: Column, least: int = 1, r
     one_way = runs.withColumnRenamed("run", "u").join(low, image).where(touch).select(image, "u", "v")
     edges = cut(one_way.unionByName(one_way.select(image, F.col("v").alias("u"), F.col("u").alias("v"))))
     labels = cut(runs.select(image, "run", F.col("run").alias("label")))
-    for _ in range(rounds):
+    while True:
         near = edges.join(labels.select(image, F.col("run").alias("v"), "label"), [image, "v"]).groupBy(image, F.col("u").alias("run")).agg(F.min("label").alias("near"))
         step = cut(labels.join(near, [image, "run"], "left").select(image, "run", "label", F.least("label", F.coalesce("near", "label")).alias("next")))
         jump = step.select(image, F.col("run").alias("next"), F.col("next").alias("far"))
@@ -231,6 +239,19 @@ def similarity(a: str, b: str) -> dict[str, Column]:
     return {"score": 100 * score} | {k: 100 * v for k, v in parts.items()}
 
 
+def job_style_scores(pairs: DataFrame, canonical: DataFrame, job: str) -> DataFrame:
+    """(job, canonical, cross, score, severity) from pairs (first, second, score) and canonical (job, canonical).
+
+    A job's score joins its likeness to the canonical profile with the mean of its likenesses to other jobs, each
+    rounded to two places; a job without pairs has its canonical likeness for both.
+    """
+    both = pairs.select(F.col("first").alias(job), "score").unionByName(pairs.select(F.col("second").alias(job), "score"))
+    means = both.groupBy(job).agg(F.round(F.avg(F.round("score", 2)), 2).alias("cross"))
+    rows = canonical.select(job, F.round("canonical", 2).alias("canonical")).join(means, job, "left").withColumn("cross", F.coalesce("cross", "canonical"))
+    rows = rows.withColumn("score", F.round(C.STYLE_CANONICAL * F.col("canonical") + C.STYLE_CROSS * F.col("cross"), 2))
+    return rows.withColumn("severity", F.when(F.col("score") < C.STYLE_FAIL, "fail").when(F.col("score") < C.STYLE_WARN, "warning").otherwise("pass"))
+
+
 def packed(pixels: DataFrame, image: str, width: int, height: int) -> DataFrame:
     """(image, width, height, rgba): each image's pixels as bytes, row by row."""
     byte = lambda c: F.lpad(F.hex(c), 2, "0")

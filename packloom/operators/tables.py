@@ -135,12 +135,15 @@ def budget_fold(jobs: DataFrame, run: str, order: list[str], cost: str, identity
 
 
 def risk_wave(jobs: DataFrame, by: str, priority: str, order: list[str], effective: int = C.CONCURRENCY_MOST, high_risk: int = C.HIGH_RISK_MOST) -> DataFrame:
-    """Jobs of the next wave of each group: by risk and order, few of high risk, few in all; limits are pushed below the sort."""
+    """Jobs of the next wave of each group, by risk and order: while jobs of high risk are pending only these, and few of them.
+
+    Limits are pushed below the sort, so the second window sees a few rows a group.
+    """
     risky = F.col(priority) < C.RISK_OTHER
-    first = jobs.withColumn("_risky", risky).withColumn("_r", F.row_number().over(Window.partitionBy(by, risky).orderBy(priority, *order)))
-    allowed = first.where(~F.col("_risky") | (F.col("_r") <= high_risk))
-    out = allowed.withColumn("slot", F.row_number().over(Window.partitionBy(by).orderBy(priority, *order)))
-    return out.where(F.col("slot") <= effective).drop("_risky", "_r")
+    first = jobs.withColumn("_risky", risky).withColumn("slot", F.row_number().over(Window.partitionBy(by, "_risky").orderBy(priority, *order)))
+    few = first.where(F.col("slot") <= effective).where(~F.col("_risky") | (F.col("slot") <= high_risk))
+    out = few.withColumn("_any", F.bool_or("_risky").over(Window.partitionBy(by)))
+    return out.where(~F.col("_any") | F.col("_risky")).drop("_risky", "_any")
 
 
 def positions(rows: DataFrame, by: str, order: list[str], columns: int, per_page: int) -> DataFrame:
@@ -149,15 +152,15 @@ def positions(rows: DataFrame, by: str, order: list[str], columns: int, per_page
     return rows.withColumn("_k", k).withColumn("page", F.floor(F.col("_k") / per_page).cast("int")).withColumn("row", F.floor(F.pmod("_k", F.lit(per_page)) / columns).cast("int")).withColumn("column", F.pmod("_k", F.lit(columns)).cast("int")).drop("_k")
 
 
-def tree_depths(nodes: DataFrame, identity: str, parent: str, levels: int = 32) -> DataFrame:
+def tree_depths(nodes: DataFrame, identity: str, parent: str) -> DataFrame:
     """Depth and root of each node of a forest by parent pointers; nodes that reach no root (cycles, unknown parents) are invalid.
 
-    One join a level, until a level is empty.
+    One join a level, until a level is empty: nodes of a cycle are in no level, so the loop ends.
     """
     edges = nodes.select(F.col(identity).alias("node"), F.col(parent).alias("parent"))
     level = cut(edges.where("parent is null").select("node", F.lit(0).alias("depth"), F.col("node").alias("root")))
     out = level
-    for _ in range(levels):
+    while True:
         level = cut(edges.alias("e").join(level.alias("l"), F.col("e.parent") == F.col("l.node")).select(F.col("e.node"), (F.col("l.depth") + 1).alias("depth"), F.col("l.root")))
         if level.isEmpty():
             break

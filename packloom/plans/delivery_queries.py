@@ -55,15 +55,19 @@ def job_overview(spark, d):
     return D.job_overview(every, found, scoring.job_scores(found, every), results).select("job_id", F.array_join("codes", ",").alias("codes"), "score", "status", "result")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'm' || CAST(o_orderkey AS VARCHAR) WHEN o_custkey % 2 = 0 THEN 's' || CAST(o_orderkey AS VARCHAR) || ',m' || CAST(o_orderkey AS VARCHAR) ELSE 's' || CAST(o_orderkey AS VARCHAR) END AS targets FROM orders""")
+@query("""WITH k AS (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS k, o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 AS of_source, o_orderkey % 3 = 0 AS to_matte, o_orderkey % 3 = 1 AS to_proof, o_custkey % 2 = 0 AS matte, o_custkey % 3 = 0 AS proof FROM orders)
+SELECT o_orderkey, CASE WHEN of_source THEN 's' || k WHEN to_matte AND matte THEN 'm' || k WHEN to_proof AND proof THEN 'p' || k WHEN matte THEN 's' || k || ',m' || k ELSE 's' || k END AS targets FROM k""")
 def retry_targets(spark, d):
-    k = F.col("o_orderkey")
-    rows = table(spark, d, "orders").select("o_orderkey", F.when(k % 3 == 0, "alpha-matte").otherwise("production-sheet").alias("retry_target"), F.when(F.col("o_custkey") % 2 == 0, "model-matte-derived").otherwise("chroma-key").alias("transparency_mode"), F.concat(F.lit("s"), k.cast("string")).alias("sheet_path"), F.concat(F.lit("m"), k.cast("string")).alias("matte_path"))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    path = lambda letter: F.concat(F.lit(letter), k.cast("string"))
+    code = F.when(k % 7 == 0, "source-edge-contact").when(k % 11 == 0, "status-green-reflection").otherwise("empty-slot")
+    target = F.when(k % 3 == 0, "alpha-matte").when(k % 3 == 1, "native-alpha-provenance").otherwise("production-sheet")
+    rows = table(spark, d, "orders").select("o_orderkey", code.alias("code"), target.alias("retry_target"), F.when(c % 2 == 0, "model-matte-derived").otherwise("chroma-key").alias("transparency_mode"), path("s").alias("sheet_path"), F.when(c % 2 == 0, path("m")).alias("matte_path"), F.when(c % 3 == 0, path("p")).alias("provenance_path"))
     return D.retry_targets(rows).select("o_orderkey", F.array_join("targets", ",").alias("targets"))
 
 
 @query("""WITH p AS (SELECT DISTINCT source, doc_id, sha256(lang || CAST(doc_id % 2 AS VARCHAR)) AS awaiting FROM documents), n AS (SELECT doc_id, sha256(lang || CAST(quality AS VARCHAR)) AS now FROM documents JOIN labels USING (doc_id))
-SELECT source, bool_and(coalesce(now <> awaiting, false)) AS open, count(*) FILTER (WHERE NOT coalesce(now <> awaiting, false)) AS waiting FROM p LEFT JOIN n USING (doc_id) GROUP BY source""")
+SELECT source, count(*) FILTER (WHERE now = awaiting) = 0 AS open, count(*) FILTER (WHERE now = awaiting) AS waiting FROM p LEFT JOIN n USING (doc_id) GROUP BY source""")
 def retry_gate(spark, d):
     docs = table(spark, d, "documents")
     planned = docs.select("source", "doc_id", F.sha2(F.concat("lang", (F.col("doc_id") % 2).cast("string")), 256).alias("awaiting"))
@@ -71,9 +75,10 @@ def retry_gate(spark, d):
     return D.retry_gate(planned, seen, "source", "doc_id")
 
 
-@query("SELECT event_id, CASE event_type WHEN 'error' THEN 'regeneration' WHEN 'click' THEN 'processing' WHEN 'view' THEN 'complete' ELSE 'source-gate' END AS stage FROM events")
+@query("SELECT event_id, CASE event_type WHEN 'error' THEN 'qa-failed' WHEN 'click' THEN 'processing' WHEN 'view' THEN 'regeneration' WHEN 'purchase' THEN 'assets-complete' ELSE event_type END AS stage FROM events")
 def safe_stage_mapping(spark, d):
-    status = F.when(F.col("event_type") == "error", "qa-failed").when(F.col("event_type") == "click", "processing-failed").when(F.col("event_type") == "view", "complete").otherwise(F.col("event_type"))
+    kind = F.col("event_type")
+    status = F.when(kind == "error", "failed").when(kind == "click", "ready-for-processing").when(kind == "view", "awaiting-regeneration").when(kind == "purchase", "unity-failed").otherwise(kind)
     return table(spark, d, "events").select("event_id", D.safe_stage(status).alias("stage"))
 
 
@@ -84,13 +89,40 @@ def sheet_prompts(spark, d):
     return D.prompts(assets, "p_brand", "p_partkey", "Sheet for %s with %d assets:\n%s")
 
 
-@query("""WITH t AS (SELECT o_custkey, CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'O' THEN 'ready' ELSE 'blocked' END AS status, o_orderkey % 5 = 0 AS is_retry FROM orders),
-g AS (SELECT o_custkey, count(*) AS tasks, count(*) FILTER (WHERE status = 'complete') AS complete, count(*) FILTER (WHERE status = 'ready') AS ready, count(*) FILTER (WHERE status = 'blocked') AS blocked, count(*) FILTER (WHERE is_retry) AS retries FROM t GROUP BY o_custkey)
-SELECT *, greatest(0, 5 - retries) AS remaining, CASE WHEN complete = tasks THEN 'complete' WHEN ready > 0 THEN 'generating' ELSE 'stalled' END AS state FROM g""")
+@query("""WITH i AS (SELECT DISTINCT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag <> 'N' AS present, l_suppkey % 7 = 0 AS unchanged FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+j AS (SELECT o_custkey, l_orderkey, count(*) AS n, sum(CAST(present AS BIGINT)) AS p, sum(CAST(present AND unchanged AS BIGINT)) AS w FROM i GROUP BY ALL)
+SELECT o_custkey, count(*) AS job_count, count(*) FILTER (WHERE p = n AND w = 0) AS ready_job_count, count(*) FILTER (WHERE p < n OR w > 0) AS pending_job_count, CAST(sum(n) AS BIGINT) AS required_input_count,
+  CAST(sum(p) AS BIGINT) AS ready_input_count, CAST(sum(n - p) AS BIGINT) AS missing_input_count, CAST(sum(w) AS BIGINT) AS pending_replacement_count FROM j GROUP BY o_custkey""")
 def generation_state(spark, d):
-    status = F.when(F.col("o_orderstatus") == "F", "complete").when(F.col("o_orderstatus") == "O", "ready").otherwise("blocked")
-    tasks = table(spark, d, "orders").select("o_custkey", status.alias("status"), (F.col("o_orderkey") % 5 == 0).alias("is_retry"))
-    return D.generation_state(tasks, "o_custkey", 5)
+    # A customer's orders are the jobs of a run, their lineitems the required inputs.
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_returnflag") != "N").alias("present"), (F.col("l_suppkey") % 7 == 0).alias("unchanged")).distinct()
+    owners = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return D.generation_state(items.join(owners, "l_orderkey"), "o_custkey", "l_orderkey")
+
+
+@query("""WITH t AS (SELECT o_custkey, o_orderkey * 2 + k AS sequence, CASE k WHEN 0 THEN 'production-sheet' ELSE 'alpha-matte' END AS kind, o_orderkey % 40 = 0 AS is_retry, o_orderkey AS job_sequence, o_orderstatus = 'F' AS inputs_ready,
+    CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 0 WHEN '2' THEN 1 ELSE 10 END AS priority FROM orders, (VALUES (0), (1)) AS v(k) WHERE CASE k WHEN 0 THEN o_custkey % 3 > 0 AND o_orderstatus <> 'F' ELSE o_orderkey % 2 = 0 END),
+w AS (SELECT o_custkey, CASE WHEN bool_or(is_retry) THEN 'retry' WHEN bool_or(kind = 'production-sheet' AND priority < 10) THEN 'risk-production' WHEN bool_or(kind = 'production-sheet') THEN 'production' ELSE 'dependent' END AS wave_kind FROM t GROUP BY o_custkey),
+c AS (SELECT t.*, wave_kind, row_number() OVER (PARTITION BY t.o_custkey ORDER BY CASE WHEN wave_kind LIKE '%production' THEN priority ELSE 0 END, sequence) AS slot FROM t JOIN w USING (o_custkey)
+  WHERE CASE wave_kind WHEN 'retry' THEN is_retry WHEN 'risk-production' THEN kind = 'production-sheet' AND priority < 10 WHEN 'production' THEN kind = 'production-sheet' ELSE inputs_ready END)
+SELECT w.o_custkey, w.wave_kind, sequence, CAST(slot AS INTEGER) AS slot FROM w LEFT JOIN c ON c.o_custkey = w.o_custkey AND slot <= CASE w.wave_kind WHEN 'risk-production' THEN 2 WHEN 'production' THEN 3 ELSE 1 END""")
+def generation_wave(spark, d):
+    k = F.col("o_orderkey")
+    first = F.substring("o_orderpriority", 1, 1)
+    rows = table(spark, d, "orders").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
+    rows = rows.where(F.when(F.col("k") == 0, (F.col("o_custkey") % 3 > 0) & (F.col("o_orderstatus") != "F")).otherwise(k % 2 == 0))
+    tasks = rows.select("o_custkey", (k * 2 + F.col("k")).alias("sequence"), F.when(F.col("k") == 0, "production-sheet").otherwise("alpha-matte").alias("kind"), (k % 40 == 0).alias("is_retry"), k.cast("long").alias("job_sequence"), (F.col("o_orderstatus") == "F").alias("inputs_ready"), F.when(first == "1", 0).when(first == "2", 1).otherwise(10).alias("priority"))
+    return D.next_wave(tasks, "o_custkey")
+
+
+@query("""WITH j AS (SELECT o_custkey, o_orderkey, 1 + CAST(o_orderkey % 3 = 0 AS INTEGER) AS calls, o_custkey % 8 - 1 AS extra, o_custkey % 4 AS committed FROM orders),
+r AS (SELECT o_custkey, count(*) AS jobs, CAST(sum(calls) AS BIGINT) AS initial_image_calls, greatest(0, least(5, max(extra))) AS max_extra_calls, max(committed) AS extra_calls_committed FROM j GROUP BY o_custkey),
+w AS (SELECT *, greatest(0, max_extra_calls - extra_calls_committed) AS extra_calls_remaining, CAST(ceil(jobs / 3.0) AS BIGINT) + initial_image_calls - jobs AS estimated_parallel_waves FROM r)
+SELECT *, CAST(estimated_parallel_waves * 5 AS DOUBLE) AS least_minutes, CAST((estimated_parallel_waves + max_extra_calls) * 8 AS DOUBLE) AS most_minutes FROM w""")
+def generation_budget_totals(spark, d):
+    k = F.col("o_orderkey")
+    jobs = table(spark, d, "orders").select("o_custkey", (1 + (k % 3 == 0).cast("int")).alias("calls"), (F.col("o_custkey") % 8 - 1).alias("max_extra"), (F.col("o_custkey") % 4).alias("committed"))
+    return D.budget_state(jobs, "o_custkey")
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events) WHERE k = 1")

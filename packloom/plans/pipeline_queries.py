@@ -122,7 +122,8 @@ def panel_reuse_fold(spark, d):
     e = table(spark, d, "events")
     rows = e.select(F.col("user_id"), F.dayofmonth("ts").alias("day"), F.col("event_id").alias("asset_ord"), F.concat_ws("|", "event_type", F.get_json_object("props", "$.k")).alias("key"), (F.get_json_object("props", "$.k").cast("int") % 8).cast("string").alias("frame"))
     first = rows.groupBy("user_id").agg(F.min("day").alias("first"))
-    return X.panel_reuse(rows.join(first, "user_id").withColumn("screen_ord", F.col("day") - F.col("first")), "user_id")
+    catalog = table(spark, d, "part").where("p_partkey % 10 = 0").select(F.concat(F.lit("view|"), F.col("p_partkey").cast("string")).alias("key"), F.concat(F.lit("listed-"), F.col("p_partkey").cast("string")).alias("id"))
+    return X.panel_reuse(rows.join(first, "user_id").withColumn("screen_ord", F.col("day") - F.col("first")), catalog, "user_id")
 
 
 @query("""SELECT p_partkey, category, coalesce(CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS DOUBLE) END, 12.0) AS merge_distance, CASE category WHEN 'Panel' THEN 0.06 WHEN 'Button' THEN 0.06 WHEN 'Icon_Skill' THEN 0.15 WHEN 'Icon_Effect' THEN 0.18 END::DOUBLE AS merge_distance_ratio,

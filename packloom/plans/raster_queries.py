@@ -157,14 +157,16 @@ def style_pair_similarity(spark, d):
     return pairs.select("first", "second", *(F.round(c, 6).alias(c) for c in pairs.columns[2:]))
 
 
-@query(f"""WITH {PIXELS}, {_SIMILAR}, sides AS (SELECT first AS label, score FROM pairs UNION ALL SELECT second, score FROM pairs)
-SELECT label, round(avg(score), 6) AS cross_score, round(min(score), 6) AS least, CASE WHEN avg(score) < 40 THEN 'fail' WHEN avg(score) < 60 THEN 'warning' ELSE 'pass' END AS qa FROM sides GROUP BY label""")
+@query(f"""WITH {PIXELS}, {_SIMILAR}, sides AS (SELECT first AS label, score FROM pairs UNION ALL SELECT second, score FROM pairs), low AS (SELECT min(label) AS c FROM one),
+x AS (SELECT label, round(avg(round(score, 2)), 2) AS cross_score FROM sides GROUP BY label), c AS (SELECT second AS label, round(score, 2) AS canonical FROM pairs, low WHERE first = c UNION ALL SELECT c, 100.0 FROM low),
+s AS (SELECT label, canonical, cross_score, round(0.45 * canonical + 0.55 * cross_score, 2) AS score FROM c JOIN x USING (label))
+SELECT *, CASE WHEN score < 40 THEN 'fail' WHEN score < 60 THEN 'warning' ELSE 'pass' END AS severity FROM s""")
 def style_job_scores(spark, d):
-    pairs = _pairs(spark, d)
-    both = pairs.select(F.col("first").alias("label"), "score").unionByName(pairs.select(F.col("second").alias("label"), "score"))
-    mean = F.avg("score")
-    qa = F.when(mean < C.STYLE_FAIL, "fail").when(mean < C.STYLE_WARN, "warning").otherwise("pass")
-    return both.groupBy("label").agg(F.round(mean, 6).alias("cross_score"), F.round(F.min("score"), 6).alias("least"), qa.alias("qa"))
+    # The canonical profile is that of the least label.
+    profiles = _profiles(spark, d)
+    least = F.broadcast(profiles.orderBy("label").limit(1).select(F.struct(*profiles.columns).alias("b")))
+    canonical = profiles.select("label", F.struct(*profiles.columns).alias("a")).join(least).select("label", P.similarity("a", "b")["score"].alias("canonical"))
+    return P.job_style_scores(_pairs(spark, d), canonical, "label").withColumnRenamed("cross", "cross_score")
 
 
 @query(f"""WITH {PIXELS}, ih AS (SELECT vec_id, label, CAST({_BIN} AS INTEGER) AS bin, count(*) AS n FROM px WHERE a >= 16 GROUP BY ALL), t AS (SELECT vec_id, sum(n) AS w FROM ih GROUP BY vec_id),
@@ -261,10 +263,10 @@ def checker_agreement(spark, d):
     return pixels(spark, d).groupBy("vec_id").agg(F.count_if(same).alias("agree"))
 
 
-@query(f"WITH {PIXELS} SELECT vec_id, count(*) FILTER (WHERE g > r + 20 AND g > b + 20 AND a >= 16) > greatest(12, 0.002 * count(*)) AS green_reflection, count(*) FILTER (WHERE g > r + 20 AND g > b + 20 AND a >= 16) AS green FROM px GROUP BY vec_id")
+@query(f"""WITH {PIXELS}, s AS (SELECT vec_id, count(*) FILTER (WHERE a >= 16 AND g >= 90 AND g - r >= 35 AND g - b >= 35) AS green, count(*) FILTER (WHERE a >= 16) AS seen FROM px GROUP BY vec_id)
+SELECT vec_id, green, green > 12 AND green > floor(seen * 0.002) AS reflects FROM s""")
 def green_reflection(spark, d):
-    green = F.count_if((F.col("g") > F.col("r") + 20) & (F.col("g") > F.col("b") + 20) & (F.col("a") >= 16))
-    return pixels(spark, d).groupBy("vec_id").agg((green > F.greatest(F.lit(12.0), F.count("*") * 0.002)).alias("green_reflection"), green.alias("green"))
+    return P.green_reflection(pixels(spark, d), "vec_id", F.col("a") >= 16)
 
 
 _BANDS = """bx AS (SELECT vec_id, min(x) AS l, max(x) AS r0, min(y) AS t, max(y) AS b0 FROM px WHERE a >= 16 GROUP BY vec_id),

@@ -281,8 +281,8 @@ def state_change_history(spark, d):
 _TASKS = "t AS (SELECT o_custkey, o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 0 WHEN '2' THEN 1 WHEN '3' THEN 2 ELSE 10 END AS priority FROM orders)"
 
 
-@query(f"""WITH {_TASKS}, f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, priority < 10 ORDER BY priority, o_orderkey) AS k FROM t),
-g AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY priority, o_orderkey) AS slot FROM f WHERE priority = 10 OR k <= 2) SELECT o_custkey, o_orderkey, priority, CAST(slot AS INTEGER) AS slot FROM g WHERE slot <= 3""")
+@query(f"""WITH {_TASKS}, f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, priority < 10 ORDER BY priority, o_orderkey) AS k, bool_or(priority < 10) OVER (PARTITION BY o_custkey) AS risky FROM t)
+SELECT o_custkey, o_orderkey, priority, CAST(k AS INTEGER) AS slot FROM f WHERE CASE WHEN risky THEN priority < 10 AND k <= 2 ELSE k <= 3 END""")
 def risk_wave_selection(spark, d):
     first = F.substring("o_orderpriority", 1, 1)
     rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.when(first == "1", 0).when(first == "2", 1).when(first == "3", 2).otherwise(10).alias("priority"))
@@ -297,7 +297,7 @@ def chroma_key_selection(spark, d):
 
 
 @query("""WITH c AS (SELECT c_custkey, n_name, CASE c_mktsegment WHEN 'BUILDING' THEN 'Panel' WHEN 'MACHINERY' THEN 'Button' WHEN 'AUTOMOBILE' THEN 'Icon_Status' ELSE 'Icon_Item' END AS category FROM customer JOIN nation ON c_nationkey = n_nationkey)
-SELECT n_name, count(*) AS jobs, CAST(least(5, count(DISTINCT CASE WHEN category <> 'Icon_Item' THEN category END) + 1) AS INTEGER) AS reserve,
+SELECT n_name, count(*) AS jobs, CAST(least(5, 1 + CAST(bool_or(category = 'Panel') AS INTEGER) + CAST(bool_or(category = 'Button') AS INTEGER) + CAST(bool_or(category IN ('Icon_Nav', 'Icon_Status', 'Icon_Item')) AS INTEGER)) AS INTEGER) AS reserve,
   CAST(ceil(count(*) FILTER (WHERE category IN ('Panel', 'Button', 'Icon_Status')) / 2.0) + ceil(count(*) FILTER (WHERE category = 'Icon_Item') / 3.0) AS BIGINT) AS waves FROM c GROUP BY n_name""")
 def batch_budget(spark, d):
     segment = F.col("c_mktsegment")

@@ -37,8 +37,8 @@ def new_candidates(events: DataFrame, keys: list[str], time: str, late: str = "1
 
 
 def readiness(files: DataFrame, required: int, time: str, late: str = "1 day") -> DataFrame:
-    """Jobs with the number of their distinct inputs that arrived, and whether all have."""
-    seen = files.withWatermark(time, late).groupBy("job_id").agg(F.approx_count_distinct("path").alias("arrived"))
+    """Jobs with the exact number of their distinct inputs that arrived, and whether all have; a job's inputs are few."""
+    seen = files.withWatermark(time, late).groupBy("job_id").agg(F.size(F.collect_set("path")).alias("arrived"))
     return seen.withColumn("ready", F.col("arrived") >= required)
 
 

@@ -10,16 +10,20 @@ from packloom.operators import boxes, pipelines, raster, stretch, tables
 
 def test_panel_reuse_equals_a_plain_fold(spark):
     rng = random.Random(4)
-    rows = [(p, s, a, f"k{rng.randrange(6)}", f"f{rng.randrange(5)}") for p in range(20) for s in range(4) for a in range(rng.randrange(1, 5))]
-    got = {(r.p, r.screen_ord, r.asset_ord): r.action for r in pipelines.panel_reuse(spark.createDataFrame(rows, "p int, screen_ord int, asset_ord long, key string, frame string"), "p").collect()}
+    rows = [(p, s, a, f"k{rng.randrange(9)}", f"f{rng.randrange(7)}") for p in range(40) for s in range(4) for a in range(rng.randrange(1, 6))]
+    listed = {"k1": "c1", "k5": "c5"}
+    catalog = spark.createDataFrame(list(listed.items()), "key string, id string")
+    requests = spark.createDataFrame(rows, "p int, screen_ord int, asset_ord long, key string, frame string")
+    got = {(r.p, r.screen_ord, r.asset_ord): (r.action, r.reuse_id) for r in pipelines.panel_reuse(requests, catalog, "p").collect()}
     want, keys, frames = {}, {}, {}
     for p, s, a, key, frame in sorted(rows):
-        known = frame in frames.setdefault(p, set()) or (s > 0 and key in keys.setdefault(p, set()))
-        want[p, s, a] = "reuse" if known else "generate"
-        if not known:
-            frames[p].add(frame)
-            keys.setdefault(p, set()).add(key)
-    assert got == want
+        reuse = frames.get((p, frame))
+        if reuse is None and s > 0:
+            reuse = keys.get((p, key)) or listed.get(key)
+        want[p, s, a] = ("reuse" if reuse else "generate", reuse)
+        if not reuse:
+            keys[p, key] = frames[p, frame] = f"pending:{key}"
+    assert got == want and {x for x, _ in want.values()} == {"reuse", "generate"}
 
 
 def test_component_classes_by_hand(spark):

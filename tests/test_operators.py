@@ -31,7 +31,9 @@ def value(spark, column):
         (lambda: S.quality_status(F.lit(95), F.lit(1)), "blocked"),
         (lambda: S.quality_status(F.lit(66), F.lit(0)), "fair"),
         (lambda: S.choose_chroma_key(S.subject_colours(F.lit("an Emerald ring on violet silk"))), "#00FFFF"),
-        (lambda: S.generation_budget(F.array(*map(F.lit, ["Panel", "Button", "Icon_Item"]))), 3),
+        (lambda: S.generation_budget(F.array(*map(F.lit, ["Panel", "Button", "Icon_Item"]))), 4),
+        (lambda: S.generation_budget(F.array(*map(F.lit, ["Icon_Nav", "Icon_Status"]))), 2),
+        (lambda: S.generation_budget(F.array(F.lit("Icon_Effect"))), 1),
         (lambda: S.is_sha256(F.lit("ab" * 32)), True),
         (lambda: S.managed_block(F.lit("a\nBEGIN\nold\nEND\nb"), F.lit("new $1"), "BEGIN", "END"), "a\nBEGIN\nnew $1\nEND\nb"),
         (lambda: R.reference_role(F.lit("canonical.png")), "canonical"),

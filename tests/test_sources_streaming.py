@@ -46,6 +46,17 @@ def test_streamed_degradation_equals_the_batch_fold(spark, tmp_path):
     assert got == want
 
 
+def test_readiness_counts_distinct_inputs_exactly(spark, tmp_path):
+    rows = [(j, f"p{k % (j + 1)}", f"2024-01-01 00:{k % 60:02d}:00") for j in range(1, 60, 7) for k in range(80)]
+    files_seen = spark.createDataFrame(rows, "job_id int, path string, at string").select("job_id", "path", F.to_timestamp("at").alias("at"))
+    files_seen.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(files_seen.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = state.readiness(stream, 30, "at").writeStream.outputMode("update").format("memory").queryName("arrived").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {r.job_id: (r.arrived, r.ready) for r in spark.table("arrived").groupBy("job_id").agg(F.max("arrived").alias("arrived"), F.bool_or("ready").alias("ready")).collect()}
+    assert got == {j: (j + 1, j + 1 >= 30) for j in range(1, 60, 7)}
+
+
 def test_windows_count_every_issue(spark):
     rows = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("job_id"))
     assert state.issue_windows(rows, "ts").agg(F.sum("n")).first()[0] == rows.count()
