@@ -148,6 +148,28 @@ def choose_chroma_key(conflicts: Column) -> Column:
     return out
 
 
+def chroma_key_choice(requested: Column, conflicts: Column) -> Column:
+    """struct<key, mode, issue>: the requested key, or the first without a conflict where it is auto or absent.
+
+    A requested key whose colour the subject has, and subjects that have the colours of all keys, are issues.
+    """
+    wanted = F.upper(F.coalesce(requested, F.lit("auto")))
+    names = F.create_map(*(F.lit(x) for pair in C.CHROMA_KEYS for x in pair))
+    explicit = wanted != "AUTO"
+    clash = F.coalesce(F.array_contains(conflicts, F.element_at(names, wanted)), F.lit(False))
+    free = choose_chroma_key(conflicts)
+    issue = F.when(explicit & clash, "chroma-key-conflicts-with-subject").when(~explicit & free.isNull(), "no-chroma-key-without-conflict")
+    return F.struct(F.when(explicit, F.when(~clash, wanted)).otherwise(free).alias("key"), F.when(explicit, "explicit").otherwise("auto-declared-palette").alias("mode"), issue.alias("issue"))
+
+
+def generation_policy(mode: Column, most: Column, high_risk: Column) -> Column:
+    """struct<mode, most, high_risk>: limits of concurrent calls within their bounds, with their defaults."""
+    kind = F.coalesce(mode, F.lit("adaptive-parallel"))
+    asked = F.coalesce(most, F.when(kind == "adaptive-parallel", C.CONCURRENCY_MOST).otherwise(C.CONCURRENCY_LEAST))
+    limit = F.when(kind == "sequential-inputs", 1).otherwise(clip(asked, C.CONCURRENCY_LEAST, C.CONCURRENCY_MOST))
+    return F.struct(kind.alias("mode"), limit.alias("most"), F.least(F.coalesce(high_risk, F.lit(C.HIGH_RISK_MOST)), limit).alias("high_risk"))
+
+
 def generation_budget(categories: Column) -> Column:
     """Extra calls kept in reserve: one, one for each reserved category, one for chroma-risk icons of any kind; five at most."""
     own = sum(F.array_contains(categories, c).cast("int") for c in C.RESERVED_CATEGORIES)

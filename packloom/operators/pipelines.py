@@ -9,7 +9,8 @@ from packloom.functions import constants as C
 from packloom.functions import rules as R
 from packloom.functions import scalars as S
 
-from . import raster
+from . import boxes, raster
+from .lineage import cut
 
 #: Foreground of the gate by transparency mode, and of diagnosis.
 KEY_DISTANCE, MATTE_LEVEL, ALPHA_LEVEL, DIAGNOSIS_ALPHA = 48.0, 20, 16, 8
@@ -96,6 +97,28 @@ def task_queue(jobs: DataFrame, present: DataFrame, run: str, job: str, order: l
     return rows.select(run, job, "kind", place.alias("sequence"), F.when(F.col("kind") == "matte", F.lit("sheet")).alias("depends_on"), status.alias("status"))
 
 
+def extracted(pixels: DataFrame, slots: DataFrame, image: str, visible: Column, width: int, height: int, padding: int = 1, major: float = C.MAJOR_COMPONENT_RATIO) -> tuple[DataFrame, DataFrame]:
+    """(manifest rows, issues) of sheets of one layout, straight from their pixels.
+
+    Components go to the slot whose centre is nearest theirs. Each slot with components is an asset (image, slot,
+    components, pixels, and the box of all of them, padded within the image). Issues: components that hold several
+    slots' centres, slots without components, and slots with a second component nearly as large as the first.
+    """
+    found = raster.components(pixels, image, visible).withColumn("layout_id", F.lit(1))
+    layout = slots.withColumn("layout_id", F.lit(1))
+    placed = cut(boxes.nearest_slot(found, layout, "layout_id").select(image, "comp_id", "slot", "pixels", "l", "t", "r", "b"))
+    size = F.array_sort(F.collect_list((-F.col("pixels")).alias("p")))
+    assets = placed.groupBy(image, "slot").agg(F.count("*").alias("components"), F.sum("pixels").alias("pixels"), F.slice(size, 1, 2).alias("top"), F.min("l").alias("l"), F.min("t").alias("t"), F.max("r").alias("r"), F.max("b").alias("b"))
+    boxed = S.padded(S.box(*(F.col(c) for c in "ltrb")), padding, F.lit(width), F.lit(height))
+    manifest = assets.select(image, "slot", "components", "pixels", boxed.alias("box")).select(image, "slot", "components", "pixels", "box.*")
+    spans = boxes.slots_spanned(placed.withColumn("layout_id", F.lit(1)).withColumn("component", F.struct(image, "comp_id")), layout, "layout_id", "component")
+    crossing = spans.select(f"component.{image}", F.lit(None).cast("int").alias("slot"), F.lit("cross-slot-connected-component").alias("code"))
+    every = pixels.select(image).distinct().join(F.broadcast(slots.select(F.col("idx").alias("slot"))))
+    empty = every.join(assets.select(image, "slot"), [image, "slot"], "left_anti").select(image, "slot", F.lit("empty-slot").alias("code"))
+    several = assets.where(F.get("top", F.lit(1)) <= F.get("top", F.lit(0)) * major).select(image, "slot", F.lit("multiple-major-components").alias("code"))
+    return manifest, crossing.unionByName(empty).unionByName(several)
+
+
 def placements(crops: DataFrame, slots: DataFrame, on: list[str]) -> DataFrame:
     """Where crops (w, h) go in the safe boxes of their slots: scale at most 1, size half to even, centred."""
     sw, sh = F.col("sr") - F.col("sl"), F.col("sb") - F.col("st")

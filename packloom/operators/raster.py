@@ -73,6 +73,14 @@ def matte_recovered(rgb: tuple[Column, ...], matte: tuple[Column, ...], backgrou
     return F.floor(alpha * 255.0).cast("int"), [F.when(alpha <= 0, 0).otherwise(f) for f in front]
 
 
+def recovered(source: DataFrame, matte: DataFrame, image: str, width: int, height: int, strip: int = 8) -> DataFrame:
+    """(image, x, y, r, g, b, a): source pixels under their matte's pixels; the background is the median of the source's border."""
+    back = border(source, width, height, strip).groupBy(image).agg(*(F.percentile(c, F.lit(0.5)).alias(f"k{c}") for c in "rgb"))
+    rows = source.select(image, "x", "y", *"rgb").join(matte.select(image, "x", "y", *(F.col(c).alias(f"m{c}") for c in "rgb")), [image, "x", "y"]).join(back, image)
+    alpha, front = matte_recovered(*(tuple(F.col(f"{p}{c}") for c in "rgb") for p in ("", "m", "k")))
+    return rows.select(image, "x", "y", *(f.alias(c) for f, c in zip(front, "rgb", strict=True)), alpha.alias("a"))
+
+
 def mask_agreement(pixels: DataFrame, image: str, a: Column, b: Column) -> DataFrame:
     """Of two masks of each image: pixels, share of a that b covers, share of b that a supports, IoU of masks and of boxes."""
     both, either = a & b, a | b

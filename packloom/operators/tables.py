@@ -56,6 +56,11 @@ def missing(required: DataFrame, present: DataFrame, key: str) -> DataFrame:
     return required.join(present.select(key), key, "left_anti")
 
 
+def memoised(wanted: DataFrame, cache: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of `wanted` with the cached answer of their key, rows that are yet to be answered); the cache has one row a key."""
+    return wanted.join(cache, key), wanted.join(cache.select(key), key, "left_anti")
+
+
 def contiguity(rows: DataFrame, group: str, index: str) -> DataFrame:
     """Whether each group's indices are 1..n, each once."""
     n = F.count("*")

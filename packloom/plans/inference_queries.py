@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from packloom.functions import constants as C
 from packloom.functions import rules as R
+from packloom.functions import scalars as S
 from packloom.operators import inference as I
+from packloom.operators import pipelines, tables
 from packloom.operators import raster as P
 from packloom.operators import screens as X
 
 from . import raster_queries
 from .registry import ORACLES, query, table
-from .standins import PIXELS, pixels
+from .standins import BOXES, ISSUES, PIXELS, boxes, issues, pixels
 
 
 @query(f"""SELECT vec_id, CAST(ord AS INTEGER) AS ord, severity, code FROM (SELECT vec_id, unnest([CASE WHEN confidence = 'medium' THEN 'variable-chroma-border' END, CASE WHEN NOT auto_apply THEN 'unsafe-adaptive-thresholds' END, CASE WHEN near_key_risk THEN 'near-key-subject-risk' END]) AS code, unnest(['warning', 'fail', 'fail']) AS severity, unnest([0, 1, 2]) AS ord
@@ -144,3 +147,105 @@ def reference_image_issues(spark, d):
     good = k % 23 > 0
     rows = table(spark, d, "documents").select("source", file.alias("file"), F.when(good, F.col("n_chars")).alias("width"), F.when(good, F.rint(F.col("n_chars") / 2).cast("long")).alias("height"), F.when(k % 19 == 0, 2).otherwise(1).alias("frames"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
     return X.reference_issues(rows.withColumn("role", R.reference_role(F.col("file"))), "source")
+
+
+_CONNECTED = ORACLES["connected_components"].replace("HAVING count(*) >= 2", "")
+_SHEETS = f"""cc AS ({_CONNECTED}), st AS (SELECT idx, cx, cy FROM (VALUES (1, 2, 2), (2, 6, 2), (3, 2, 6), (4, 6, 6)) AS v(idx, cx, cy)),
+pd AS (SELECT cc.*, (SELECT arg_min(idx, (pow(cx - (l + r) / 2.0, 2) + pow(cy - (t + b) / 2.0, 2), idx)) FROM st) AS slot FROM cc),
+sl AS (SELECT vec_id, CAST(slot AS INTEGER) AS slot, count(*) AS components, CAST(sum(pixels) AS BIGINT) AS pixels, list_sort(list(pixels), 'DESC') AS top, min(l) AS l, min(t) AS t, max(r) AS r, max(b) AS b FROM pd GROUP BY ALL)"""
+
+
+def _extracted(spark, d):
+    return pipelines.extracted(pixels(spark, d), raster_queries._quarters(spark), "vec_id", F.col("v") > 0.08, 8, 8)
+
+
+@query(f"WITH {_SHEETS} SELECT vec_id, slot, components, pixels, greatest(l - 1, 0) AS l, greatest(t - 1, 0) AS t, least(r + 1, 8) AS r, least(b + 1, 8) AS b FROM sl")
+def extracted_assets(spark, d):
+    return _extracted(spark, d)[0]
+
+
+@query(f"""WITH {_SHEETS} SELECT vec_id, CAST(NULL AS INTEGER) AS slot, 'cross-slot-connected-component' AS code FROM cc WHERE (SELECT count(*) FROM st WHERE cx >= l AND cx < r AND cy >= t AND cy < b) > 1
+UNION ALL SELECT e.vec_id, st.idx, 'empty-slot' FROM embeddings e, st WHERE (e.vec_id, st.idx) NOT IN (SELECT vec_id, slot FROM sl) UNION ALL SELECT vec_id, slot, 'multiple-major-components' FROM sl WHERE len(top) > 1 AND top[2] >= top[1] * 0.35""")
+def extraction_issues(spark, d):
+    return _extracted(spark, d)[1]
+
+
+@query(f"""WITH {PIXELS}, rim AS (SELECT * FROM px WHERE y < 2 UNION ALL SELECT * FROM px WHERE y >= 6 UNION ALL SELECT * FROM px WHERE x < 2 UNION ALL SELECT * FROM px WHERE x >= 6), k AS (SELECT vec_id, median(r) AS kr, median(g) AS kg, median(b) AS kb FROM rim GROUP BY vec_id),
+m AS (SELECT px.*, kr, kg, kb, (0.2126 * CAST(a AS DOUBLE) + 0.7152 * CAST(a AS DOUBLE) + 0.0722 * CAST(a AS DOUBLE)) / 255.0 AS al FROM px JOIN k USING (vec_id)), f AS (SELECT *, greatest(al, 1.0 / 255) AS s FROM m)
+SELECT vec_id, x, y, CASE WHEN al <= 0 THEN 0 ELSE CAST(floor(greatest(0.0, least(255.0, (r - (1 - al) * kr) / s))) AS INTEGER) END AS r, CASE WHEN al <= 0 THEN 0 ELSE CAST(floor(greatest(0.0, least(255.0, (g - (1 - al) * kg) / s))) AS INTEGER) END AS g,
+  CASE WHEN al <= 0 THEN 0 ELSE CAST(floor(greatest(0.0, least(255.0, (b - (1 - al) * kb) / s))) AS INTEGER) END AS b, CAST(floor(al * 255.0) AS INTEGER) AS a FROM f""")
+def recovered_images(spark, d):
+    px = pixels(spark, d)
+    matte = px.select("vec_id", "x", "y", *(F.col("a").alias(c) for c in "rgb"))
+    return P.recovered(px.select("vec_id", "x", "y", *"rgb"), matte, "vec_id", 8, 8)
+
+
+@query("""WITH k AS (SELECT doc_id, lower(text) AS s, [NULL, 'auto', '#00ff00', '#FF00FF', '#123456'][doc_id % 5 + 1] AS requested FROM documents), f AS (SELECT *, regexp_matches(s, 'green|emerald|jade|lime|绿色|翠绿|翡翠|青绿') AS g, regexp_matches(s, 'magenta|fuchsia|purple|violet|品红|紫色|紫红|洋红') AS m, regexp_matches(s, 'cyan|aqua|turquoise|青色|蓝绿|湖蓝') AS c FROM k),
+x AS (SELECT doc_id, upper(coalesce(requested, 'auto')) AS w, CASE WHEN NOT g THEN '#00FF00' WHEN NOT m THEN '#FF00FF' WHEN NOT c THEN '#00FFFF' END AS free, CASE upper(coalesce(requested, 'auto')) WHEN '#00FF00' THEN g WHEN '#FF00FF' THEN m ELSE false END AS clash FROM f)
+SELECT doc_id, CASE WHEN w = 'AUTO' THEN free WHEN NOT clash THEN w END AS key, CASE WHEN w = 'AUTO' THEN 'auto-declared-palette' ELSE 'explicit' END AS mode, CASE WHEN w = 'AUTO' AND free IS NULL THEN 'no-chroma-key-without-conflict' WHEN w <> 'AUTO' AND clash THEN 'chroma-key-conflicts-with-subject' END AS issue FROM x WHERE w IS NOT NULL""")
+def chroma_key_requests(spark, d):
+    requested = F.get(F.array(F.lit(None), *map(F.lit, ("auto", "#00ff00", "#FF00FF", "#123456"))), (F.col("doc_id") % 5).cast("int"))
+    rows = table(spark, d, "documents").select("doc_id", S.chroma_key_choice(requested, S.subject_colours(F.col("text"))).alias("x"))
+    return rows.select("doc_id", "x.*")
+
+
+@query("""WITH p AS (SELECT p_partkey, [NULL, 'adaptive-parallel', 'sequential', 'sequential-inputs'][p_partkey % 4 + 1] AS mode, CASE WHEN p_partkey % 3 > 0 THEN p_size % 9 - 2 END AS most, CASE WHEN p_partkey % 5 > 0 THEN p_size % 4 END AS risk FROM part),
+l AS (SELECT *, coalesce(mode, 'adaptive-parallel') AS m, CASE WHEN mode = 'sequential-inputs' THEN 1 ELSE greatest(1, least(3, coalesce(most, CASE WHEN coalesce(mode, 'adaptive-parallel') = 'adaptive-parallel' THEN 3 ELSE 1 END))) END AS lim FROM p)
+SELECT p_partkey, m AS mode, CAST(lim AS INTEGER) AS most, CAST(least(coalesce(risk, 2), lim) AS INTEGER) AS high_risk FROM l""")
+def generation_policies(spark, d):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    mode = F.get(F.array(F.lit(None), *map(F.lit, ("adaptive-parallel", "sequential", "sequential-inputs"))), (k % 4).cast("int"))
+    policy = S.generation_policy(mode, F.when(k % 3 > 0, size % 9 - 2), F.when(k % 5 > 0, size % 4))
+    return table(spark, d, "part").select("p_partkey", policy.alias("x")).select("p_partkey", "x.mode", F.col("x.most").cast("int").alias("most"), F.col("x.high_risk").cast("int").alias("high_risk"))
+
+
+_PROOF = """pv AS (SELECT doc_id, CASE WHEN doc_id % 11 > 0 THEN 'p.json' END AS f, doc_id % 3 AS v, CASE WHEN doc_id % 5 > 0 THEN 'native-alpha' END AS mode, CASE WHEN doc_id % 7 > 0 THEN 'model-native' ELSE 'cutout' END AS origin, doc_id % 13 = 0 AS removed, source AS dp, CASE WHEN doc_id % 17 = 0 THEN lang ELSE source END AS sp,
+  CASE WHEN doc_id % 19 > 0 THEN sha256(coalesce(text, '')) ELSE 'none' END AS dh, sha256(coalesce(text, '')) AS sh, CASE WHEN doc_id % 23 > 0 THEN lang ELSE ' ' END AS model FROM documents)"""
+
+
+@query(f"""WITH {_PROOF}, i AS (SELECT doc_id, unnest([CASE WHEN f IS NULL THEN 'missing-native-alpha-provenance' END, CASE WHEN v <> 1 THEN 'unsupported-native-alpha-provenance-schema' END, CASE WHEN coalesce(mode, '') <> 'native-alpha' THEN 'invalid-transparency-mode' END, CASE WHEN origin <> 'model-native' THEN 'unproven-native-alpha-origin' END,
+  CASE WHEN removed THEN 'background-removal-not-native-alpha' END, CASE WHEN dp IS DISTINCT FROM sp THEN 'provenance-source-path-mismatch' END, CASE WHEN dh <> sh THEN 'provenance-source-hash-mismatch' END, CASE WHEN trim(model) = '' THEN 'missing-generation-model' END, CASE WHEN NOT regexp_full_match(dh, '[0-9a-f]{{64}}') THEN 'invalid-hash' END]) AS code,
+  unnest([0, 1, 2, 3, 4, 5, 6, 7, 9]) AS ord FROM pv) SELECT doc_id, CAST(ord AS INTEGER) AS ord, 'fail' AS severity, code FROM i WHERE code IS NOT NULL""")
+def provenance_issues(spark, d):
+    k, sha = F.col("doc_id"), F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = table(spark, d, "documents").select("doc_id", F.when(k % 11 > 0, "p.json").alias("provenance_file"), (k % 3).alias("schema_version"), F.when(k % 5 > 0, "native-alpha").alias("transparency_mode"), F.when(k % 7 > 0, "model-native").otherwise("cutout").alias("alpha_origin"), (k % 13 == 0).alias("background_removal"), F.col("source").alias("declared_path"), F.when(k % 17 == 0, F.col("lang")).otherwise(F.col("source")).alias("source_path"), F.when(k % 19 > 0, sha).otherwise("none").alias("declared_sha256"), sha.alias("source_sha256"), F.when(k % 23 > 0, F.col("lang")).otherwise(" ").alias("model"), F.lit("image-edit").alias("method"))
+    return R.issues(rows, R.provenance_rules() | {"invalid-hash": ("fail", ~S.is_sha256(F.col("declared_sha256")))}, "doc_id")
+
+
+@query(f"""WITH {BOXES} SELECT image_id, comp_id, greatest(l - 3, 0) AS l, greatest(t - 3, 0) AS t, least(r + 3, 60) AS r, least(b + 3, 60) AS b, l <= 1 OR t <= 1 OR r >= 59 OR b >= 59 AS touches, abs((r - l) - (b - t)) <= greatest(greatest(r - l, b - t) * 0.01, 0.01) AS square FROM boxes""")
+def padded_boxes(spark, d):
+    box = S.box(*(F.col(c) for c in "ltrb"))
+    square = S.is_close((F.col("r") - F.col("l")).cast("double"), (F.col("b") - F.col("t")).cast("double"))
+    rows = boxes(spark, d).select("image_id", "comp_id", S.padded(box, 3, F.lit(60), F.lit(60)).alias("x"), S.touches_boundary(box, F.lit(60), F.lit(60)).alias("touches"), square.alias("square"))
+    return rows.select("image_id", "comp_id", "x.*", "touches", "square")
+
+
+@query("""WITH r AS (SELECT *, [CASE WHEN p_size < 1 OR p_size % 7 = 0 THEN 'invalid-padding' END, CASE WHEN p_partkey % 5 = 0 THEN 'unsupported-category' END, CASE WHEN p_retailprice > 1500 THEN 'target-too-large' END] AS c FROM part)
+SELECT p_partkey, array_to_string([x FOR x IN c IF x IS NOT NULL], ',') AS codes, [x FOR x IN c IF x IS NOT NULL][1] AS first_code FROM r""")
+def request_validation(spark, d):
+    size = F.col("p_size")
+    category = F.when(F.col("p_partkey") % 5 == 0, "Other").otherwise("Panel")
+    rules = {"invalid-padding": (size < 1) | (size % 7 == 0), "unsupported-category": ~category.isin(*(c[0] for c in C.CATEGORIES)), "target-too-large": F.col("p_retailprice") > 1500}
+    return table(spark, d, "part").select("p_partkey", F.array_join(R.broken(rules), ",").alias("codes"), R.first_broken(rules).alias("first_code"))
+
+
+@query("""WITH k AS (SELECT doc_id, sha256(coalesce(text, '')) AS fingerprint FROM documents), c AS (SELECT sha256(coalesce(text, '')) AS fingerprint, min(doc_id) AS gate_id FROM documents WHERE lang = 'en' GROUP BY 1) SELECT k.doc_id, gate_id FROM k LEFT JOIN c USING (fingerprint)""")
+def memoised_gates(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("fingerprint"))
+    cache = rows.where("lang = 'en'").groupBy("fingerprint").agg(F.min("doc_id").alias("gate_id"))
+    known, new = tables.memoised(rows.select("doc_id", "fingerprint"), cache, "fingerprint")
+    return known.select("doc_id", "gate_id").unionByName(new.select("doc_id", F.lit(None).cast("long").alias("gate_id")))
+
+
+@query(f"""WITH {ISSUES}, u AS (SELECT 0 AS stage_ord, ord, code, asset_id FROM issues UNION ALL SELECT 1, doc_id, 'unlabelled', NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) SELECT *, row_number() OVER (ORDER BY stage_ord, ord) AS place FROM u""")
+def issue_streams(spark, d):
+    from pyspark.sql import Window
+
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), F.lit("unlabelled").alias("code"))
+    missing = docs.join(table(spark, d, "labels").select(F.col("doc_id").alias("ord")), "ord", "left_anti")
+    rows = X.ordered_union(issues(spark, d).select("ord", "code", "asset_id"), missing, order=["ord"])
+    # The place within a stage, after what earlier stages have: no window spans the stages.
+    sizes = rows.groupBy("stage_ord").agg(F.count("*").alias("n"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.stage_ord") < F.col("a.stage_ord"), "left").groupBy(F.col("a.stage_ord").alias("stage_ord")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("stage_ord").orderBy("ord"))
+    return rows.withColumn("k", within).join(F.broadcast(before), "stage_ord").select("stage_ord", "ord", "code", "asset_id", (F.col("before") + F.col("k")).alias("place"))

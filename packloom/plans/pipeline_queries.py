@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from packloom.operators import pipelines as X
@@ -74,7 +75,7 @@ def pack_pass_counts(spark, d):
 
 _QUEUE = """j AS (SELECT o_custkey, o_orderkey, substr(o_orderpriority, 1, 1) AS prio, o_orderkey % 3 = 0 AS needs_matte FROM orders),
 t AS (SELECT *, 'sheet' AS kind, 0 AS io FROM j UNION ALL SELECT *, 'matte', 1 FROM j WHERE needs_matte),
-p AS (SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN 'matte' ELSE 'sheet' END AS kind FROM lineitem WHERE l_linenumber <= 2)"""
+p AS (SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN 'matte' ELSE 'sheet' END AS kind FROM lineitem)"""
 
 
 @query(f"""WITH {_QUEUE} SELECT t.o_custkey, t.o_orderkey, t.kind, CAST(row_number() OVER (PARTITION BY t.o_custkey ORDER BY prio, t.o_orderkey, io) AS INTEGER) AS sequence, CASE WHEN t.kind = 'matte' THEN 'sheet' END AS depends_on,
@@ -82,17 +83,19 @@ p AS (SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THE
 FROM t LEFT JOIN p ON p.o_orderkey = t.o_orderkey AND p.kind = t.kind LEFT JOIN p s ON s.o_orderkey = t.o_orderkey AND s.kind = 'sheet'""")
 def task_queue(spark, d):
     jobs = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("prio"), (F.col("o_orderkey") % 3 == 0).alias("needs_matte"))
-    present = table(spark, d, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") == "R", "matte").otherwise("sheet").alias("kind"))
+    present = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") == "R", "matte").otherwise("sheet").alias("kind"))
     return X.task_queue(jobs, present, "o_custkey", "o_orderkey", ["prio"])
 
 
-@query(f"""WITH {_SLOTS}, {_PLACED}, c AS (SELECT p.layout_id, image_id, comp_id, p.r - p.l AS w, p.b - p.t AS h, sl, st, sr, sb FROM placed p JOIN slots s ON s.layout_id = p.layout_id AND s.idx = 1),
+@query(f"""WITH {_SLOTS}, {_PLACED}, c AS (SELECT p.layout_id, image_id, comp_id, idx, p.r - p.l AS w, p.b - p.t AS h, sl, st, sr, sb FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY comp_id) AS k FROM placed) p JOIN slots s ON s.layout_id = p.layout_id AND s.idx = p.k),
 k AS (SELECT *, least(1.0, (sr - sl) / CAST(w AS DOUBLE), (sb - st) / CAST(h AS DOUBLE)) AS scale FROM c), z AS (SELECT *, greatest(1, CAST(round_even(w * scale, 0) AS INTEGER)) AS pw, greatest(1, CAST(round_even(h * scale, 0) AS INTEGER)) AS ph FROM k)
-SELECT image_id, comp_id, scale, pw, ph, CAST(sl + floor((sr - sl - pw) / 2.0) AS INTEGER) AS px, CAST(st + floor((sb - st - ph) / 2.0) AS INTEGER) AS py FROM z""")
+SELECT image_id, comp_id, idx, scale, pw, ph, CAST(sl + floor((sr - sl - pw) / 2.0) AS INTEGER) AS px, CAST(st + floor((sb - st - ph) / 2.0) AS INTEGER) AS py FROM z""")
 def reflow_placements(spark, d):
-    crops = _placed(spark, d).select("layout_id", "image_id", "comp_id", (F.col("r") - F.col("l")).alias("w"), (F.col("b") - F.col("t")).alias("h"), F.lit(1).alias("idx"))
+    # An image's crops go to its layout's slots one by one; crops beyond the last slot have no place.
+    place = F.row_number().over(Window.partitionBy("image_id").orderBy("comp_id"))
+    crops = _placed(spark, d).select("layout_id", "image_id", "comp_id", (F.col("r") - F.col("l")).alias("w"), (F.col("b") - F.col("t")).alias("h"), place.alias("idx"))
     slots = _slots(spark, d).select("layout_id", "idx", "sl", "st", "sr", "sb")
-    return X.placements(crops, slots, ["layout_id", "idx"]).select("image_id", "comp_id", "scale", "pw", "ph", "px", "py")
+    return X.placements(crops, slots, ["layout_id", "idx"]).select("image_id", "comp_id", "idx", "scale", "pw", "ph", "px", "py")
 
 
 @query("""WITH b AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGER) * 7 AS w, CAST(l_partkey % 190 + 5 AS INTEGER) AS h, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE 128 END AS t, CASE WHEN l_suppkey % 2 = 0 THEN 'center' ELSE 'bottom-center' END AS alignment FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem)),

@@ -47,11 +47,12 @@ def border_percentiles(spark, d):
     return P.border(_with_distance(spark, d), 8, 8).groupBy("vec_id").agg(p.alias("p"), F.count("*").alias("samples")).select("vec_id", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p99_5"), "samples")
 
 
-@query(f"""WITH {PIXELS} SELECT vec_id, count(*) FILTER (WHERE g - greatest(r, b) > 20) AS spill, CAST(max(g - greatest(r, b)) AS DOUBLE) AS most, count(*) FILTER (WHERE sqrt(pow(r, 2) + pow(g - 255, 2) + pow(b, 2)) < 150) AS near_key FROM px GROUP BY vec_id""")
+@query(f"""WITH {PIXELS} SELECT vec_id, count(*) FILTER (WHERE g - greatest(r, b) > 20) AS spill, CAST(max(g - greatest(r, b)) AS DOUBLE) AS most, count(*) FILTER (WHERE sqrt(pow(r, 2) + pow(g - 255, 2) + pow(b, 2)) < 150) AS near_key,
+  CAST(max(least(r, b) - g) AS DOUBLE) AS magenta, CAST(max(least(g, b) - r) AS DOUBLE) AS cyan FROM px GROUP BY vec_id""")
 def spill_score_counts(spark, d):
     rgb = (F.col("r"), F.col("g"), F.col("b"))
     score = S.spill_score(rgb, _KEY)
-    return pixels(spark, d).groupBy("vec_id").agg(F.count_if(score > 20).alias("spill"), F.max(score).alias("most"), F.count_if(S.colour_distance(rgb, _KEY) < 150).alias("near_key"))
+    return pixels(spark, d).groupBy("vec_id").agg(F.count_if(score > 20).alias("spill"), F.max(score).alias("most"), F.count_if(S.colour_distance(rgb, _KEY) < 150).alias("near_key"), *(F.max(S.spill_score(rgb, key)).alias(name) for name, key in (("magenta", (255, 0, 255)), ("cyan", (0, 255, 255)))))
 
 
 @query(f"""WITH {PIXELS} SELECT vec_id, x, y, CAST(round_even(greatest(0.0, least(1.0, ({_DIST} - 12.0) / 84.0)) * 255.0, 0) AS INTEGER) AS alpha FROM px""")

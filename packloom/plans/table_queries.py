@@ -40,14 +40,13 @@ def quality_dimensions(spark, d):
 
 @query(f"""WITH {ISSUES}, known AS (SELECT * FROM jobs WHERE CAST(split_part(job_id, '-', 1) AS BIGINT) % 7 <> 0),
 js AS ({_ROLLED.format(key='job_id', keys='known')}),
-x AS (SELECT (SELECT CAST(round_even(avg(score), 0) AS BIGINT) FROM js) - (SELECT coalesce(sum(penalty), 0) FROM scored WHERE job_id NOT IN (SELECT job_id FROM known) AND ord % 5000 = 0) AS s,
-  (SELECT count(*) FILTER (WHERE severity = 'fail') FROM issues WHERE job_id IN (SELECT job_id FROM known) OR ord % 5000 = 0) AS f)
+x AS (SELECT (SELECT CAST(round_even(avg(score), 0) AS BIGINT) FROM js) - (SELECT coalesce(sum(penalty), 0) FROM scored WHERE job_id NOT IN (SELECT job_id FROM known)) AS s,
+  (SELECT count(*) FILTER (WHERE severity = 'fail') FROM issues) AS f)
 SELECT CAST(greatest(0, s) AS BIGINT) AS score, f AS hard_blockers, CASE WHEN f > 0 THEN 'blocked' WHEN s >= 90 THEN 'excellent' WHEN s >= 75 THEN 'good' WHEN s >= 60 THEN 'fair' ELSE 'poor' END AS status FROM x""")
 def quality_run_score(spark, d):
-    # Jobs of every seventh user are unknown to the run; of their issues those of round ordinals are the run's own.
+    # Jobs of every seventh user are unknown to the run; their issues are the run's own.
     known = jobs(spark, d).where(F.split_part("job_id", F.lit("-"), F.lit(1)).cast("long") % 7 != 0)
-    own = F.split_part("job_id", F.lit("-"), F.lit(1)).cast("long") % 7 != 0
-    return scoring.run_score(issues(spark, d).where(own | (F.col("ord") % 5000 == 0)), known)
+    return scoring.run_score(issues(spark, d), known)
 
 
 @query(f"""WITH {ISSUES}, known AS (SELECT * FROM jobs WHERE CAST(split_part(job_id, '-', 1) AS BIGINT) % 7 <> 0),
@@ -57,7 +56,7 @@ x AS (SELECT (SELECT CAST(round_even(avg(score), 0) AS BIGINT) FROM js) AS job_m
 SELECT CAST(greatest(0, job_mean - deduction) AS BIGINT) AS score, f AS hard_blockers, CASE WHEN f > 0 THEN 'blocked' WHEN job_mean - deduction >= 90 THEN 'excellent' WHEN job_mean - deduction >= 75 THEN 'good'
   WHEN job_mean - deduction >= 60 THEN 'fair' ELSE 'poor' END AS status, job_mean, deduction FROM x""")
 def quality_run_totals(spark, d):
-    # The run of quality_run_score with all issues of its unknown jobs; the deduction tells what a score of 0 hides.
+    # The run of quality_run_score; the deduction tells what a score of 0 hides.
     known = jobs(spark, d).where(F.split_part("job_id", F.lit("-"), F.lit(1)).cast("long") % 7 != 0)
     return scoring.run_totals(issues(spark, d), known)
 
