@@ -29,18 +29,21 @@ def with_fingerprint(df: DataFrame, text: str, name: str, anchors: list[str] = A
     Texts without signatures have the chains of all their words instead, or the hash of the whole text; "" has none.
     """
     common = sorted(set(anchors))
-    words, held = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != ""), F.col("_words")
+    words, held, content = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != ""), F.col("_words"), F.col("_content")
+    places = lambda wanted: F.array_compact(F.transform(held, lambda w, i: F.when(wanted(w), i)))
 
-    def spot(w: Column, i: Column) -> Column:
-        after = F.filter(F.slice(held, i + 2, reach), lambda x: ~x.isin(common))
-        parts = [F.get(after, F.lit(k)) for k in range(chain)]
-        return F.when(w.isin(common) & parts[-1].isNotNull(), F.hash(w, *parts))
+    def spot(place: Column, earlier: Column) -> Column:
+        """Content words before an anchor are its place less the anchors before it, so its chain starts at that one of them."""
+        first = place - earlier
+        parts = [F.get(held, F.get(content, first + k)) for k in range(chain)]
+        return F.when(F.get(content, first + chain - 1) <= place + reach, F.hash(F.get(held, place), *parts))
 
-    spots = F.array_compact(F.transform(held, spot))
+    spots = F.array_compact(F.transform(places(lambda w: w.isin(common)), spot))
     plain = F.transform(held, lambda w, i: F.hash(w, *(F.get(held, i + k) for k in range(1, chain + 1))))
     whole = F.when(F.col(text) != "", F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
     found = F.when(F.size(held) == 0, whole).when(F.size("_spots") > 0, F.col("_spots")).otherwise(plain)
-    return df.withColumn("_words", words).withColumn("_spots", spots).withColumn(name, F.array_sort(F.array_distinct(found))).drop("_words", "_spots")
+    marked = df.withColumn("_words", words).withColumn("_content", places(lambda w: ~w.isin(common))).withColumn("_spots", spots)
+    return marked.withColumn(name, F.sort_array(F.array_distinct(found))).drop("_words", "_content", "_spots")
 
 
 def likeness(a: Column, b: Column) -> Column:
