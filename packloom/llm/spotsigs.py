@@ -64,10 +64,12 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     the signatures that are rarest in the corpus: two similar sets share one of their first (1 - threshold) n + 1.
     Null and empty texts have no signatures and no pairs. No rows: none.
     """
-    sets = with_fingerprint(docs.select("doc_id", text_or_empty().alias("text")), "text", "fp").groupBy("fp").agg(F.min("doc_id").alias("id")).where(F.size("fp") > 0)
-    sets = cut(sets)
+    # Only "" has no signatures; a filter of the sets themselves would be pushed down to the words and evaluate them again.
+    texts = docs.select("doc_id", text_or_empty().alias("text")).where("text <> ''")
+    sets = cut(with_fingerprint(texts, "text", "fp").groupBy("fp").agg(F.min("doc_id").alias("id")))
     rarity = cut(sets.select(F.explode("fp").alias("sig")).groupBy("sig").count())
-    ranked = sets.select("id", F.size("fp").alias("n"), F.explode("fp").alias("sig")).join(rarity, "sig")
+    # The length stands before the explosion, so that no row of it carries the whole set.
+    ranked = sets.select("id", "fp", F.size("fp").alias("n")).select("id", "n", F.explode("fp").alias("sig")).join(rarity, "sig")
     order = Window.partitionBy("id").orderBy("count", "sig")
     first = ranked.withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.floor((1 - threshold) * F.col("n") + 1e-9) + 1)
     part = lambda n: F.floor(F.log(n) / F.log(F.lit(1 / threshold))).cast("int")
