@@ -21,6 +21,8 @@ ANCHORS = (
     "el los las y del una por con para se su al lo como más o"
 ).split()
 CHAIN, REACH = 2, 8
+#: Text in a block of `followed`, and the most blocks, whose bounds are the driver's: beyond them blocks grow.
+BLOCK_BYTES, MOST_BLOCKS = 64 << 20, 20_000
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS, chain: int = CHAIN, reach: int = REACH) -> DataFrame:
@@ -85,10 +87,11 @@ def followed(docs: DataFrame) -> DataFrame:
     """key, text, fp of each row and its next row's text and fp, in descending order of key; after the last the first.
 
     Keys are cut into blocks of even counts at quantiles; a block is a window of its own, closed by a copy of the next
-    block's first row. Texts are shuffled once.
+    block's first row. Texts are shuffled once, without their fingerprints, into as many tasks as there are blocks.
     """
     spark = docs.sparkSession
-    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_BLOCKS, -(-size // BLOCK_BYTES)))
     # Quantiles of the keys: as many numbers as there are blocks.
     cuts = docs.agg(F.percentile_approx("key", [k / parts for k in range(1, parts)], 10 * parts)).first()[0] or []
     bounds = sorted(set(cuts))
@@ -109,7 +112,7 @@ def followed(docs: DataFrame) -> DataFrame:
     least = F.when(F.col("block") == 0, F.lit(-(1 << 63))).otherwise(F.get(table, F.col("block") - 1))
     closing = firsts.select(F.lit(None).cast("long").alias("doc_id"), least.alias("key"), F.coalesce(F.lead("text").over(order), F.first("text").over(every)).alias("text"), F.lit(1).alias("closes"))
     rows = docs.select("doc_id", "key", "text").withColumn("closes", F.lit(0)).unionByName(closing).withColumn("block", block)
-    rows = with_fingerprint(rows, "text", "fp")
+    rows = with_fingerprint(rows.repartition(parts, "block"), "text", "fp")
     w = Window.partitionBy("block").orderBy("closes", F.desc("key"), tie)
     return rows.withColumn("next_text", F.lead("text").over(w)).withColumn("next_fp", F.lead("fp").over(w)).where("closes = 0")
 
