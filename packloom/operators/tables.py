@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,19 +127,29 @@ def concurrency(events: DataFrame, run: str, order: list[str], event: str, most:
 
 
 def budget_fold(jobs: DataFrame, run: str, order: list[str], cost: str, identity: str, budget: float) -> DataFrame:
-    """Jobs in order, taken while the budget lasts; one too dear is passed over, a cheaper one later may still fit."""
-    item = F.struct(*order, F.col(cost).cast("double").alias("_cost"), F.col(identity).alias("_id"))
-    ordered = jobs.groupBy(run).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = dict(jobs.dtypes)[identity]
-    start = F.struct(F.lit(0.0).alias("spent"), F.array().cast(f"array<struct<id:{kind},cost:double,taken:boolean,spent:double>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = acc["spent"] + x["_cost"] <= budget
-        spent = acc["spent"] + F.when(fits, x["_cost"]).otherwise(0.0)
-        row = F.struct(x["_id"].alias("id"), x["_cost"].alias("cost"), fits.alias("taken"), spent.alias("spent"))
-        return F.struct(spent.alias("spent"), F.concat(acc["out"], F.array(row)).alias("out"))
+    """Jobs in order, taken while the budget lasts; one too dear is passed over, a cheaper one later may still fit.
 
-    return ordered.select(run, F.explode(F.aggregate("items", start, step, lambda acc: acc["out"])).alias("x")).select(run, F.col("x.id").alias(identity), "x.cost", "x.taken", "x.spent")
+    A run's jobs stream through one task in sorted order, and what is kept is the sum spent. Null cost: taken is null.
+    """
+    price = F.col(cost).cast("double")
+    rows = jobs.select(F.col(run).alias("run"), F.col(identity).alias("id"), price.alias("cost"), *(F.col(c).alias(f"by{k}") for k, c in enumerate(order)))
+    rows = rows.repartition("run").sortWithinPartitions("run", *(f"by{k}" for k in range(len(order))), "cost", "id").select("run", "id", "cost")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = object(), 0.0
+        for batch in batches:
+            taken, spent = [], []
+            for key, x in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if key != at:
+                    at, total = key, 0.0
+                fits = None if x is None else total + x <= budget
+                total += x if fits else 0.0
+                taken.append(fits)
+                spent.append(total)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(taken, pa.bool_()), pa.array(spent, pa.float64())], names=["run", "id", "cost", "taken", "spent"])
+
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(fold, f"run {kinds['run']}, id {kinds['id']}, cost double, taken boolean, spent double").select(F.col("run").alias(run), F.col("id").alias(identity), "cost", "taken", "spent")
 
 
 def risk_wave(jobs: DataFrame, by: str, priority: str, order: list[str], effective: int = C.CONCURRENCY_MOST, high_risk: int = C.HIGH_RISK_MOST) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from packloom.operators import tables
@@ -61,3 +62,48 @@ def test_windows_count_every_issue(spark):
     rows = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("code"), F.col("user_id").cast("string").alias("job_id"))
     assert state.issue_windows(rows, "ts").agg(F.sum("n")).first()[0] == rows.count()
     assert state.issue_sessions(rows, "ts").agg(F.sum("n")).first()[0] == rows.count()
+
+
+def test_streamed_budgets_equal_a_plain_fold(spark, tmp_path):
+    rows = [(run, ts, ts, (run * 7 + ts * 5) % 4) for run in range(6) for ts in range(9)]
+    for k in range(3):  # three micro-batches, in order of time
+        part = spark.createDataFrame([r for r in rows if r[1] // 3 == k], "run_id long, ts long, event_id long, calls int")
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("run_id long, ts long, event_id long, calls int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = state.budgets(stream, 9).writeStream.outputMode("update").format("memory").queryName("budgets").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {r.run_id: (r.committed, r.remaining) for r in spark.table("budgets").groupBy("run_id").agg(F.max("committed").alias("committed"), F.min("remaining").alias("remaining")).collect()}
+    want = dict.fromkeys(range(6), 0)
+    for run, _, _, calls in rows:
+        want[run] += calls if calls <= 5 - want[run] else 0
+    assert got == {run: (n, 5 - n) for run, n in want.items()} and set(want.values()) > {5}
+
+
+def test_heartbeat_tells_how_an_operation_ended(spark, tmp_path):
+    status = lambda name: spark.read.parquet(str(tmp_path / name)).first().status
+    with state.heartbeat(spark, str(tmp_path), "good"):
+        assert status("good") == "running"
+    with state.heartbeat(spark, str(tmp_path), "bad") as outcome:
+        outcome["ok"] = False
+    with pytest.raises(KeyError), state.heartbeat(spark, str(tmp_path), "broken"):
+        raise KeyError
+    assert [status(x) for x in ("good", "bad", "broken")] == ["complete", "failed", "interrupted-or-failed"]
+
+
+def test_a_replayed_batch_leaves_the_catalog_as_it_was(spark, tmp_path):
+    batch = lambda rows: spark.createDataFrame(rows, "asset_key string, output string, recorded_at int")
+    read = lambda k: sorted((r.asset_key, r.output) for r in spark.read.parquet(f"{tmp_path}/version={k}").collect())
+    first, second = batch([("a", "x", 1), ("b", "y", 1), ("a", "z", 2)]), batch([("b", "w", 3), ("c", "v", 3)])
+    for rows, k in [(first, 0), (second, 1), (second, 1)]:
+        state.merged_catalog(rows, k, str(tmp_path))
+    assert read(0) == [("a", "z"), ("b", "y")]
+    assert read(1) == [("a", "z"), ("b", "w"), ("c", "v")]
+
+
+def test_first_sighting_of_each_candidate_alone(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "f"), (1, "f"), (1, "g"), (2, "f"), (2, "f")], "job_id int, fingerprint string").withColumn("at", F.lit("2024-01-01").cast("timestamp"))
+    rows.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    query = state.new_candidates(stream, ["job_id", "fingerprint"], "at").writeStream.format("memory").queryName("fresh").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted((r.job_id, r.fingerprint) for r in spark.table("fresh").collect()) == [(1, "f"), (1, "g"), (2, "f")]
