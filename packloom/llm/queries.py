@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import clustering, exact_dedup, length_histogram, mixing, near_dedup, packing, periodic_runs, quality, secret_scan, spotsigs, toxicity, url_filter
+from . import clustering, exact_dedup, jaccard_join, length_histogram, mixing, near_dedup, packing, periodic_runs, quality, secret_scan, spotsigs, toxicity, url_filter
 from .common import table
 
 
@@ -54,5 +54,9 @@ def op12_shallot(spark, sf_dir):
     return clustering.cluster(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_secret_scan, op4_near_dedup, op5_toxicity, op6_mixing, op7_spotsigs, op8_quality, op9_token_counts, op10_url_filter, op11_periodic_runs, op12_shallot)}
-ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE, "op12_shallot": clustering.ORACLE}
+def op13_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_exact_dedup, op3_secret_scan, op4_near_dedup, op5_toxicity, op6_mixing, op7_spotsigs, op8_quality, op9_token_counts, op10_url_filter, op11_periodic_runs, op12_shallot, op13_jaccard_join)}
+ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing.ORACLE, "op10_url_filter": url_filter.ORACLE, "op12_shallot": clustering.ORACLE, "op13_jaccard_join": jaccard_join.ORACLE}
