@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASSET = "struct<semantic_name:string,state:string,description:string,frame_style:string,enabled:boolean>"
-CATEGORY = f"struct<category:string,canvas:array<int>,grid:array<int>,target_size:array<int>,padding:int,alignment:string,chroma_key:string,transparency_mode:string,fragment_policy:map<string,string>,assets:array<{ASSET}>>"
+CATEGORY = f"struct<category:string,canvas:array<int>,grid:array<int>,target_size:array<int>,padding:int,alignment:string,chroma_key:string,transparency_mode:string,fragment_policy:map<string,string>,assets:array<{ASSET}>,outer_margin:int,gutter:int,safe_padding:int>"
 REQUEST = f"schema_version int, project_id string, style_notes string, generation_method string, categories array<{CATEGORY}>, _corrupt_record string"
 MANIFEST = "id string, job_id string, category string, semantic_name string, state string, source_index int, category_index int, source_bbox array<int>, output string, width int, height int, pivot array<double>, qa string"
 
