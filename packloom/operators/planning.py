@@ -14,6 +14,7 @@ from packloom.functions import constants as C
 from packloom.functions import scalars as S
 
 from .boxes import layout_slots
+from .lineage import cut
 from .tables import packed_sheets
 
 #: How assets become transparent; a method that cannot prove native alpha; layout of a sheet in pixels.
@@ -112,12 +113,12 @@ def batch_plan(requests: DataFrame) -> Plan:
 
     Groups of one semantic name stay on one sheet; sheets are filled in the order of first appearance. Project ids
     become slugs, and requests that share one are refused. All work is by project and category, so requests are
-    independent of each other.
+    independent of each other. Tables that several others read are written once, to the checkpoint folder.
     """
     named = requests.withColumn("project", S.slugify(F.coalesce("project_id", F.lit(""))))
-    every = _categories(named)
+    every = cut(_categories(named))
     all_assets, all_aliases = _assets(every)
-    issues = _issues(named, every, all_assets)
+    issues = cut(_issues(named, every, all_assets))
     refused = issues.select("project").distinct()
     good = lambda df: df.join(refused, "project", "left_anti")
     categories, assets, aliases = good(every), good(all_assets), good(all_aliases)
@@ -128,14 +129,14 @@ def batch_plan(requests: DataFrame) -> Plan:
     sheets = sheets.select("block.project", "block.category_ord", F.col("name").alias("semantic_name"), F.col("sheet").alias("sheet_number")).join(groups.select("block.project", "block.category_ord", "semantic_name", "first"), ["project", "category_ord", "semantic_name"])
     slot = F.row_number().over(Window.partitionBy("project", "category_ord", "sheet_number").orderBy("first", "asset_ord"))
     placed = assets.join(sheets, ["project", "category_ord", "semantic_name"]).withColumn("slot", slot).withColumn("job_id", S.job_id(F.col("category"), F.col("sheet_number")))
-    placed = placed.select("project", "job_id", "category_ord", "category", "sheet_number", "slot", "category_index", "semantic_name", "state", "description", "frame_style")
+    placed = cut(placed.select("project", "job_id", "category_ord", "category", "sheet_number", "slot", "category_index", "semantic_name", "state", "description", "frame_style"))
 
     counts = placed.groupBy("project", "category_ord", "category", "sheet_number", "job_id").agg(F.count("*").cast("int").alias("expected_count"))
     detail = categories.select("project", "category_ord", "canvas_w", "canvas_h", "grid_w", "grid_h", F.when(F.col("has_target"), F.col("target_w")).alias("target_w"), F.when(F.col("has_target"), F.col("target_h")).alias("target_h"), "mode", "chroma_key", "key_mode", "padding", "alignment", "outer_margin", "gutter", "safe_padding")
     rows = counts.join(detail, ["project", "category_ord"])
     path = lambda folder, ending: F.concat(F.lit(folder), F.col("job_id"), F.lit(ending))
     only = lambda mode, column: F.when(F.col("mode") == mode, column)
-    jobs = rows.select(
+    jobs = cut(rows.select(
         "*",
         F.row_number().over(Window.partitionBy("project").orderBy("category_ord", "sheet_number")).alias("generation_sequence"),
         S.risk_priority(F.col("category")).alias("risk_priority"),
@@ -147,7 +148,7 @@ def batch_plan(requests: DataFrame) -> Plan:
         only(MODES[1], path("generated/current/", "-alpha-matte.png")).alias("alpha_matte_output"),
         only(MODES[2], path("generated/current/", ".provenance.json")).alias("provenance_file"),
         F.concat(F.lit("final/"), F.col("category")).alias("final_directory"),
-    )
+    ))
     specs = jobs.select(F.struct("project", "job_id").alias("layout_id"), F.col("canvas_w").alias("width"), F.col("canvas_h").alias("height"), F.col("grid_w").alias("columns"), F.col("grid_h").alias("rows"), F.col("outer_margin").alias("margin"), "gutter", F.col("safe_padding").alias("safe"))
     slots = layout_slots(specs).select("layout_id.project", "layout_id.job_id", "idx", "row", "column", "l", "t", "r", "b", "sl", "st", "sr", "sb", "cx", "cy")
     return Plan(categories, placed, aliases, jobs, slots, issues)

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from packloom.plans import delivery_queries, inference_queries, pipeline_queries, planning_queries, raster_queries, registry, repair_queries, table_queries, validation_queries  # noqa: F401
+from packloom.plans import delivery_queries, inference_queries, pipeline_queries, planning_queries, raster_queries, registry, repair_queries, runner_queries, table_queries, validation_queries  # noqa: F401
 
 from .conftest import SF
 
