@@ -6,10 +6,12 @@ prunes every pair, or whole node, that cannot reach the threshold. What is left
 
 Which documents share a tree: shingles have one order for all, rare ones first (by counts of all documents in cells of
 a sketch of fixed size, an error of which costs time only), and of two similar sets the first floor(n / 5) + 1 shingles
-in this order (for a threshold of 80 %) have one in common. A document therefore enters the tree of each of these.
-Equal sets are one node. In a tree the node that meets others most often is compared first with all; where members of
-several components are left, those outside the largest are searched in the trees of all others. A large tree is cut
-into leaves that meet in pairs, so no task holds it whole. Components of the verified links are exact: every pair of
+in this order (for a threshold of 80 %) have one in common. A document therefore enters the tree of each of these; of k
+further ones it enters, similar sets share k more, so a document that shares too few with any others leaves all trees.
+Equal sets are one node. In a tree the node that meets others most often is compared first with all. Where several
+components are left, each is one entry with the largest coordinates of its sets; entries that the bound can't tell
+apart are near, and only their sets are searched against each other. Large trees and components are cut into leaves
+that meet in pairs, so no task holds one whole. Components of the verified links are exact: every pair of
 similar sets lies in one tree and is either verified or connected already.
 """
 
@@ -31,8 +33,12 @@ SHINGLE, PERCENT = 5, 80
 GROUPS = 64
 #: Cells of the sketch that orders shingles, and cells that are summed as one row.
 CELLS, RUN_OF_CELLS = 1 << 20, 1 << 10
+#: One further shingle is looked at for so many of a set.
+SPARE = 40
 #: Members of a leaf of a large tree; those of a node within a task.
 LEAF, FAN_OUT = 128, 8
+#: Entries of a tree whose pairs are listed rather than searched.
+FEW = 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -41,9 +47,22 @@ def needed(m, n, percent: int = PERCENT):
     return -(-percent * (m + n) // (100 + percent))
 
 
+def possible(shared, low, high, least, most, percent: int = PERCENT):
+    """Whether a set of low to high shingles and one of least to most may be similar if they share so many at most."""
+    at_least = lambda size: (percent * size + 99) // 100
+    fits = (percent * least <= 100 * high) & (100 * most >= percent * low)
+    return fits & (shared >= needed(np.maximum(low, at_least(least)), np.maximum(least, at_least(low)), percent))
+
+
+def spare(n):
+    """How many of its first shingles, above one, a set of n shares with similar sets that aren't smaller."""
+    return n // SPARE
+
+
 def first_shingles(n, percent: int = PERCENT):
-    """How many shingles of a set of n, in the common order, hold one of any similar set's; none where all similar sets are equal."""
-    return np.where(n * (100 - percent) >= percent, n - (percent * n + 99) // 100 + 1, 0)
+    """How many shingles of a set of n, in the common order, are looked at: 1 + spare(n) of them are in any similar set
+    that isn't smaller, and 1 + spare of the smaller set's size in any other. None where all similar sets are equal."""
+    return np.where(n * (100 - percent) >= percent, n - (percent * n + 99) // 100 + 1 + spare(n), 0)
 
 
 def _sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +115,7 @@ def cell_ranks(texts: DataFrame, size: int = SHINGLE, cells: int = CELLS) -> np.
 # ---------------------------------------------------------------- points, sets
 
 
-_SIGNED = f"doc_id long, key {KEY}, n long, a long, b long, keys array<long>, point binary"
+_SIGNED = f"doc_id long, key {KEY}, n long, a long, b long, keys array<long>, point array<int>"
 
 
 def _digests(text: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:
@@ -124,8 +143,8 @@ def _sign(ranks, size: int, percent: int):
                 chosen = by[np.repeat(first, wanted) + np.arange(wanted.sum()) - np.repeat(np.cumsum(wanted) - wanted, wanted)]
                 keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wanted)]).astype(np.int32)), pa.array(place[chosen].view(np.int64)))
                 group = (mixed(found + _ODD[0]) % np.uint64(GROUPS)).astype(np.int64)
-                points = np.bincount(text * GROUPS + group, minlength=n * GROUPS).astype(np.uint32)
-                point = pa.array([p.tobytes() for p in points.reshape(n, GROUPS)], pa.binary())
+                points = np.bincount(text * GROUPS + group, minlength=n * GROUPS).astype(np.int32)
+                point = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * GROUPS), pa.array(points))
                 cells = [ids.slice(start, n), rows.slice(start, n), pa.array(total), *map(pa.array, _digests(text, found, n)), keys, point]
                 yield pa.RecordBatch.from_arrays(cells, ["doc_id", "key", "n", "a", "b", "keys", "point"])
 
@@ -163,11 +182,14 @@ def _verified(percent: int):
 
 
 class CountTree:
-    """R-tree over count vectors: nodes hold the largest coordinates and the range of sizes of what is below them."""
+    """R-tree over count vectors: nodes hold the largest coordinates and the range of sizes of what is below them.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, fan_out: int = FAN_OUT):
-        self.order = self._packed(points, sizes, fan_out)
-        self.levels = [(points[self.order], sizes[self.order], sizes[self.order])]
+    An entry is a set (its low and high size are equal) or a node of sets that were joined before.
+    """
+
+    def __init__(self, points: np.ndarray, low: np.ndarray, high: np.ndarray, fan_out: int = FAN_OUT):
+        self.order = self._packed(points, low, fan_out)
+        self.levels = [(points[self.order], low[self.order], high[self.order])]
         self.fan_out = fan_out
         while len(self.levels[-1][0]) > fan_out:
             upper, low, high = self.levels[-1]
@@ -190,17 +212,17 @@ class CountTree:
             open_ += [rows[middle:], rows[:middle]]
         return np.concatenate(done) if done else np.zeros(0, np.int64)
 
-    def search(self, queries: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) of all pairs that the bound leaves."""
+    def search(self, queries: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+        """(query, entry) of all pairs that the bound leaves: of which some sets may share what similar ones need."""
         top = len(self.levels[-1][0])
         query, node = np.repeat(np.arange(len(queries)), top), np.tile(np.arange(top), len(queries))
         for depth in range(len(self.levels) - 1, -1, -1):
-            upper, low, high = self.levels[depth]
-            n = sizes[query]
-            fits = (100 * low[node] <= 100 * 100 * n // percent) & (100 * high[node] >= percent * n)
-            query, node, n = query[fits], node[fits], n[fits]
+            upper, least, most = self.levels[depth]
+            # By sizes alone first: the bound is summed for what they leave.
+            left = possible(np.inf, low[query], high[query], least[node], most[node], percent)
+            query, node = query[left], node[left]
             shared = np.concatenate([np.minimum(queries[query[k : k + 20_000]], upper[node[k : k + 20_000]]).sum(axis=1) for k in range(0, len(query), 20_000)] or [np.zeros(0)])
-            left = shared >= needed(n, np.maximum(low[node], (percent * n + 99) // 100), percent)
+            left = possible(shared, low[query], high[query], least[node], most[node], percent)
             query, node = query[left], node[left]
             if depth:
                 children = node[:, None] * self.fan_out + np.arange(self.fan_out)
@@ -209,24 +231,23 @@ class CountTree:
         return query, self.order[node]
 
 
-_MEMBER = "struct<node:bigint,root:bigint,n:bigint,point:binary>"
+_MEMBER = "struct<node:bigint,root:bigint,low:bigint,high:bigint,point:array<int>>"
 
 
-def _leaf(value: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    node, root, n = (value.field(k).to_numpy() for k in ("node", "root", "n"))
-    return node, root, n, np.frombuffer(b"".join(value.field("point").to_pylist()), np.uint32).reshape(len(node), GROUPS)
+def _leaf(value: pa.StructArray) -> tuple[np.ndarray, ...]:
+    return *(value.field(k).to_numpy() for k in ("node", "root", "low", "high")), value.field("point").flatten().to_numpy().reshape(-1, GROUPS)
 
 
 def _searched(percent: int):
-    """Pairs of nodes of two leaves that lie in different components and that the tree leaves."""
+    """Pairs of nodes of two leaves that lie in different components and that the bound leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = [], []
             for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                node, root, n, points = _leaf(left.values)
-                others, roots, sizes, theirs = _leaf(right.values)
-                query, hit = CountTree(theirs, sizes).search(points, n, percent)
+                node, root, low, high, points = _leaf(left.values)
+                others, roots, least, most, theirs = _leaf(right.values)
+                query, hit = CountTree(theirs, least, most).search(points, low, high, percent)
                 apart = root[query] != roots[hit]
                 xs.append(node[query[apart]])
                 ys.append(others[hit[apart]])
@@ -237,11 +258,13 @@ def _searched(percent: int):
 
 
 def _bounded(percent: int):
+    """Of pairs of entries (x, y, then low, high and point of both) those that the bound leaves."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y, m, n = (batch.column(k).to_numpy() for k in range(4))
-            p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(len(x), GROUPS) for k in (4, 5))
-            left = np.minimum(p, q).sum(axis=1) >= needed(m, n, percent)
+            x, y, a, b, c, d = (batch.column(k).to_numpy() for k in range(6))
+            p, q = (batch.column(k).flatten().to_numpy().reshape(-1, GROUPS) for k in (6, 7))
+            left = possible(np.minimum(p, q).sum(axis=1), a, c, b, d, percent)
             yield pa.RecordBatch.from_arrays([pa.array(x[left]), pa.array(y[left])], ["x", "y"])
 
     return run
@@ -266,8 +289,9 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     exploded = first.select("node", F.explode("keys").alias("shingle"))
     shared = exploded.groupBy("shingle").agg(F.count("*").alias("in_tree")).where("in_tree > 1")
     met = written(exploded.join(shared, "shingle"), "members")
-    degrees = met.groupBy("node").agg(F.sum("in_tree").alias("degree"))
-    facts = written(first.select("node", "key", "n", "point").join(degrees, "node"), "facts")
+    degrees = met.groupBy("node").agg(F.sum("in_tree").alias("degree"), F.count("*").alias("shared"))
+    least = 1 + F.floor(F.ceil(percent * F.col("n") / 100) / SPARE)  # what the smallest similar set shares
+    facts = written(first.select("node", "key", "n", "point").join(degrees, "node").where(F.col("shared") >= least).drop("shared"), "facts")
 
     def sets(of: DataFrame) -> DataFrame:
         """(node, shingles) of nodes, from their texts read again."""
@@ -286,32 +310,47 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     lows = lambda df, a, b: df.select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct()
 
     # The node of each tree that meets others most often against all others.
-    ranked = met.join(facts.select("node", "n", "degree"), "node").select("shingle", "node", "n", "degree")
+    ranked = written(met.join(facts.select("node", "n", "degree"), "node").select("shingle", "node", "n", "degree"), "ranked")
     hubs = ranked.groupBy("shingle").agg(F.max_by(F.struct("node", "n"), F.struct("degree", (-F.col("node")).alias("low"))).alias("hub"))
     alike = (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")) & (F.col("node") != F.col("hub.node"))
     tried = written(lows(ranked.join(hubs, "shingle").where(alike), "node", "hub.node"), "tried")
-    left = written(both(tried, facts, "n", "point").mapInArrow(_bounded(percent), "x long, y long"), "left")
+    sized_facts = facts.select("node", F.col("n").alias("low"), F.col("n").alias("high"), "point")
+    left = written(both(tried, sized_facts, "low", "high", "point").mapInArrow(_bounded(percent), "x long, y long"), "left")
     known = sets(ends(left))
     links = written(both(left, known, "shingles").mapInArrow(_verified(percent), "x long, y long"), "links")
 
-    # Trees that hold several components yet: members outside the largest are searched in the leaves of all.
+    # Trees that hold several components yet: those outside the largest meet all others. A component is one entry, with
+    # the largest coordinates of its sets: in trees of few entries pairs are listed, in others they are searched in
+    # leaves. The sets of components that may be near are searched in leaves of their own.
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    placed = written(met.select("shingle", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    counts = placed.groupBy("shingle", "root").agg(F.count("*").alias("members"))
-    trees = counts.groupBy("shingle").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.max("members").alias("largest"), F.sum("members").alias("all"), F.count("*").alias("roots"))
-    trees = written(trees.where("roots > 1 AND all > 2"), "trees")
-    minor = F.col("root") != F.col("main")
-    leaves = F.ceil(F.when(minor, F.col("all") - F.col("largest")).otherwise(F.col("largest")) / LEAF)
-    members = placed.join(trees, "shingle").select("shingle", "node", "root", minor.alias("minor"), F.pmod(F.xxhash64("node"), leaves).alias("leaf"))
-    packed = members.join(facts.select("node", "n", "point"), "node").groupBy("shingle", "minor", "leaf").agg(F.collect_list(F.struct("node", "root", "n", "point")).cast(f"array<{_MEMBER}>").alias("members"))
-    packed = written(packed, "leaves")
-    ours = packed.where("minor").select("shingle", F.col("leaf").alias("at"), F.col("members").alias("ours"))
-    facing = ours.join(packed, "shingle").where("NOT minor OR leaf >= at").select("ours", "members")
-    again = written(facing.mapInArrow(_searched(percent), "x long, y long").distinct().join(tried, ["x", "y"], "left_anti"), "left")
+    rooted = F.coalesce("root", "node").alias("root")
+    members = written(facts.join(roots, "node", "left").select("node", rooted, "n", "point"), "rooted")
+    entries = members.groupBy("root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("sets"), F.array(*(F.max(F.get("point", F.lit(k))) for k in range(GROUPS))).alias("point"))
+    entries = written(entries.withColumn("node", F.col("root")), "entries")
+    counts = written(ranked.select("shingle", "node").join(roots, "node", "left").groupBy("shingle", rooted).agg(F.count("*").alias("members")), "counts")
+    trees = counts.groupBy("shingle").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.sum("members").alias("all"), F.count("*").alias("roots")).where("roots > 1 AND all > 2")
+    placed = written(counts.join(trees, "shingle").select("shingle", "root", (F.col("root") != F.col("main")).alias("minor"), "roots"), "trees")
+    listed = F.collect_list(F.struct("node", "root", "low", "high", "point")).cast(f"array<{_MEMBER}>").alias("members")
+
+    few = placed.where(F.col("roots") <= FEW).select("shingle", "root", "minor")
+    others = few.select("shingle", F.col("root").alias("other"), F.col("minor").alias("also"))
+    pairs = few.where("minor").join(others, "shingle").where("root <> other AND (NOT also OR other > root)").select(F.least("root", "other").alias("x"), F.greatest("root", "other").alias("y"))
+    many = placed.where(F.col("roots") > FEW).select("shingle", "root", F.pmod(F.xxhash64("root"), F.ceil(F.col("roots") / LEAF)).alias("leaf"))
+    packed = written(many.join(entries, "root").groupBy("shingle", "leaf").agg(listed), "leaves")
+    facing = packed.select("shingle", F.col("leaf").alias("at"), F.col("members").alias("ours")).join(packed, "shingle").where("leaf >= at")
+    close = written(pairs.unionByName(facing.select("ours", "members").mapInArrow(_searched(percent), "x long, y long")).distinct(), "close")
+    near = written(both(close, entries, "low", "high", "point").mapInArrow(_bounded(percent), "x long, y long"), "near")
+    wanted = ends(near).withColumnRenamed("node", "root").join(entries.select("root", "sets"), "root")
+    own = members.join(wanted, "root").select("root", F.pmod(F.xxhash64("node"), F.ceil(F.col("sets") / LEAF)).alias("leaf"), "node", F.col("n").alias("low"), F.col("n").alias("high"), "point")
+    chunks = written(own.groupBy("root", "leaf").agg(listed), "chunks")
+    side = lambda k, name: chunks.select(F.col("root").alias(k), F.col("members").alias(name))
+    meeting = near.join(side("x", "ours"), "x").join(side("y", "members"), "y").select("ours", "members")
+    again = written(meeting.mapInArrow(_searched(percent), "x long, y long").distinct().join(tried, ["x", "y"], "left_anti"), "left")
+    scratch = [members, entries, counts, placed, packed, close, near, chunks]
     missing = ends(again).join(known.select("node"), "node", "left_anti")
     known_too = sets(missing)
     more = written(both(again, known.unionByName(known_too), "shingles").mapInArrow(_verified(percent), "x long, y long"), "links")
-    forget(met, facts, tried, left, known, placed, trees, packed, again, known_too)
+    forget(met, ranked, facts, tried, left, known, again, known_too, *scratch)
     documents = signed.select("doc_id", "n", "a", "b", "row").join(nodes, ["n", "a", "b"], "left").select("doc_id", "n", "row", "node")
     return documents, links.unionByName(more)
 

@@ -57,7 +57,7 @@ def test_prefixes_of_similar_sets_meet(percent):
         assert (both >= jaccard_join.needed(len(x), len(y), percent)) == (100 * both >= percent * len(x | y))
         if x != y and 100 * both >= percent * len(x | y):
             front = [set(sorted(s)[: int(jaccard_join.first_shingles(np.array(len(s)), percent))]) for s in (x, y)]
-            assert front[0] & front[1]
+            assert len(front[0] & front[1]) > jaccard_join.spare(min(len(x), len(y)))
 
 
 @given(st.integers(0, 70), st.integers(0, 2**31), st.integers(2, 9))
@@ -67,7 +67,7 @@ def test_tree_leaves_all_pairs_within_the_bound(n, seed, fan_out):
     points = rng.poisson(rng.choice([0.2, 1, 6]), (n, 6)).astype(np.uint32)
     points[: n // 2] += rng.poisson(5, 6).astype(np.uint32)
     sizes = points.sum(axis=1).astype(np.int64)
-    query, hit = jaccard_join.CountTree(points, sizes, fan_out).search(points, sizes) if n else (np.zeros(0, int),) * 2
+    query, hit = jaccard_join.CountTree(points, sizes, sizes, fan_out).search(points, sizes, sizes) if n else (np.zeros(0, int),) * 2
     bound = np.minimum(points[:, None], points[None]).sum(axis=2)
     m, k = sizes[:, None], sizes[None]
     want = (bound >= jaccard_join.needed(m, k)) & (100 * np.minimum(m, k) >= 80 * np.maximum(m, k))
@@ -78,12 +78,26 @@ def test_tree_visits_few_nodes_of_clustered_points():
     rng = np.random.default_rng(0)
     middles = rng.poisson(6, (50, jaccard_join.GROUPS))
     points = (middles[np.arange(2000) % 50] + rng.integers(0, 2, (2000, jaccard_join.GROUPS))).astype(np.uint32)
-    tree = jaccard_join.CountTree(points, points.sum(axis=1).astype(np.int64))
+    sizes = points.sum(axis=1).astype(np.int64)
+    tree = jaccard_join.CountTree(points, sizes, sizes)
     assert len(tree.levels) == 4 and sorted(tree.order.tolist()) == list(range(2000))
-    query, hit = tree.search(points[:50], points[:50].sum(axis=1).astype(np.int64))
+    query, hit = tree.search(points[:50], sizes[:50], sizes[:50])
     assert (query % 50 == hit % 50).all() and len(query) == 50 * 40
 
 
+def test_bounds_of_joined_entries_hold_for_their_sets():
+    rng = np.random.default_rng(2)
+    points = rng.poisson(0.5, (60, 24)) + rng.poisson(8, (12, 24)).repeat(5, axis=0)
+    sizes = points.sum(axis=1)
+    groups = points.reshape(12, 5, 24)
+    upper, low, high = groups.max(axis=1), sizes.reshape(12, 5).min(axis=1), sizes.reshape(12, 5).max(axis=1)
+    query, hit = jaccard_join.CountTree(upper, low, high, 2).search(upper, low, high)
+    left = set(zip(query.tolist(), hit.tolist(), strict=True))
+    assert len(left) < 144
+    query, hit = jaccard_join.CountTree(points, sizes, sizes).search(points, sizes, sizes)
+    assert {(q // 5, h // 5) for q, h in zip(query.tolist(), hit.tolist(), strict=True)} <= left
+
+
 def words_of(rng, n, names="w"):
     return [f"{names}{x}" for x in rng.integers(0, 10**6, n)]
 
@@ -119,6 +133,7 @@ def test_small_leaves_meet_in_pairs(spark, monkeypatch):
     line = words_of(rng, 30, "l")
     rows = [(k, " ".join([*line, *words_of(rng, 5, f"d{k // 2}_")[: 3 + k % 2]])) for k in range(60)]
     monkeypatch.setattr(jaccard_join, "LEAF", 4)
+    monkeypatch.setattr(jaccard_join, "FEW", 3)
     assert found(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), percent=90)) == brute(rows, 90)
 
 
