@@ -16,9 +16,12 @@ REQUEST = f"schema_version int, project_id string, style_notes string, generatio
 MANIFEST = "id string, job_id string, category string, semantic_name string, state string, source_index int, category_index int, source_bbox array<int>, output string, width int, height int, pivot array<double>, qa string"
 
 
-def images(spark: SparkSession, path: str) -> DataFrame:
+def images(spark: SparkSession, path: str, recursive: bool = False, pattern: str = "*.png") -> DataFrame:
     """path, width, height, channels, data (RGBA bytes by row), error: bad files are rows with an error, not failures."""
-    raw = spark.read.format("image").option("dropInvalid", False).load(path).select("image.*")
+    reader = spark.read.format("image").option("dropInvalid", False)
+    # With folders below, only files of the pattern are images.
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern) if recursive else reader
+    raw = reader.load(path).select("image.*")
     bad = F.col("mode") < 0
     return raw.select(F.col("origin").alias("path"), F.when(~bad, F.col("width")).alias("width"), F.when(~bad, F.col("height")).alias("height"), F.when(~bad, F.col("nChannels")).alias("channels"), F.when(~bad, F.col("data")).alias("data"), F.when(bad, "source-decode-failed").alias("error"))
 
