@@ -342,7 +342,8 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     near = written(both(close, entries, "low", "high", "point").mapInArrow(_bounded(percent), "x long, y long"), "near")
     wanted = ends(near).withColumnRenamed("node", "root").join(entries.select("root", "sets"), "root")
     own = members.join(wanted, "root").select("root", F.pmod(F.xxhash64("node"), F.ceil(F.col("sets") / LEAF)).alias("leaf"), "node", F.col("n").alias("low"), F.col("n").alias("high"), "point")
-    chunks = written(own.groupBy("root", "leaf").agg(listed), "chunks")
+    # Dealt by both columns: a grouping after the join by root alone would leave a large component to one task.
+    chunks = written(own.repartition("root", "leaf").groupBy("root", "leaf").agg(listed), "chunks")
     side = lambda k, name: chunks.select(F.col("root").alias(k), F.col("members").alias(name))
     meeting = near.join(side("x", "ours"), "x").join(side("y", "members"), "y").select("ours", "members")
     again = written(meeting.mapInArrow(_searched(percent), "x long, y long").distinct().join(tried, ["x", "y"], "left_anti"), "left")
