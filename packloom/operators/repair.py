@@ -65,12 +65,13 @@ def regeneration_plan(jobs: DataFrame, issues: DataFrame, results: DataFrame, bu
     return rows.select(run, "job_id", "status", "attempts", "code", F.when(waits, F.col("attempts") + 1).alias("next_attempt"), F.when(waits, F.col("retry_target")).alias("retry_target"), F.when(waits, F.col("targets")).alias("targets"), F.when(waits, F.col("calls")).otherwise(0).alias("planned_extra_calls"), F.when(waits, F.col("fix.instruction")).alias("instruction"))
 
 
-def correction_issues(assets: DataFrame, pixels: DataFrame, image: str, width: Column, height: Column, visible: int = 16, margin: int = 4) -> DataFrame:
+def correction_issues(assets: DataFrame, pixels: DataFrame | None, image: str, width: Column, height: Column, visible: int = 16, margin: int = 4, spans: DataFrame | None = None) -> DataFrame:
     """(image, position, code, other, recommended): what is wrong with hand-made boxes before they are applied.
 
     assets: image, position, enabled, source_index, bbox, category, category_index (the indices as text); pixels:
     image, x, y, a. Disabled candidates are left out; an absent source_index is position + 1. A box that is no box,
     leaves the image or is empty gets no further checks. other: the earlier position of a pair or repeated index.
+    spans (image, position, x0, x1, y0, y1: what is seen of each box, its ends inclusive) may take the place of pixels.
     """
     rows = assets.where(F.coalesce("enabled", F.lit(True))).withColumn("index", F.coalesce(F.col("source_index").try_cast("int"), F.col("position") + 1))
     firsts = rows.groupBy(image, "index").agg(F.min("position").alias("first"))
@@ -103,9 +104,10 @@ def correction_issues(assets: DataFrame, pixels: DataFrame, image: str, width: C
     n = F.count("*")
     gaps = numbered.groupBy(image, "category").agg(((F.min("number") == 1) & (F.max("number") == n) & (F.count_distinct("number") == n)).alias("whole")).where("not whole")
     out.append(numbered.join(gaps, [image, "category"]).select(image, "position", F.lit("non-continuous-category-index").alias("code"), F.lit(None).cast("int").alias("other"), none.alias("recommended")))
-    # What is seen of each box; an equi join on the image, in which a box takes its own pixels alone.
-    seen = pixels.where(F.col("a") >= visible).select(image, "x", "y").join(good.select(image, "position", *"ltrb", "w", "h"), image).where("x >= l and x < r and y >= t and y < b")
-    spans = seen.groupBy(image, "position").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    if spans is None:
+        # What is seen of each box; an equi join on the image, in which a box takes its own pixels alone.
+        seen = pixels.where(F.col("a") >= visible).select(image, "x", "y").join(good.select(image, "position", *"ltrb", "w", "h"), image).where("x >= l and x < r and y >= t and y < b")
+        spans = seen.groupBy(image, "position").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     looked = good.join(spans, [image, "position"], "left")
     cut = {"l": F.col("x0") == F.col("l"), "t": F.col("y0") == F.col("t"), "r": F.col("x1") + 1 == F.col("r"), "b": F.col("y1") + 1 == F.col("b")}
     wider = F.array(*(F.greatest(F.lit(0), F.col(c) - F.when(cut[c], margin).otherwise(0)) for c in "lt"), *(F.least(F.col(top), F.col(c) + F.when(cut[c], margin).otherwise(0)) for c, top in (("r", "w"), ("b", "h"))))

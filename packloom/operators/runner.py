@@ -104,8 +104,8 @@ def labelled(mask: np.ndarray) -> np.ndarray:
     return out[np.argsort(-out[:, 0], kind="stable")]
 
 
-def normalised(crop: np.ndarray, target: tuple[int, int] | None, padding: int, alignment: str) -> np.ndarray | None:
-    """A crop trimmed to its alpha, scaled down at most, and placed on its target; nothing without alpha or room."""
+def normalised(crop: np.ndarray, target: tuple[int, int] | None, padding: int, alignment: str, upscale: bool = False) -> np.ndarray | None:
+    """A crop trimmed to its alpha, scaled (up only if asked to), and placed on its target; nothing without alpha or room."""
     rows, columns = np.flatnonzero(crop[..., 3].any(axis=1)), np.flatnonzero(crop[..., 3].any(axis=0))
     if not len(rows):
         return None
@@ -114,7 +114,8 @@ def normalised(crop: np.ndarray, target: tuple[int, int] | None, padding: int, a
     cw, ch = target or (w + 2 * padding, h + 2 * padding)
     if min(cw, ch) <= 2 * padding:
         return None
-    scale = min(1.0, (cw - 2 * padding) / w, (ch - 2 * padding) / h)
+    scale = min((cw - 2 * padding) / w, (ch - 2 * padding) / h)
+    scale = scale if upscale else min(1.0, scale)
     size = max(1, round(w * scale)), max(1, round(h * scale))
     if size != (w, h):
         trimmed = resized_rgba(trimmed, *size)

@@ -130,3 +130,34 @@ def packed_images(images: DataFrame, image: str = "path") -> DataFrame:
 
     rows = images.select(image, *(F.col(c).cast("int").alias(c) for c in ("width", "height", "channels")), "data", "error")
     return rows.mapInArrow(swap, f"`{image}` {kind}, width int, height int, channels int, rgba binary, error string")
+
+
+def write_pngs(images: DataFrame, root: str) -> int:
+    """Writes images (file, width, height, rgba) as PNGs below root, a path or URI that all executors share; their number.
+
+    A file is written aside and moved, so that a task that runs again leaves the same files. Names that aren't below
+    root are refused.
+    """
+
+    def write(batches: Iterator) -> Iterator:
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        for batch in batches:
+            for file, w, h, data in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                parts = file.replace("\\", "/").split("/")
+                if parts[0] == "" or ".." in parts:
+                    raise ValueError(f"not below the root: {file}")
+                path = "/".join([base.rstrip("/"), *parts])
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                aside = f"{path}.{uuid.uuid4().hex}.part"
+                with system.open_output_stream(aside) as out:
+                    out.write(png(w, h, data))
+                system.move(aside, path)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows = images.where("rgba IS NOT NULL").select("file", F.col("width").cast("int"), F.col("height").cast("int"), "rgba")
+    return rows.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
