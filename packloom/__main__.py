@@ -1,4 +1,4 @@
-"""Command line: `python -m packloom plan ...` and `python -m packloom validate ...`; JSON on stdout, exit code 2 where the result isn't ok."""
+"""Command line: `python -m packloom plan | validate | correct | catalog ...`; JSON on stdout, exit code 2 where the result isn't ok."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from packloom.operators import planning, validation
+from packloom.functions import scalars as S
+from packloom.operators import corrections, planning, tables, validation
 from packloom.operators.lineage import cut
 from packloom.sources import files
 
@@ -29,6 +30,13 @@ def plan(spark: SparkSession, requests: str, output: str, overwrite: bool) -> tu
     return issues == 0, {"jobs": found.jobs.count(), "assets": found.assets.count(), "issues": issues}
 
 
+def _below(spark: SparkSession, root: str) -> tuple[str, str]:
+    """root as a URI, and its path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    uri = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
+    return uri.toString(), uri.getPath().rstrip("/")
+
+
 def validate(spark: SparkSession, manifest: str, root: str, output: str, strict: bool, overwrite: bool) -> tuple[bool, dict]:
     """Issues and the report of one manifest over the images below root, as JSON tables below output.
 
@@ -39,8 +47,7 @@ def validate(spark: SparkSession, manifest: str, root: str, output: str, strict:
     packs = documents.select(pack, F.coalesce("expected_count", F.size("assets")).alias("expected"), "chroma_key")
     entries = documents.select(pack, F.posexplode("assets").alias("ord", "a")).select("pack", "ord", "a.*")
     name = packs.first().pack
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri().getPath().rstrip("/")
+    base = _below(spark, root)[1]
     below = F.substr(F.regexp_replace("path", "^[A-Za-z0-9]+:/+", "/"), F.lit(len(base) + 2)).alias("file")
     listed = files.listing(spark, root, "*").select(F.lit(name).alias("pack"), below)
     images = files.packed_images(files.images(spark, root, recursive=True)).where("rgba IS NOT NULL").select(F.lit(name).alias("pack"), below, "width", "height", "channels", "rgba")
@@ -53,6 +60,39 @@ def validate(spark: SparkSession, manifest: str, root: str, output: str, strict:
     return report.pop("ok"), report
 
 
+def correct(spark: SparkSession, image: str, document: str, project: str, output: str, overwrite: bool) -> tuple[bool, dict]:
+    """One sheet's approved corrections: PNGs below output/final and output/qa, JSON tables of entries, issues and the report."""
+    documents = spark.read.schema(corrections.DOCUMENT).option("multiLine", True).json(document).withColumn("project", F.lit(project))
+    settings, candidates = corrections.split(documents)
+    sheets = cut(files.packed_images(files.images(spark, image)).select(F.lit(project).alias("project"), "width", "height", "rgba"))
+    done = corrections.applied(settings, candidates, sheets)
+    issues, mode = cut(done.issues), "overwrite" if overwrite else "errorifexists"
+    done.entries.write.mode(mode).json(f"{output}/entries")
+    issues.write.mode(mode).json(f"{output}/issues")
+    done.reports.write.mode(mode).json(f"{output}/reports")
+    root = _below(spark, output)[0]
+    files.write_pngs(done.images, root)
+    files.write_pngs(corrections.review_images(candidates, sheets, issues).withColumn("file", F.lit("qa/bbox-review.png")), root)
+    report = done.reports.first().asDict()
+    return report["status"] == "complete", report
+
+
+def catalog(spark: SparkSession, manifest: str, earlier: str | None, run: str, output: str, overwrite: bool) -> tuple[bool, dict]:
+    """The catalog in the table of an earlier one (none: empty) merged with a manifest's assets that didn't fail, as a table sorted by key.
+
+    The output is another folder than the earlier catalog. Of a manifest's assets of one key the last stands.
+    """
+    own = "id string, category string, semantic_name string, state string, output string, width int, height int, qa string"
+    listed = spark.read.schema(f"assets array<struct<{own}>>").option("multiLine", True).json(manifest).select(F.posexplode("assets").alias("ord", "a")).select("ord", "a.*")
+    listed = listed.withColumns({"qa": F.coalesce("qa", F.lit("pass")), "state": F.coalesce("state", F.lit("Default")), "width": F.coalesce("width", F.lit(0)), "height": F.coalesce("height", F.lit(0)), "source_run": F.lit(run)}).where("qa <> 'fail'")
+    new = listed.withColumn("asset_key", S.asset_key(F.col("category"), F.col("semantic_name"), F.col("state")))
+    old = spark.read.schema(f"asset_key string, ord int, {own}, source_run string").json(earlier) if earlier else spark.createDataFrame([], new.schema)
+    merged = cut(tables.upsert(old, new.select(*old.columns), "asset_key", ["ord"]))
+    merged.drop("action").orderBy("asset_key").write.mode("overwrite" if overwrite else "errorifexists").json(output)
+    counts = merged.agg(F.count_if(F.col("action") == "added").alias("added"), F.count("*").alias("total")).first()
+    return True, {"added": counts.added, "updated": new.count() - counts.added, "total": counts.total}
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="packloom", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -62,12 +102,26 @@ def main(arguments: list[str] | None = None) -> int:
     two.add_argument("--manifest", required=True)
     two.add_argument("--asset-root", required=True)
     two.add_argument("--strict-files", action="store_true")
-    for command in (one, two):
+    three = commands.add_parser("correct", help="apply approved boxes to a sheet")
+    three.add_argument("--input", required=True)
+    three.add_argument("--corrections", required=True)
+    three.add_argument("--project-id", required=True)
+    four = commands.add_parser("catalog", help="merge a manifest into a catalog")
+    four.add_argument("--manifest", required=True)
+    four.add_argument("--catalog", help="folder of an earlier catalog")
+    four.add_argument("--source-run", required=True)
+    for command in (one, two, three, four):
         command.add_argument("--output", required=True)
         command.add_argument("--force", action="store_true", help="overwrite earlier results")
     a = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("packloom").getOrCreate()
-    ok, result = plan(spark, a.requests, a.output, a.force) if a.command == "plan" else validate(spark, a.manifest, a.asset_root, a.output, a.strict_files, a.force)
+    run = {
+        "plan": lambda: plan(spark, a.requests, a.output, a.force),
+        "validate": lambda: validate(spark, a.manifest, a.asset_root, a.output, a.strict_files, a.force),
+        "correct": lambda: correct(spark, a.input, a.corrections, a.project_id, a.output, a.force),
+        "catalog": lambda: catalog(spark, a.manifest, a.catalog, a.source_run, a.output, a.force),
+    }
+    ok, result = run[a.command]()
     print(json.dumps({"ok": ok, **result}))
     return 0 if ok else 2
 
