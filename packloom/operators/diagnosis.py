@@ -218,7 +218,9 @@ def diagnosed(sheets: DataFrame, least: int = LEAST, room: int = ROOM, near: flo
 
 def documents(diagnosis: Diagnosis, least: int = LEAST, room: int = ROOM, near: float = NEAR) -> DataFrame:
     """Documents of corrections, not approved, of the diagnosed sheets; `corrections.split` reads them (project beside them)."""
-    item = F.struct("position", F.lit(True).alias("enabled"), F.col("source_index").cast("string").alias("source_index"), "bbox", "detected_bbox", "semantic_name", "category", "state", F.col("category_index").cast("string").alias("category_index"), F.struct("severity", F.col("codes").alias("issue_codes")).alias("review"))
+    # What a reviewer may set for one candidate; null leaves it to the document's normalisation.
+    own = [F.lit(None).cast(kind).alias(c) for c, kind in (("target_size", "array<int>"), ("padding", "int"), ("alignment", "string"), ("allow_upscale", "boolean"))]
+    item = F.struct("position", F.lit(True).alias("enabled"), F.col("source_index").cast("string").alias("source_index"), "bbox", "detected_bbox", "semantic_name", "category", "state", F.col("category_index").cast("string").alias("category_index"), *own, F.struct("severity", F.col("codes").alias("issue_codes")).alias("review"))
     # The candidates of one sheet, which its pixels bound.
     lists = diagnosis.candidates.groupBy("project").agg(F.array_sort(F.collect_list(item)).alias("assets"))
     lists = lists.select("project", F.transform("assets", lambda a: a.dropFields("position")).alias("assets"))
