@@ -1,4 +1,4 @@
-"""Command line: `python -m packloom plan | validate | correct | catalog ...`; JSON on stdout, exit code 2 where the result isn't ok."""
+"""Command line: `python -m packloom plan | validate | diagnose | correct | catalog ...`; JSON on stdout, exit code 2 where the result isn't ok."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from packloom.functions import scalars as S
-from packloom.operators import corrections, planning, tables, validation
+from packloom.operators import corrections, diagnosis, planning, tables, validation
 from packloom.operators.lineage import cut
 from packloom.sources import files
 
@@ -77,6 +77,22 @@ def correct(spark: SparkSession, image: str, document: str, project: str, output
     return report["status"] == "complete", report
 
 
+def diagnose(spark: SparkSession, image: str, category: str, project: str, output: str, least: int, room: int, near: float, overwrite: bool) -> tuple[bool, dict]:
+    """One unknown sheet: JSON tables of its report, issues and document to correct, and a PNG of its candidates below output/qa.
+
+    Once somebody has set `approved` in the document, `correct` applies it.
+    """
+    sheets = cut(files.packed_images(files.images(spark, image)).select(F.lit(project).alias("project"), F.lit(category).alias("category"), "width", "height", "rgba"))
+    found, mode = diagnosis.diagnosed(sheets, least, room, near), "overwrite" if overwrite else "errorifexists"
+    reports = cut(found.reports)
+    reports.write.mode(mode).json(f"{output}/reports")
+    found.issues.orderBy("ord").coalesce(1).write.mode(mode).json(f"{output}/issues")
+    diagnosis.documents(found, least, room, near).coalesce(1).write.mode(mode).json(f"{output}/corrections")
+    files.write_pngs(diagnosis.overlays(found.candidates, sheets).withColumn("file", F.lit("qa/candidates.png")), _below(spark, output)[0])
+    report = reports.drop("background").first().asDict()
+    return report["status"] == "ready-for-review", report
+
+
 def catalog(spark: SparkSession, manifest: str, earlier: str | None, run: str, output: str, overwrite: bool) -> tuple[bool, dict]:
     """The catalog in the table of an earlier one (none: empty) merged with a manifest's assets that didn't fail, as a table sorted by key.
 
@@ -110,7 +126,14 @@ def main(arguments: list[str] | None = None) -> int:
     four.add_argument("--manifest", required=True)
     four.add_argument("--catalog", help="folder of an earlier catalog")
     four.add_argument("--source-run", required=True)
-    for command in (one, two, three, four):
+    five = commands.add_parser("diagnose", help="find the candidates of an unknown sheet")
+    five.add_argument("--input", required=True)
+    five.add_argument("--category", required=True)
+    five.add_argument("--project-id", required=True)
+    five.add_argument("--min-component-pixels", type=int, default=diagnosis.LEAST)
+    five.add_argument("--bbox-padding", type=int, default=diagnosis.ROOM)
+    five.add_argument("--background-threshold", type=float, default=diagnosis.NEAR)
+    for command in (one, two, three, four, five):
         command.add_argument("--output", required=True)
         command.add_argument("--force", action="store_true", help="overwrite earlier results")
     a = parser.parse_args(arguments)
@@ -119,6 +142,7 @@ def main(arguments: list[str] | None = None) -> int:
         "plan": lambda: plan(spark, a.requests, a.output, a.force),
         "validate": lambda: validate(spark, a.manifest, a.asset_root, a.output, a.strict_files, a.force),
         "correct": lambda: correct(spark, a.input, a.corrections, a.project_id, a.output, a.force),
+        "diagnose": lambda: diagnose(spark, a.input, a.category, a.project_id, a.output, a.min_component_pixels, a.bbox_padding, a.background_threshold, a.force),
         "catalog": lambda: catalog(spark, a.manifest, a.catalog, a.source_run, a.output, a.force),
     }
     ok, result = run[a.command]()

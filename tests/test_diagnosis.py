@@ -1,10 +1,14 @@
 """Diagnosis of small sheets: kinds, thresholds, reading order, issues, odd rows, and the way from a sheet to finished assets."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from packloom.__main__ import main
 from packloom.operators import corrections, diagnosis, inference, raster
+from packloom.sources import files
 
 ROWS = "project string, category string, width int, height int, rgba binary"
 
@@ -147,3 +151,27 @@ def test_overlays_mark_candidates(spark, found):
     box = found.candidates.where("project = 'flat'").first().bbox
     assert tuple(drawn["flat"][box[1], box[0]]) == (*diagnosis.COLOURS["info"], 255)
     assert (drawn["flat"][14:22, 18:26] == sheets["flat"][14:22, 18:26]).all()
+
+
+def test_command_line_from_sheet_to_assets(spark, tmp_path, capsys):
+    a = solid(60, 40, (0, 255, 0))
+    a[10:26, 8:22, :3] = (200, 20, 30)
+    a[12:28, 34:50, :3] = (20, 30, 200)
+    (tmp_path / "sheet.png").write_bytes(files.png(60, 40, a.tobytes()))
+    base = ["diagnose", "--input", str(tmp_path / "sheet.png"), "--project-id", "bag", "--output", str(tmp_path / "found")]
+    assert main([*base, "--category", "Icon_Item"]) == 0
+    report = json.loads(capsys.readouterr().out)
+    assert (report["classification"], report["candidate_count"], report["fail_count"]) == ("flat-background-sheet", 2, 0)
+    assert (tmp_path / "found/qa/candidates.png").exists()
+    written = next((tmp_path / "found/corrections").glob("part-*"))
+    document = json.loads(written.read_text())
+    assert document["approved"] is False and [x["bbox"] for x in document["assets"]] == [[4, 6, 26, 30], [30, 8, 54, 32]]
+    apply = ["correct", "--input", str(tmp_path / "sheet.png"), "--project-id", "bag", "--corrections", str(tmp_path / "fixed.json"), "--output", str(tmp_path / "done")]
+    (tmp_path / "fixed.json").write_text(json.dumps(document))
+    assert main(apply) == 2
+    capsys.readouterr()
+    (tmp_path / "fixed.json").write_text(json.dumps(document | {"approved": True}, indent=2))
+    assert main([*apply, "--force"]) == 0
+    assert json.loads(capsys.readouterr().out)["manifest_count"] == 2
+    assert len(list((tmp_path / "done/final/Icon_Item").glob("*.png"))) == 2
+    assert main([*base, "--category", "Hat", "--force"]) == 2

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from packloom.plans import correction_queries, delivery_queries, inference_queries, orchestration_queries, pipeline_queries, planning_queries, preview_queries, raster_queries, registry, repair_queries, runner_queries, table_queries, validation_queries  # noqa: F401
+from packloom.plans import correction_queries, delivery_queries, diagnosis_queries, inference_queries, orchestration_queries, pipeline_queries, planning_queries, preview_queries, raster_queries, registry, repair_queries, runner_queries, table_queries, validation_queries  # noqa: F401
 
 from .conftest import SF
 
