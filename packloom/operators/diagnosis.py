@@ -145,21 +145,30 @@ def measured(rgba: np.ndarray, least: int, near: float) -> dict:
 
 _GROUND = {"mode": "string", "export_supported": "boolean", "color": "string", "transparent_threshold": "double", "opaque_threshold": "double", "confidence": "string", "near_key_risk": "boolean", "auto_apply": "boolean", "coverage": "double", "border_coverage": "double", "colors": "array<string>", "tile_size": "int", "pattern_score": "double"}
 _ARROW = {"string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "int": pa.int32(), "array<string>": pa.list_(pa.string())}
-_MEASURED = pa.schema([("project", pa.string()), ("classification", pa.string()), ("background", pa.struct([(c, _ARROW[k]) for c, k in _GROUND.items()])), ("components", pa.list_(pa.struct([(c, pa.int32()) for c in ("pixels", *"ltrb")])))])
-_MEASURED_SQL = f"project string, classification string, background struct<{','.join(f'{c}:{k}' for c, k in _GROUND.items())}>, components array<struct<pixels:int,l:int,t:int,r:int,b:int>>"
+_CARRIED = {"project": "string", "category": "string", "width": "int", "height": "int", "known": "boolean", "decoded": "boolean"}
+_MEASURED = pa.schema([*((c, _ARROW[k]) for c, k in _CARRIED.items()), ("classification", pa.string()), ("background", pa.struct([(c, _ARROW[k]) for c, k in _GROUND.items()])), ("components", pa.list_(pa.struct([(c, pa.int32()) for c in ("pixels", *"ltrb")])))])
+_MEASURED_SQL = f"{', '.join(f'{c} {k}' for c, k in _CARRIED.items())}, classification string, background struct<{','.join(f'{c}:{k}' for c, k in _GROUND.items())}>, components array<struct<pixels:int,l:int,t:int,r:int,b:int>>"
 
 
 def measurements(sheets: DataFrame, least: int = LEAST, near: float = NEAR) -> DataFrame:
-    """(project, classification, background, components) of sheets (project, width, height, rgba) that could be decoded and aren't empty."""
+    """(project, category, width, height, known, decoded, classification, background, components) of sheets (project, category, width, height, rgba).
+
+    The last three are null where the category isn't known or there are no pixels. Sheets are read once.
+    """
+    known = F.coalesce(F.col("category").isin(*(row[0] for row in C.CATEGORIES)), F.lit(False))
+    decoded = F.coalesce(F.col("rgba").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0), F.lit(False))
+    size = (F.col(c).cast("int").alias(c) for c in ("width", "height"))
+    rows = sheets.select("project", "category", *size, known.alias("known"), decoded.alias("decoded"), F.when(known & decoded, F.col("rgba")).alias("rgba"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                found = measured(_pixels(r["rgba"], r["width"], r["height"]), least, near)
-                yield pa.RecordBatch.from_pylist([{"project": r["project"], **found}], schema=_MEASURED)
+                rgba = _pixels(r.pop("rgba"), r["width"], r["height"])
+                found = measured(rgba, least, near) if rgba is not None else {}
+                yield pa.RecordBatch.from_pylist([r | found], schema=_MEASURED)
 
-    return sheets.where("width > 0 AND height > 0 AND rgba IS NOT NULL").select("project", F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), "rgba").mapInArrow(run, _MEASURED_SQL)
+    return rows.mapInArrow(run, _MEASURED_SQL)
 
 
 # ---------------------------------------------------------------- diagnosis
@@ -174,11 +183,7 @@ def diagnosed(sheets: DataFrame, least: int = LEAST, room: int = ROOM, near: flo
     codes; issues: project, ord, severity, code, location, source_index, bbox. Candidates of equal place are numbered
     by size.
     """
-    known = F.coalesce(F.col("category").isin(*(row[0] for row in C.CATEGORIES)), F.lit(False))
-    decoded = F.coalesce(F.col("rgba").isNotNull() & (F.col("width") > 0) & (F.col("height") > 0), F.lit(False))
-    narrow = sheets.select("project", "category", F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"), decoded.alias("decoded"), known.alias("known"))
-    found = measurements(sheets.where(known), least, near)
-    rows = cut(narrow.join(found, "project", "left"))
+    rows = cut(measurements(sheets, least, near))
 
     # The place in the list of components comes right after the box's corner, so that it settles ties.
     parts = rows.select("project", "category", "width", "height", F.posexplode("components").alias("rank", "c"))
