@@ -97,18 +97,18 @@ def inner_runs(found: DataFrame, line: list[str]) -> DataFrame:
     return found.withColumn("_k", k).withColumn("_n", n).where((F.col("_n") <= 2) | ((F.col("_k") > 1) & (F.col("_k") < F.col("_n")))).drop("_k", "_n")
 
 
-def packed_sheets(groups: DataFrame, by: str, order: list[str], size: str, name: str, capacity: int) -> DataFrame:
-    """Next-fit packing of indivisible groups into sheets of a capacity, in order; a group over it has no sheet.
+def packed_sheets(groups: DataFrame, by: str, order: list[str], size: str, name: str, capacity: int, oversized: bool = False) -> DataFrame:
+    """Next-fit packing of indivisible groups into sheets of a capacity, in order.
 
-    The fold runs inside an aggregate over each category's ordered groups, without Python.
+    A group over the capacity has no sheet, or one of its own where oversized groups are to be packed too. The fold runs inside an aggregate over each category's ordered groups, without Python.
     """
     item = F.struct(*order, F.col(size).cast("int").alias("_size"), F.col(name).alias("_name"))
     ordered = groups.groupBy(by).agg(F.array_sort(F.collect_list(item)).alias("items"))
     start = F.struct(F.lit(1).alias("sheet"), F.lit(0).alias("fill"), F.array().cast("array<struct<name:string,sheet:int,size:int>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        fits = acc["fill"] + x["_size"] <= capacity
-        over = x["_size"] > capacity
+        fits = (acc["fill"] + x["_size"] <= capacity) | (F.lit(oversized) & (acc["fill"] == 0))
+        over = (x["_size"] > capacity) & ~F.lit(oversized)
         sheet = F.when(over | fits, acc["sheet"]).otherwise(acc["sheet"] + 1)
         fill = F.when(over, acc["fill"]).when(fits, acc["fill"] + x["_size"]).otherwise(x["_size"])
         placed = F.struct(x["_name"].cast("string").alias("name"), F.when(~over, sheet).alias("sheet"), x["_size"].alias("size"))

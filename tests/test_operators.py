@@ -58,6 +58,12 @@ def test_packing_starts_a_sheet_where_a_group_does_not_fit(spark):
     assert got == {"0": 1, "1": 2, "2": 3, "3": 4, "4": None}
 
 
+def test_packing_gives_an_oversized_group_a_sheet_of_its_own_where_asked(spark):
+    groups = spark.createDataFrame([("a", k, n) for k, n in enumerate((30, 5, 3, 12, 12, 2))] + [("b", 9, 4)], "cat string, k int, n int")
+    got = {r.name: r.sheet for r in tables.packed_sheets(groups, "cat", ["k"], "n", "k", 10, oversized=True).collect()}
+    assert got == {"0": 1, "1": 2, "2": 2, "3": 3, "4": 4, "5": 5, "9": 1}
+
+
 def test_concurrency_ignores_a_repeated_failure(spark):
     rows = [("a", k, e) for k, e in enumerate(["rate-limit", "timeout", "disconnect"])] + [("b", k, e) for k, e in enumerate(["timeout", "timeout"])]
     got = {r.run: r.effective for r in tables.concurrency(spark.createDataFrame(rows, "run string, k int, event string"), "run", ["k"], "event").collect()}
