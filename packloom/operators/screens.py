@@ -28,10 +28,15 @@ def scroll_issues(elements: DataFrame, screen: str) -> DataFrame:
 
 
 def prefab_issues(elements: DataFrame, screens: DataFrame, screen: str) -> DataFrame:
-    """Elements (screen, screen_ord, id, kind, prefab_screen) whose prefab isn't an earlier screen (screen, screen_ord), or that may have none."""
+    """Elements (screen, screen_ord, id, kind, prefab_screen) whose prefab isn't an earlier screen (screen, screen_ord), or that may have none.
+
+    Only instances that name a prefab look it up: elements that name none would all be one key of the join.
+    """
     earlier = screens.groupBy(F.col(screen).alias("prefab_screen")).agg(F.min("screen_ord").alias("prefab_ord"))
-    rows = elements.join(earlier, "prefab_screen", "left")
-    prefab = F.col("kind") == "PrefabInstance"
+    prefab, named = F.coalesce(F.col("kind") == "PrefabInstance", F.lit(False)), F.col("prefab_screen").isNotNull()
+    kept = [screen, "id", "kind", "prefab_screen", "screen_ord"]
+    rows = elements.where(prefab & named).join(earlier, "prefab_screen", "left").select(*kept, "prefab_ord")
+    rows = rows.unionByName(elements.where(prefab != named).select(*kept, F.lit(None).cast(dict(earlier.dtypes)["prefab_ord"]).alias("prefab_ord")))
     rules = {
         "prefab-screen-not-earlier": ("fail", prefab & ~F.coalesce(F.col("prefab_ord") < F.col("screen_ord"), F.lit(False))),
         "prefab-screen-unexpected": ("fail", ~prefab & F.col("prefab_screen").isNotNull()),

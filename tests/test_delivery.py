@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from packloom.functions import scalars as S
 from packloom.operators import delivery, inference, raster, repair, screens, tables
 
+from .conftest import SF
+
 TASK = "run string, sequence long, kind string, is_retry boolean, priority int, job_sequence long, inputs_ready boolean"
 
 
@@ -151,3 +153,20 @@ def test_crops_and_composites(spark):
     top = spark.createDataFrame([(1, 0, 0, 9, 9, 9, 255), (1, 1, 0, 200, 200, 200, 0)], "i int, x int, y int, r int, g int, b int, a int")
     got = {(r.x, r.y): (r.r, r.g, r.b, r.a) for r in repair.composited(px, top, "i").collect()}
     assert got[0, 0] == (9, 9, 9, 255) and got[1, 0] == (10, 20, 30, 128) and got[0, 1] == (0, 0, 0, 0)
+
+
+def test_elements_without_a_prefab_are_no_hot_key(spark):
+    e = spark.range(0, 400, 1, 8).select(F.lit(1).alias("s"), F.lit(2).alias("screen_ord"), "id", F.lit("PrefabInstance").alias("kind"), F.when(F.col("id") == 7, 0).when(F.col("id") == 8, 3).alias("prefab_screen"))
+    e = e.unionByName(spark.createDataFrame([(1, 2, 900, "Image", 0), (1, 2, 901, "Image", None), (1, 2, 902, None, 0)], "s int, screen_ord int, id long, kind string, prefab_screen int"))
+    known = spark.createDataFrame([(0, 1), (1, 2), (3, 3)], "s int, screen_ord int")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = screens.prefab_issues(e, known, "s").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.id, r.code) for r in got} == {(k, "prefab-screen-not-earlier") for k in range(400) if k != 7} | {(900, "prefab-screen-unexpected"), (902, "prefab-screen-unexpected")}
+    assert len({r.part for r in got if r.id < 400}) >= 8
