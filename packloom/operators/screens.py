@@ -14,14 +14,17 @@ REFERENCE_LEAST = 256
 def scroll_issues(elements: DataFrame, screen: str) -> DataFrame:
     """(screen, id, ord, severity, code) of scroll views (screen, id, kind, parent_id, viewport_id, content_id, horizontal, vertical).
 
-    The viewport is a ScrollViewport below the view, the content is below that viewport, and one axis scrolls.
+    The viewport is a ScrollViewport below the view, the content is below that viewport, and one axis scrolls. Where
+    elements share an id, one that fits is enough.
     """
-    known = elements.groupBy(screen, "id").agg(F.first("kind").alias("kind"), F.first("parent_id").alias("parent_id"))
-    side = lambda p, c: known.select(screen, F.col("id").alias(c), F.col("kind").alias(f"{p}_kind"), F.col("parent_id").alias(f"{p}_parent"))
-    rows = elements.where("kind = 'ScrollView'").join(side("v", "viewport_id"), [screen, "viewport_id"], "left").join(side("c", "content_id"), [screen, "content_id"], "left")
+    below = elements.where("parent_id IS NOT NULL")
+    side = lambda df, c, p, flag: df.select(screen, F.col("id").alias(c), F.col("parent_id").alias(p)).distinct().withColumn(flag, F.lit(True))
+    views = elements.where("kind = 'ScrollView'").select(screen, "id", "viewport_id", "content_id", "horizontal", "vertical")
+    rows = views.join(side(below.where("kind = 'ScrollViewport'"), "viewport_id", "id", "v_fits"), [screen, "viewport_id", "id"], "left")
+    rows = rows.join(side(below, "content_id", "viewport_id", "c_fits"), [screen, "content_id", "viewport_id"], "left")
     rules = {
-        "scroll-viewport-invalid": ("fail", ~F.coalesce((F.col("v_kind") == "ScrollViewport") & (F.col("v_parent") == F.col("id")), F.lit(False))),
-        "scroll-content-invalid": ("fail", ~F.coalesce(F.col("c_parent") == F.col("viewport_id"), F.lit(False))),
+        "scroll-viewport-invalid": ("fail", F.col("v_fits").isNull()),
+        "scroll-content-invalid": ("fail", F.col("c_fits").isNull()),
         "scroll-axis-missing": ("fail", ~F.coalesce(F.col("horizontal") | F.col("vertical"), F.lit(False))),
     }
     return R.issues(rows, rules, screen, "id")

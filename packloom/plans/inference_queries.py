@@ -98,9 +98,10 @@ _ELEMENTS = """el AS (SELECT l_orderkey AS screen, l_linenumber AS id, any_value
 
 def _elements(spark, d):
     n = F.col("l_linenumber")
-    kind = F.element_at(F.array(*map(F.lit, ("Image", "ScrollView", "ScrollViewport", "Button"))), (n % 4 + 1).cast("int"))
-    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("screen"), n.alias("id")).agg(F.first(kind).alias("kind"), F.min(F.when((F.col("l_partkey") % 5 > 0) & (n > 1), n - 1)).alias("parent_id"), F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
-    return rows
+    # The kind follows from the number: taken after the grouping, which then keeps whole numbers alone.
+    kind = F.element_at(F.array(*map(F.lit, ("Image", "ScrollView", "ScrollViewport", "Button"))), (F.col("id") % 4 + 1).cast("int"))
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("screen"), n.alias("id")).agg(F.min(F.when((F.col("l_partkey") % 5 > 0) & (n > 1), n - 1)).alias("parent_id"), F.min("l_partkey").alias("part"), F.min("l_suppkey").alias("supp"))
+    return rows.select("screen", "id", kind.alias("kind"), "parent_id", "part", "supp")
 
 
 @query(f"""WITH {_ELEMENTS}, sv AS (SELECT *, id + 1 + CASE WHEN supp % 6 = 0 THEN 1 ELSE 0 END AS vp, id + 2 AS ct, part % 3 = 0 AS h, part % 4 = 0 AS w FROM el WHERE kind = 'ScrollView'),

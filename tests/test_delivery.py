@@ -170,3 +170,10 @@ def test_elements_without_a_prefab_are_no_hot_key(spark):
             spark.conf.set(k, v)
     assert {(r.id, r.code) for r in got} == {(k, "prefab-screen-not-earlier") for k in range(400) if k != 7} | {(900, "prefab-screen-unexpected"), (902, "prefab-screen-unexpected")}
     assert len({r.part for r in got if r.id < 400}) >= 8
+
+
+@pytest.mark.parametrize("name", ["scroll_chain_issues"])
+def test_elements_are_not_sorted_to_be_grouped(spark, name):
+    from packloom.plans import inference_queries as Q
+
+    assert "SortAggregate" not in getattr(Q, name)(spark, SF)._jdf.queryExecution().executedPlan().toString()
