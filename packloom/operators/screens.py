@@ -48,16 +48,21 @@ def prefab_issues(elements: DataFrame, screens: DataFrame, screen: str) -> DataF
 
 
 def toggle_issues(bindings: DataFrame, elements: DataFrame, screen: str) -> DataFrame:
-    """(screen, group, code, n) of toggle groups: bindings (screen, group, ord, button_id, target_id, default_target_id)."""
-    known = elements.groupBy(screen, "id").agg(F.first("kind").alias("kind"))
-    side = lambda p, c: known.select(screen, F.col("id").alias(c), F.col("kind").alias(f"{p}_kind"))
-    rows = bindings.join(side("b", "button_id"), [screen, "button_id"], "left").join(side("t", "target_id"), [screen, "target_id"], "left")
+    """(screen, group, code, n) of toggle groups: bindings (screen, group, ord, button_id, target_id, default_target_id).
+
+    Where elements share an id, it is a Button's if one of them is.
+    """
+    side = lambda which, c, flag: elements.where(which).select(screen, F.col("id").alias(c)).distinct().withColumn(flag, F.lit(True))
+    rows = bindings.join(side("kind = 'Button'", "button_id", "button"), [screen, "button_id"], "left")
+    # A group's targets are counted once each before they are looked up, so that no task holds more than one of both.
+    each = rows.groupBy(screen, "group", "target_id").agg(F.count("*").alias("n"), F.count_if(F.col("button").isNull()).alias("odd"), F.bool_or(F.col("target_id") == F.col("default_target_id")).alias("default"))
+    rows = each.join(side("kind IS NOT NULL", "target_id", "target"), [screen, "target_id"], "left")
     found = rows.groupBy(screen, "group").agg(
-        F.count_if(~F.coalesce(F.col("b_kind") == "Button", F.lit(False))).alias("toggle-button-invalid"),
-        F.count_if(F.col("t_kind").isNull()).alias("toggle-target-missing"),
-        (F.count("target_id") - F.count_distinct("target_id")).alias("toggle-target-repeated"),
-        F.when(F.count("*") < 2, 1).otherwise(0).cast("long").alias("toggle-too-few-bindings"),
-        F.when(F.coalesce(F.bool_or(F.col("target_id") == F.col("default_target_id")), F.lit(False)), 0).otherwise(1).cast("long").alias("toggle-default-invalid"),
+        F.sum("odd").alias("toggle-button-invalid"),
+        F.sum(F.when(F.col("target").isNull(), F.col("n")).otherwise(0)).alias("toggle-target-missing"),
+        F.sum(F.when(F.col("target_id").isNotNull(), F.col("n") - 1).otherwise(0)).alias("toggle-target-repeated"),
+        F.when(F.sum("n") < 2, 1).otherwise(0).cast("long").alias("toggle-too-few-bindings"),
+        F.when(F.coalesce(F.bool_or("default"), F.lit(False)), 0).otherwise(1).cast("long").alias("toggle-default-invalid"),
     )
     codes = [c for c in found.columns if c.startswith("toggle-")]
     return found.select(screen, "group", F.explode(F.array(*(F.struct(F.lit(c).alias("code"), F.col(f"`{c}`").alias("n")) for c in codes))).alias("i")).select(screen, "group", "i.*").where("n > 0")

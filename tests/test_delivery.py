@@ -172,7 +172,7 @@ def test_elements_without_a_prefab_are_no_hot_key(spark):
     assert len({r.part for r in got if r.id < 400}) >= 8
 
 
-@pytest.mark.parametrize("name", ["scroll_chain_issues"])
+@pytest.mark.parametrize("name", ["scroll_chain_issues", "toggle_group_issues"])
 def test_elements_are_not_sorted_to_be_grouped(spark, name):
     from packloom.plans import inference_queries as Q
 
