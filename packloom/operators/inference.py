@@ -11,6 +11,7 @@ from packloom.functions import rules as R
 from packloom.functions import scalars as S
 
 from . import raster, tables
+from .lineage import cut
 
 #: Least distance of a checkerboard's colours, share that they cover, agreement; border lines looked at.
 COLOUR_GAP, CHECKER_COVERAGE, CHECKER_SCORE, EDGE_LINES = 12.0, 0.45, 0.82, 8
@@ -106,19 +107,23 @@ def checkerboards(pixels: DataFrame, image: str, near: float = 18.0) -> DataFram
     run of one colour along the outer lines; score is the mean share of background pixels that change colour one tile
     on and have it again two tiles on, along both axes.
     """
-    sizes = pixels.groupBy(image).agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-    px = pixels.select(image, "x", "y", *"rgb").join(sizes, image)
+    # What is known of each image is cut after each step, so that no task sorts the pixels for several steps at once.
+    sizes = cut(pixels.groupBy(image).agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h")))
     step = lambda c: F.greatest(F.lit(1), F.floor(F.col(c) / 512).cast("int"))
-    some = px.where((F.pmod("x", step("w")) == 0) & (F.pmod("y", step("h")) == 0))
+    some = pixels.select(image, "x", "y", *"rgb").join(sizes, image).where((F.pmod("x", step("w")) == 0) & (F.pmod("y", step("h")) == 0))
     packed = reduce(lambda acc, c: acc * 256 + (F.floor(F.col(c) / 8) * 8).cast("int"), "rgb", F.lit(0))
     top = raster.dominant(some, image, packed).groupBy(image).agg(*(F.max(F.when(F.col("place") == k, F.col("value"))).alias(n) for k, n in ((1, "first"), (2, "second")))).where("second is not null")
     parts = lambda c: tuple(F.shiftright(F.col(c), s).bitwiseAND(F.lit(255)) for s in (16, 8, 0))
-    top = top.where(S.colour_distance(parts("first"), parts("second")) >= COLOUR_GAP)
+    top = cut(top.where(S.colour_distance(parts("first"), parts("second")) >= COLOUR_GAP).join(sizes, image))
     rgb = tuple(F.col(c) for c in "rgb")
-    px = px.join(top, image).withColumn("d1", S.colour_distance(rgb, parts("first"))).withColumn("d2", S.colour_distance(rgb, parts("second")))
-    px = px.select(image, "x", "y", "w", "h", "first", "second", (F.least("d1", "d2") <= near).alias("back"), (F.col("d2") < F.col("d1")).alias("label"))
-    covered = px.groupBy(image, "first", "second", "w", "h").agg(F.avg(F.col("back").cast("double")).alias("coverage")).where(F.col("coverage") >= CHECKER_COVERAGE)
-    back = px.where("back").select(image, "x", "y", "w", "h", "label").join(covered.select(image), image, "left_semi")
+
+    def seen(facts: DataFrame) -> DataFrame:
+        px = pixels.select(image, "x", "y", *"rgb").join(facts, image).withColumn("d1", S.colour_distance(rgb, parts("first"))).withColumn("d2", S.colour_distance(rgb, parts("second")))
+        return px.select("x", "y", *facts.columns, (F.least("d1", "d2") <= near).alias("back"), (F.col("d2") < F.col("d1")).alias("label"))
+
+    covered = seen(top).groupBy(image, "first", "second", "w", "h").agg(F.avg(F.col("back").cast("double")).alias("coverage"))
+    covered = cut(covered.where(F.col("coverage") >= CHECKER_COVERAGE))
+    back = seen(covered).where("back")
 
     edge = F.least(F.lit(EDGE_LINES), F.col("w"), F.col("h"))
     outer = lambda across, size: (F.col(across) < edge) | (F.col(across) >= F.greatest(edge, F.col(size) - edge))
@@ -126,15 +131,15 @@ def checkerboards(pixels: DataFrame, image: str, near: float = 18.0) -> DataFram
     lines = back.select(image, "label", F.explode(F.array_compact(F.array(along("x", "y", "h"), along("y", "x", "w")))).alias("o")).select(image, "label", "o.*")
     line = [image, "axis", "line"]
     found = tables.inner_runs(tables.runs(lines, line, "at", "label"), line)
-    fits = found.join(sizes, image).where((F.col("length") >= 2) & (F.col("length") <= F.floor(F.least("w", "h") / 2)))
-    tiles = fits.groupBy(image).agg(F.rint(F.percentile("length", F.lit(0.5))).cast("int").alias("tile"))
+    fits = found.join(covered, image).where((F.col("length") >= 2) & (F.col("length") <= F.floor(F.least("w", "h") / 2)))
+    tiles = cut(covered.join(fits.groupBy(image).agg(F.rint(F.percentile("length", F.lit(0.5))).cast("int").alias("tile")), image))
     # Each background pixel with the one a tile before, which is to have the other colour, and two tiles before, the same.
     ways = F.array(*(F.struct(F.lit(axis).alias("axis"), F.lit(times).alias("times")) for axis in "xy" for times in (1, 2)))
-    tiled = back.join(tiles, image).select(image, "x", "y", "label", "tile", F.explode(ways).alias("way")).select(image, "x", "y", "label", "tile", "way.axis", "way.times")
+    tiled = seen(tiles).where("back").select(image, "x", "y", "label", "tile", F.explode(ways).alias("way")).select(image, "x", "y", "label", "tile", "way.axis", "way.times")
     moved = {c: F.col(c) + F.when(F.col("axis") == c, F.col("tile") * F.col("times")).otherwise(0) for c in "xy"}
     before = tiled.select(image, "axis", "times", *(v.alias(c) for c, v in moved.items()), F.col("label").alias("before"))
     good = (F.col("label") == F.col("before")) == (F.col("times") == 2)
     shares = tiled.join(before, [image, "axis", "times", "x", "y"]).groupBy(image, "axis", "times").agg(F.avg(good.cast("double")).alias("share"))
     scores = shares.groupBy(image).agg(F.avg("share").alias("score")).where(F.col("score") >= CHECKER_SCORE)
     name = lambda c: S.rgb_to_hex(*parts(c))
-    return covered.join(tiles, image).join(scores, image).select(image, name("first").alias("first"), name("second").alias("second"), "tile", F.round("coverage", 6).alias("coverage"), F.round("score", 6).alias("score"))
+    return tiles.join(scores, image).select(image, name("first").alias("first"), name("second").alias("second"), "tile", F.round("coverage", 6).alias("coverage"), F.round("score", 6).alias("score"))

@@ -177,3 +177,10 @@ def test_elements_are_not_sorted_to_be_grouped(spark, name):
     from packloom.plans import inference_queries as Q
 
     assert "SortAggregate" not in getattr(Q, name)(spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checkerboards_read_their_pixels_a_step_at_a_time(spark):
+    from packloom.plans import inference_queries as Q
+
+    plan = Q.checkerboard_detection(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("FileScan") <= 2  # the last step's pixels and those before them
