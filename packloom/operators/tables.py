@@ -97,24 +97,33 @@ def inner_runs(found: DataFrame, line: list[str]) -> DataFrame:
     return found.withColumn("_k", k).withColumn("_n", n).where((F.col("_n") <= 2) | ((F.col("_k") > 1) & (F.col("_k") < F.col("_n")))).drop("_k", "_n")
 
 
-def packed_sheets(groups: DataFrame, by: str, order: list[str], size: str, name: str, capacity: int, oversized: bool = False) -> DataFrame:
+def packed_sheets(groups: DataFrame, by: str, order: list[str], size: str, name: str, capacity: int | Column, oversized: bool = False) -> DataFrame:
     """Next-fit packing of indivisible groups into sheets of a capacity, in order.
 
-    A group over the capacity has no sheet, or one of its own where oversized groups are to be packed too. The fold runs inside an aggregate over each category's ordered groups, without Python.
+    A group over the capacity has no sheet, or one of its own where oversized groups are to be packed too. A category's
+    groups stream through one task in sorted order, and what is kept is the sheet and its fill.
     """
-    item = F.struct(*order, F.col(size).cast("int").alias("_size"), F.col(name).alias("_name"))
-    ordered = groups.groupBy(by).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    start = F.struct(F.lit(1).alias("sheet"), F.lit(0).alias("fill"), F.array().cast("array<struct<name:string,sheet:int,size:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = (acc["fill"] + x["_size"] <= capacity) | (F.lit(oversized) & (acc["fill"] == 0))
-        over = (x["_size"] > capacity) & ~F.lit(oversized)
-        sheet = F.when(over | fits, acc["sheet"]).otherwise(acc["sheet"] + 1)
-        fill = F.when(over, acc["fill"]).when(fits, acc["fill"] + x["_size"]).otherwise(x["_size"])
-        placed = F.struct(x["_name"].cast("string").alias("name"), F.when(~over, sheet).alias("sheet"), x["_size"].alias("size"))
-        return F.struct(sheet.alias("sheet"), fill.alias("fill"), F.concat(acc["out"], F.array(placed)).alias("out"))
-
-    return ordered.select(by, F.explode(F.aggregate("items", start, step, lambda acc: acc["out"])).alias("x")).select(by, "x.name", "x.sheet", "x.size")
+    most = capacity if isinstance(capacity, Column) else F.lit(capacity)
+    rows = groups.select(F.col(by).alias("by"), F.col(name).cast("string").alias("name"), F.col(size).cast("int").alias("size"), most.cast("long").alias("most"), *(F.col(c).alias(f"by{k}") for k, c in enumerate(order)))
+    rows = rows.repartition("by").sortWithinPartitions("by", *(f"by{k}" for k in range(len(order))), "size", "name").select("by", "name", "size", "most")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, sheet, fill = object(), 1, 0
+        for batch in batches:
+            sheets = []
+            for key, n, limit in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if key != at:
+                    at, sheet, fill = key, 1, 0
+                if n is None or limit is None or (n > limit and not oversized):
+                    sheets.append(None)
+                    continue
+                fits = fill + n <= limit or (oversized and not fill)
+                sheet, fill = (sheet, fill + n) if fits else (sheet + 1, n)
+                sheets.append(sheet)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sheets, pa.int32()), batch.column(2)], names=["by", "name", "sheet", "size"])
+
+    kind = groups.schema[by].dataType.simpleString()
+    return rows.mapInArrow(fold, f"by {kind}, name string, sheet int, size int").select(F.col("by").alias(by), "name", "sheet", "size")
 
 
 def concurrency(events: DataFrame, run: str, order: list[str], event: str, most: int = C.CONCURRENCY_MOST, least: int = C.CONCURRENCY_LEAST) -> DataFrame:

@@ -64,6 +64,18 @@ def test_packing_gives_an_oversized_group_a_sheet_of_its_own_where_asked(spark):
     assert got == {"0": 1, "1": 2, "2": 2, "3": 3, "4": 4, "5": 5, "9": 1}
 
 
+def test_packing_keeps_no_category_whole(spark):
+    groups = spark.range(0, 3000, 1, 4).select(F.lit("a").alias("cat"), F.col("id").alias("k"), (F.col("id") % 7 + 1).alias("n"))
+    out = tables.packed_sheets(groups, "cat", ["k"], "n", "k", 16)
+    assert "collect_list" not in out._jdf.queryExecution().executedPlan().toString()
+    sheet, fill, want = 1, 0, {}
+    for k in range(3000):
+        n = k % 7 + 1
+        sheet, fill = (sheet, fill + n) if fill + n <= 16 else (sheet + 1, n)
+        want[str(k)] = sheet
+    assert {r.name: r.sheet for r in out.collect()} == want
+
+
 def test_concurrency_ignores_a_repeated_failure(spark):
     rows = [("a", k, e) for k, e in enumerate(["rate-limit", "timeout", "disconnect"])] + [("b", k, e) for k, e in enumerate(["timeout", "timeout"])]
     got = {r.run: r.effective for r in tables.concurrency(spark.createDataFrame(rows, "run string, k int, event string"), "run", ["k"], "event").collect()}
