@@ -2,7 +2,9 @@
 
 The shingles of a document are hashed into groups; how many fall into each group is its point. Two sets share at most
 the sum of the smaller of each coordinate, so an R-tree whose nodes keep the largest coordinates of what is below them
-prunes every pair, or whole node, that cannot reach the threshold. What is left is verified by the sets themselves.
+prunes every pair, or whole node, that cannot reach the threshold. Of pairs that the trees leave, those go whose sets
+must differ in too many shingles: each set has parities of finer groups, and no two sets differ in more parities than in
+shingles. What is left is verified by the sets themselves.
 
 Which documents share a tree: shingles have one order for all, rare ones first (by counts of all documents in cells of
 a sketch of fixed size, an error of which costs time only), and of two similar sets the first floor(n / 5) + 1 shingles
@@ -31,6 +33,8 @@ from .wordhash import mixed, parts, slices
 
 SHINGLE, PERCENT = 5, 80
 GROUPS = 64
+#: Groups whose parities are kept, a bit each; sets of up to about twice as many shingles are told apart by them.
+PARITIES = 1024
 #: Cells of the sketch that orders shingles, and cells that are summed as one row.
 CELLS, RUN_OF_CELLS = 1 << 20, 1 << 10
 #: One further shingle is looked at for so many of a set.
@@ -54,6 +58,20 @@ def possible(shared, low, high, least, most, percent: int = PERCENT):
     return fits & (shared >= needed(np.maximum(low, at_least(least)), np.maximum(least, at_least(low)), percent))
 
 
+def differing(every, some, theirs, any_of_theirs):
+    """The least number of shingles in which sets differ, by their parities. every: bits that all sets of an entry have;
+    some: bits that any of them has. Those of one set are the same."""
+    # Without a sign, as the bits of the absolute value would be counted else.
+    ones = lambda x: np.bitwise_count(x.view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return ones(every & ~any_of_theirs) + ones(theirs & ~some)
+
+
+def allowed(high, most, percent: int = PERCENT):
+    """The most shingles in which similar sets of at most so many shingles differ."""
+    both = np.minimum(high, 100 * most // percent) + np.minimum(most, 100 * high // percent)
+    return (100 - percent) * both // (100 + percent)
+
+
 def spare(n):
     """How many of its first shingles, above one, a set of n shares with similar sets that aren't smaller."""
     return n // SPARE
@@ -115,7 +133,7 @@ def cell_ranks(texts: DataFrame, size: int = SHINGLE, cells: int = CELLS) -> np.
 # ---------------------------------------------------------------- points, sets
 
 
-_SIGNED = f"doc_id long, key {KEY}, n long, a long, b long, keys array<long>, point array<int>"
+_SIGNED = f"doc_id long, key {KEY}, n long, a long, b long, keys array<long>, point array<int>, bits array<long>"
 
 
 def _digests(text: np.ndarray, found: np.ndarray, n: int) -> list[np.ndarray]:
@@ -145,8 +163,11 @@ def _sign(ranks, size: int, percent: int):
                 group = (mixed(found + _ODD[0]) % np.uint64(GROUPS)).astype(np.int64)
                 points = np.bincount(text * GROUPS + group, minlength=n * GROUPS).astype(np.int32)
                 point = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * GROUPS), pa.array(points))
-                cells = [ids.slice(start, n), rows.slice(start, n), pa.array(total), *map(pa.array, _digests(text, found, n)), keys, point]
-                yield pa.RecordBatch.from_arrays(cells, ["doc_id", "key", "n", "a", "b", "keys", "point"])
+                fine = (mixed(found ^ _ODD[0]) % np.uint64(PARITIES)).astype(np.int64)
+                odd = np.bincount(text * PARITIES + fine, minlength=n * PARITIES).astype(np.uint8) & 1
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (PARITIES // 64)), pa.array(np.packbits(odd).view(np.int64)))
+                cells = [ids.slice(start, n), rows.slice(start, n), pa.array(total), *map(pa.array, _digests(text, found, n)), keys, point, bits]
+                yield pa.RecordBatch.from_arrays(cells, ["doc_id", "key", "n", "a", "b", "keys", "point", "bits"])
 
     return run
 
@@ -231,11 +252,23 @@ class CountTree:
         return query, self.order[node]
 
 
-_MEMBER = "struct<node:bigint,root:bigint,low:bigint,high:bigint,point:array<int>>"
+_MEMBER = "struct<node:bigint,root:bigint,low:bigint,high:bigint,point:array<int>,every:array<bigint>,some:array<bigint>>"
+#: What the bounds need of an entry.
+_BOUNDS = ("low", "high", "point", "every", "some")
 
 
 def _leaf(value: pa.StructArray) -> tuple[np.ndarray, ...]:
-    return *(value.field(k).to_numpy() for k in ("node", "root", "low", "high")), value.field("point").flatten().to_numpy().reshape(-1, GROUPS)
+    lists = (value.field(k).flatten().to_numpy().reshape(-1, wide) for k, wide in (("point", GROUPS), ("every", PARITIES // 64), ("some", PARITIES // 64)))
+    return *(value.field(k).to_numpy() for k in ("node", "root", "low", "high")), *lists
+
+
+def _close(x: np.ndarray, y: np.ndarray, ours: tuple, theirs: tuple, percent: int) -> np.ndarray:
+    """Of pairs of places (x, y) in entries (high, every, some), whether parities let them be similar."""
+    found = [np.zeros(0, bool)]
+    for k in range(0, len(x), 20_000):
+        (high, every, some), (most, their_every, their_some) = ([c[at[k : k + 20_000]] for c in side] for at, side in ((x, ours), (y, theirs)))
+        found.append(differing(every, some, their_every, their_some) <= allowed(high, most, percent))
+    return np.concatenate(found)
 
 
 def _searched(percent: int):
@@ -245,12 +278,14 @@ def _searched(percent: int):
         for batch in batches:
             xs, ys = [], []
             for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                node, root, low, high, points = _leaf(left.values)
-                others, roots, least, most, theirs = _leaf(right.values)
+                node, root, low, high, points, *bits = _leaf(left.values)
+                others, roots, least, most, theirs, *their_bits = _leaf(right.values)
                 query, hit = CountTree(theirs, least, most).search(points, low, high, percent)
                 apart = root[query] != roots[hit]
-                xs.append(node[query[apart]])
-                ys.append(others[hit[apart]])
+                query, hit = query[apart], hit[apart]
+                close = _close(query, hit, (high, *bits), (most, *their_bits), percent)
+                xs.append(node[query[close]])
+                ys.append(others[hit[close]])
             x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["x", "y"])
 
@@ -258,13 +293,14 @@ def _searched(percent: int):
 
 
 def _bounded(percent: int):
-    """Of pairs of entries (x, y, then low, high and point of both) those that the bound leaves."""
+    """Of pairs of entries (x, y, then _BOUNDS of both) those that the bounds leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, a, b, c, d = (batch.column(k).to_numpy() for k in range(6))
             p, q = (batch.column(k).flatten().to_numpy().reshape(-1, GROUPS) for k in (6, 7))
-            left = possible(np.minimum(p, q).sum(axis=1), a, c, b, d, percent)
+            every, theirs, some, any_of_theirs = (batch.column(k).flatten().to_numpy().reshape(-1, PARITIES // 64) for k in range(8, 12))
+            left = possible(np.minimum(p, q).sum(axis=1), a, c, b, d, percent) & (differing(every, some, theirs, any_of_theirs) <= allowed(c, d, percent))
             yield pa.RecordBatch.from_arrays([pa.array(x[left]), pa.array(y[left])], ["x", "y"])
 
     return run
@@ -291,7 +327,7 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     met = written(exploded.join(shared, "shingle"), "members")
     degrees = met.groupBy("node").agg(F.sum("in_tree").alias("degree"), F.count("*").alias("shared"))
     least = 1 + F.floor(F.ceil(percent * F.col("n") / 100) / SPARE)  # what the smallest similar set shares
-    facts = written(first.select("node", "key", "n", "point").join(degrees, "node").where(F.col("shared") >= least).drop("shared"), "facts")
+    facts = written(first.select("node", "key", "n", "point", "bits").join(degrees, "node").where(F.col("shared") >= least).drop("shared"), "facts")
 
     def sets(of: DataFrame) -> DataFrame:
         """(node, shingles) of nodes, from their texts read again."""
@@ -314,8 +350,8 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     hubs = ranked.groupBy("shingle").agg(F.max_by(F.struct("node", "n"), F.struct("degree", (-F.col("node")).alias("low"))).alias("hub"))
     alike = (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")) & (F.col("node") != F.col("hub.node"))
     tried = written(lows(ranked.join(hubs, "shingle").where(alike), "node", "hub.node"), "tried")
-    sized_facts = facts.select("node", F.col("n").alias("low"), F.col("n").alias("high"), "point")
-    left = written(both(tried, sized_facts, "low", "high", "point").mapInArrow(_bounded(percent), "x long, y long"), "left")
+    single = (F.col("n").alias("low"), F.col("n").alias("high"), "point", F.col("bits").alias("every"), F.col("bits").alias("some"))
+    left = written(both(tried, facts.select("node", *single), *_BOUNDS).mapInArrow(_bounded(percent), "x long, y long"), "left")
     known = sets(ends(left))
     links = written(both(left, known, "shingles").mapInArrow(_verified(percent), "x long, y long"), "links")
 
@@ -324,13 +360,14 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     # leaves. The sets of components that may be near are searched in leaves of their own.
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     rooted = F.coalesce("root", "node").alias("root")
-    members = written(facts.join(roots, "node", "left").select("node", rooted, "n", "point"), "rooted")
-    entries = members.groupBy("root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("sets"), F.array(*(F.max(F.get("point", F.lit(k))) for k in range(GROUPS))).alias("point"))
+    members = written(facts.join(roots, "node", "left").select("node", rooted, "n", "point", "bits"), "rooted")
+    each = lambda f, column, wide: F.array(*(f(F.get(column, F.lit(k))) for k in range(wide)))
+    entries = members.groupBy("root").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("sets"), each(F.max, "point", GROUPS).alias("point"), each(F.bit_and, "bits", PARITIES // 64).alias("every"), each(F.bit_or, "bits", PARITIES // 64).alias("some"))
     entries = written(entries.withColumn("node", F.col("root")), "entries")
     counts = written(ranked.select("shingle", "node").join(roots, "node", "left").groupBy("shingle", rooted).agg(F.count("*").alias("members")), "counts")
     trees = counts.groupBy("shingle").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.sum("members").alias("all"), F.count("*").alias("roots")).where("roots > 1 AND all > 2")
     placed = written(counts.join(trees, "shingle").select("shingle", "root", (F.col("root") != F.col("main")).alias("minor"), "roots"), "trees")
-    listed = F.collect_list(F.struct("node", "root", "low", "high", "point")).cast(f"array<{_MEMBER}>").alias("members")
+    listed = F.collect_list(F.struct("node", "root", *_BOUNDS)).cast(f"array<{_MEMBER}>").alias("members")
 
     few = placed.where(F.col("roots") <= FEW).select("shingle", "root", "minor")
     others = few.select("shingle", F.col("root").alias("other"), F.col("minor").alias("also"))
@@ -339,19 +376,21 @@ def link(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, cells: in
     packed = written(many.join(entries, "root").groupBy("shingle", "leaf").agg(listed), "leaves")
     facing = packed.select("shingle", F.col("leaf").alias("at"), F.col("members").alias("ours")).join(packed, "shingle").where("leaf >= at")
     close = written(pairs.unionByName(facing.select("ours", "members").mapInArrow(_searched(percent), "x long, y long")).distinct(), "close")
-    near = written(both(close, entries, "low", "high", "point").mapInArrow(_bounded(percent), "x long, y long"), "near")
+    near = written(both(close, entries, *_BOUNDS).mapInArrow(_bounded(percent), "x long, y long"), "near")
     wanted = ends(near).withColumnRenamed("node", "root").join(entries.select("root", "sets"), "root")
-    own = members.join(wanted, "root").select("root", F.pmod(F.xxhash64("node"), F.ceil(F.col("sets") / LEAF)).alias("leaf"), "node", F.col("n").alias("low"), F.col("n").alias("high"), "point")
+    own = members.join(wanted, "root").select("root", F.pmod(F.xxhash64("node"), F.ceil(F.col("sets") / LEAF)).alias("leaf"), "node", *single)
     # Dealt by both columns: a grouping after the join by root alone would leave a large component to one task.
     chunks = written(own.repartition("root", "leaf").groupBy("root", "leaf").agg(listed), "chunks")
     side = lambda k, name: chunks.select(F.col("root").alias(k), F.col("members").alias(name))
     meeting = near.join(side("x", "ours"), "x").join(side("y", "members"), "y").select("ours", "members")
     again = written(meeting.mapInArrow(_searched(percent), "x long, y long").distinct().join(tried, ["x", "y"], "left_anti"), "left")
     scratch = [members, entries, counts, placed, packed, close, near, chunks]
-    missing = ends(again).join(known.select("node"), "node", "left_anti")
-    known_too = sets(missing)
-    more = written(both(again, known.unionByName(known_too), "shingles").mapInArrow(_verified(percent), "x long, y long"), "links")
-    forget(met, ranked, facts, tried, left, known, again, known_too, *scratch)
+    asked = written(ends(again), "asked")
+    known_too = sets(asked.join(known.select("node"), "node", "left_anti"))
+    # Sets that no pair asks for stay where they are.
+    known_asked = known.join(sized(asked), "node", "left_semi")
+    more = written(both(again, known_asked.unionByName(known_too), "shingles").mapInArrow(_verified(percent), "x long, y long"), "links")
+    forget(met, ranked, facts, tried, left, known, again, asked, known_too, *scratch)
     documents = signed.select("doc_id", "n", "a", "b", "row").join(nodes, ["n", "a", "b"], "left").select("doc_id", "n", "row", "node")
     return documents, links.unionByName(more)
 

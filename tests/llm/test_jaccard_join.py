@@ -149,3 +149,49 @@ def test_join_of_odd_rows(spark):
 def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     assert found(op13_jaccard_join(spark, SF)) == brute(rows)
+
+
+@pytest.mark.parametrize("percent", [80, 50, 93])
+def test_parities_leave_all_similar_sets(percent):
+    """Of sets and of entries of several, made of few or many shingles."""
+    rng = np.random.default_rng(percent)
+    sets, bits = [], []
+    for k in range(120):
+        new = set(rng.integers(0, 10**9, rng.integers(1, 2500)).tolist())
+        base = sets[rng.integers(0, k)] if k else new
+        cut = set(rng.permutation(sorted(base))[: rng.integers(0, len(base) // 4 + 1)].tolist())
+        sets.append(new if k % 4 == 0 else (base - cut) | set(sorted(new)[: len(base) // 12]))
+        odd = np.bincount(np.array(sorted(sets[-1])) % jaccard_join.PARITIES, minlength=jaccard_join.PARITIES).astype(np.uint8) & 1
+        bits.append(np.packbits(odd).view(np.int64))
+    bits, n = np.array(bits), np.array([len(s) for s in sets])
+    x, y = np.triu_indices(len(sets), 1)
+    both = np.array([len(sets[i] & sets[j]) for i, j in zip(x, y, strict=True)])
+    similar = 100 * both >= percent * (n[x] + n[y] - both)
+    left = jaccard_join.differing(bits[x], bits[x], bits[y], bits[y]) <= jaccard_join.allowed(n[x], n[y], percent)
+    assert similar.any() and left[similar].all() and left.sum() < len(x)
+    flipped = np.unpackbits((bits[:1] ^ bits[1:2]).view(np.uint8)).sum()
+    assert jaccard_join.differing(bits[:1], bits[:1], bits[1:2], bits[1:2])[0] == flipped
+    of = np.arange(len(sets)) // 3
+    every, some, high = np.bitwise_and.reduceat(bits, np.arange(0, 120, 3)), np.bitwise_or.reduceat(bits, np.arange(0, 120, 3)), np.maximum.reduceat(n, np.arange(0, 120, 3))
+    p, q = of[x], of[y]
+    assert (jaccard_join.differing(every[p], some[p], every[q], some[q]) <= jaccard_join.allowed(high[p], high[q], percent))[similar].all()
+
+
+def test_unlike_sets_of_a_common_passage_are_not_verified(spark, monkeypatch):
+    """Large sets fill all groups alike, so that counts alone leave every pair of them."""
+    rng = np.random.default_rng(11)
+    passage, rows, pairs = words_of(rng, 300, "p"), [], []
+    for k in range(60):
+        rows.append((k, " ".join([*passage, *words_of(rng, 900, f"d{k}_")])))
+    rows += [(100 + k, rows[k][1] + " one more") for k in range(0, 60, 7)]
+    keep = jaccard_join.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        if name == "left":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    assert found(jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert sum(pairs) <= 9
