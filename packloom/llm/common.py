@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -34,24 +36,34 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and its lineage cut, in the shared folder; meant for narrow rows."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    with small_batches(df.sparkSession):
+        return df.checkpoint()
 
 
 #: Rows that a Python worker is sent at once where rows are wide, so that JVM and Python hold a few MB of them each.
 FEW_ROWS = "1000"
-_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_SMALL = {"spark.sql.execution.arrow.maxRecordsPerBatch": FEW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is run meanwhile hands rows to Python in batches of few rows and about 2 MB."""
+    before = {k: spark.conf.get(k) for k in _SMALL}
+    try:
+        for k, v in _SMALL.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder; it goes with `forget`, else when the driver's Python ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_ARROW_ROWS)
-    spark.conf.set(_ARROW_ROWS, FEW_ROWS)
-    try:
+    with small_batches(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_ARROW_ROWS, before)
     atexit.register(_drop, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path

@@ -210,8 +210,8 @@ def link(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows
     bags = written(bags.join(sized(keys), (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")) & F.col("_id").eqNullSafe(F.col("fid"))).select("row", "shingles", "weights").dropDuplicates(["row"]), "multisets")
 
     # Weight that a node shares with any other: an exact bound on its similarities, which settles most outliers.
-    only = F.struct(F.min("owner").alias("owner"), F.min("weight").alias("weight"), F.count("*").alias("times"))
-    alone = bags.mapInArrow(_exploded, "owner long, shingle long, weight long").groupBy("shingle").agg(only.alias("x")).where("x.times = 1").groupBy("x.owner").agg(F.sum("x.weight").alias("alone"))
+    only = (F.min("owner").alias("owner"), F.min("weight").alias("weight"), F.count("*").alias("times"))
+    alone = bags.mapInArrow(_exploded, "owner long, shingle long, weight long").groupBy("shingle").agg(*only).where("times = 1").groupBy("owner").agg(F.sum("weight").alias("alone"))
     shared_weight = F.col("n") - F.coalesce("alone", F.lit(0))
     facts = written(whole.join(alone, F.col("row") == F.col("owner"), "left").select("row", "n", shared_weight.alias("common"), "degree", "sketch").where(F.col("common") >= threshold * F.col("n")), "facts")
     members = written(met.select("bucket", "row").join(facts, "row"), "members")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import KEY, cut, identified, small_batches, text_or_empty, without
 from .labels import fit_rows, held_out
 from .wordhash import parts, slices
 
@@ -87,7 +87,9 @@ def character_model(docs: DataFrame) -> np.ndarray:
     """log P(third | first, second) of symbols over all texts; its size is fixed."""
     rows = docs.select(text_or_empty().alias("text")).mapInArrow(_trigrams, "trigram int, n long")
     counts = np.zeros(SYMBOLS**3)
-    for r in rows.groupBy("trigram").agg(F.sum("n").alias("n")).collect():
+    with small_batches(docs.sparkSession):
+        found = rows.groupBy("trigram").agg(F.sum("n").alias("n")).collect()
+    for r in found:
         counts[r[0]] = r[1]
     tri = counts.reshape((SYMBOLS,) * 3)
     bi, uni = tri.sum(0), tri.sum((0, 1))
@@ -387,16 +389,20 @@ def classify(docs: DataFrame, labels: DataFrame, fold: tuple[int, int] = FOLD, t
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are not predicted toxic, with all their columns, scored where they stand."""
     model = train(docs, labels)
-    z = _kept(docs.sparkSession.sparkContext.broadcast(model), math.log(threshold / (1 - threshold)), docs.columns.index("text"))
-    return docs.mapInArrow(z, docs.schema)
+    keyed, key = identified(docs)
+    toxic = _toxic(docs.sparkSession.sparkContext.broadcast(model), math.log(threshold / (1 - threshold)))
+    # Texts go to Python in small batches and don't come back: only the keys of toxic rows do.
+    gone = keyed.select(F.col(key).alias("key"), text_or_empty().alias("text")).mapInArrow(toxic, f"key {KEY}").select("key.file", "key.at")
+    return without(keyed, key, gone).select(*docs.columns)
 
 
-def _kept(shared, logit: float, column: int):
+def _toxic(shared, logit: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         restorer = Restorer(model.characters, set(model.odds))
         for batch in batches:
-            z = (evidence(set(restorer.words(text.as_py() or "")) - {None}, model.odds) for text in batch.column(column))
-            yield batch.filter(pa.array([model.bias + model.slope * x < logit for x in z], pa.bool_()))
+            z = (evidence(set(restorer.words(text.as_py())) - {None}, model.odds) for text in batch.column(1))
+            toxic = pa.array([model.bias + model.slope * x >= logit for x in z], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(toxic)], ["key"])
 
     return run
